@@ -2,7 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, for use inside other expressions."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are worked out exactly once per row.
+
+    Catalyst moves filters below projections by copying the expressions they use, so a parsed reply that is
+    both tested and read would be parsed twice. A one-element ``explode`` is not crossed by filters.
+    """
+    packed = F.struct(*[c.alias(n) for n, c in columns.items()])
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.explode(F.array(packed)).alias("_once")).select(*kept, "_once.*")
 
 
 def lines(payload: Column) -> Column:
@@ -12,11 +28,13 @@ def lines(payload: Column) -> Column:
 
 def last_wins(entries: Column) -> Column:
     """Map from ``struct<k,v>`` entries; of equal keys the last one stays. Null values are dropped."""
-    kept = F.filter(entries, lambda e: e["v"].isNotNull())
-    keys = F.transform(kept, lambda e: e["k"])
-    unique = F.filter(kept, lambda e, at: ~F.array_contains(F.slice(keys, at + 2, F.size(keys)), e["k"]))
-    distinct = F.size(F.array_distinct(keys)) == F.size(keys)
-    return F.map_from_entries(F.when(distinct, kept).otherwise(unique))
+
+    def build(kept: Column) -> Column:
+        return let(F.transform(kept, lambda e: e["k"]), lambda keys: F.map_from_entries(
+            F.when(F.size(F.array_distinct(keys)) == F.size(keys), kept).otherwise(F.filter(
+                kept, lambda e, at: ~F.array_contains(F.slice(keys, at + 2, F.size(keys)), e["k"])))))
+
+    return let(F.filter(entries, lambda e: e["v"].isNotNull()), build)
 
 
 def last_value(entries: Column, key: str) -> Column:

@@ -53,7 +53,7 @@ _ESCAPE_TOKEN = r"\\[abfnrtv\\\"]|\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\[0-3][0-
 
 def unquote(col: Column) -> Column:
     """The text inside double quotes, back quotes or a one-character single quote; otherwise unchanged."""
-    inner = F.expr("NULL") if col is None else F.substring(col, F.lit(2), F.length(col) - 2)
+    inner = F.substring(col, F.lit(2), F.length(col) - 2)
     token = rf"(?s){_ESCAPE_TOKEN}|[^\\]"
 
     def decode(tok: Column) -> Column:
@@ -70,7 +70,8 @@ def unquote(col: Column) -> Column:
 
     decoded = F.array_join(
         F.transform(F.regexp_extract_all(inner, F.lit(f"({token})"), F.lit(1)), decode), "")
-    quoted = col.rlike(rf'\A"(?:{_ESCAPE_TOKEN}|[^"\\\n])*"\z')
+    # Possessive repeats run as a loop; a backtracking one would recurse once per character.
+    quoted = col.rlike(rf'\A"(?:{_ESCAPE_TOKEN}|[^"\\\n])*+"\z')
     plain = col.rlike(r'\A"[^"\\\n]*"\z|\A`[^`]*`\z|\A\'[^\'\\\n]\'\z')
     return F.when(plain, inner).when(quoted, decoded).otherwise(col)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+from gaugeloom.functions.maps import let
 from gaugeloom.model import FIELD, INT64_MAX
 
 _INT = r"\A[+-]?[0-9]+\z"
@@ -106,7 +107,10 @@ def int_float_string(text: Column) -> Column:
 
 def plain_number(value: Column) -> Column:
     """Shortest decimal text of a double, never with an exponent: 1.5E7 is ``15000000``."""
-    text = value.cast("string")
+    return let(value.cast("string"), _without_exponent)
+
+
+def _without_exponent(text: Column) -> Column:
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     bare = F.regexp_replace(text, r"\A-", "")
     whole = F.regexp_extract(bare, r"\A([0-9]+)", 1)
@@ -118,7 +122,8 @@ def plain_number(value: Column) -> Column:
         F.concat(F.substring(digits, F.lit(1), exp + 1), F.lit("."),
                  F.substring(digits, exp + 2, F.length(digits))))
     moved = F.concat(sign, F.when(exp < 0, small).otherwise(large))
-    return F.when(text.contains("E"), moved).otherwise(F.regexp_replace(text, r"\.0\z", ""))
+    whole_number = F.substring(text, F.lit(1), F.length(text) - 2)
+    return F.when(text.contains("E"), moved).when(text.endswith(".0"), whole_number).otherwise(text)
 
 
 def field_text(field: Column) -> Column:

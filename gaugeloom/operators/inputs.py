@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from gaugeloom.functions.maps import once
 from gaugeloom.functions.times import precision_for, round_ns
 from gaugeloom.model import VALUE_TYPES
 from gaugeloom.operators.filters import FilterSpec, apply_filter
@@ -50,10 +51,15 @@ def with_type(df: DataFrame, mtype: str) -> DataFrame:
 
 def normalise(df: DataFrame, cfg: InputConfig = InputConfig()) -> DataFrame:
     """Name, default tags, filter, clean and time, in this order. Works on static and streaming points."""
-    out = df.filter((F.size("fields") > 0) & (F.col("measurement") != ""))
+    out = df.filter(F.col("measurement") != "")
     out = rename(out, cfg.name_override, cfg.name_prefix, cfg.name_suffix)
     out = default_tags(default_tags(out, cfg.tags), cfg.global_tags)
-    out = clean(apply_filter(out, cfg.filter))
+    if cfg.filter != FilterSpec():
+        # The filter tests the merged tags and the chosen fields more than once.
+        out = once(out, tags=F.col("tags"))
+        out = apply_filter(out, cfg.filter)
+        out = once(out, fields=F.col("fields"))
+    out = clean(out)
     return round_time(out, cfg.precision_ns, cfg.interval_ns)
 
 

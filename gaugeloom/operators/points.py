@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gaugeloom.functions.maps import once
 from gaugeloom.functions.times import nanos
 from gaugeloom.functions.values import field_of, finite
 from gaugeloom.model import FIELD_DDL, VALUE_TYPES, error_rows
@@ -52,10 +53,10 @@ def map_point(
 ) -> DataFrame:
     """Points from rows that already carry a tag map and a field map."""
     name = F.lit(measurement) if isinstance(measurement, str) else measurement
-    staged = df.select(
-        name.alias("measurement"), tags.cast("map<string,string>").alias("tags"),
-        fields.cast(f"map<string,{FIELD_DDL}>").alias("fields"), ts.alias("ts"), nanos(ts).alias("time_ns"),
-        F.lit(mtype).alias("mtype"), F.lit(False).alias("is_aggregate"), F.lit(source).alias("source"))
+    parts = df.select(name.alias("measurement"), ts.alias("ts"), tags.cast("map<string,string>").alias("tags"),
+                      fields.cast(f"map<string,{FIELD_DDL}>").alias("_fields"))
+    staged = once(parts, fields=F.col("_fields")).select(
+        "measurement", "tags", "fields", "ts", nanos(F.col("ts")).alias("time_ns"), F.lit(mtype).alias("mtype"), F.lit(False).alias("is_aggregate"), F.lit(source).alias("source"))
     return clean(staged)
 
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gaugeloom.functions.maps import once
 from gaugeloom.functions.values import bool_number, bool_text
 from gaugeloom.model import Report, error_rows
 from gaugeloom.operators.filters import allow_list, include_exclude
@@ -58,7 +59,7 @@ def _text(path: str) -> Column:
 
 def overview(snapshots: DataFrame, cfg: BrokerConfig = BrokerConfig()) -> Report:
     """Broker totals; a reply that lacks one of its four sections is an error."""
-    parsed = snapshots.withColumn("_d", F.from_json("payload", OVERVIEW, {"columnNameOfCorruptRecord": "_bad"}))
+    parsed = once(snapshots, _d=F.from_json("payload", OVERVIEW, {"columnNameOfCorruptRecord": "_bad"}))
     whole = F.lit(True)
     for part in ("queue_totals", "object_totals", "message_stats", "listeners"):
         whole = whole & F.col(f"_d.{part}").isNotNull()
@@ -84,7 +85,7 @@ def overview(snapshots: DataFrame, cfg: BrokerConfig = BrokerConfig()) -> Report
 
 
 def _items(snapshots: DataFrame, ddl: str) -> tuple[DataFrame, DataFrame]:
-    parsed = snapshots.withColumn("_d", F.from_json("payload", ddl))
+    parsed = once(snapshots, _d=F.from_json("payload", ddl))
     items = parsed.select(*KEYS, F.col("server").alias("url"), F.explode("_d").alias("x"))
     return items, _errors(parsed.filter(F.col("_d").isNull()), "invalid reply")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gaugeloom.functions.maps import once
 from gaugeloom.functions.text import unquote
 from gaugeloom.model import Report, error_rows
 
@@ -33,7 +34,7 @@ def _number(path: str) -> Column:
 
 
 def _parsed(snapshots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    rows = snapshots.withColumn("_d", F.from_xml("payload", STATUS, {"columnNameOfCorruptRecord": "_bad"}))
+    rows = once(snapshots, _d=F.from_xml("payload", STATUS, {"columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("_d").isNull() | F.col("_d._bad").isNotNull()
     errors = error_rows(rows.filter(bad), SOURCE, F.lit("invalid status reply"), server=F.col("server"),
                         endpoint=F.col("endpoint"), ts=F.col("collected_at"))

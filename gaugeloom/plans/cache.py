@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeloom.functions.lookups import literal_map
-from gaugeloom.functions.maps import last_wins
+from gaugeloom.functions.maps import last_wins, once
 from gaugeloom.functions.text import server_url, trim_space
 from gaugeloom.functions.values import float_field, int_field, int_float_string, strict_int
 from gaugeloom.model import Result, no_errors
@@ -46,10 +46,10 @@ def _kept(row: Column) -> Column:
 
 def _parsed(snapshots: DataFrame) -> DataFrame:
     host, port, socket = server_url(F.col("server"))
-    rows = snapshots.withColumn("_rows", F.filter(sectioned(F.col("payload")), _kept))
+    rows = once(snapshots, _rows=F.filter(sectioned(F.col("payload")), _kept))
     space = F.filter("_rows", lambda r: (r["section"] == "Keyspace") & ~r["k"].isin(*RENAMED))
     plain = F.filter("_rows", lambda r: (r["section"] != "Keyspace") | r["k"].isin(*RENAMED))
-    staged = rows.withColumns({"_space": space, "_plain": plain})
+    staged = once(rows, _space=space, _plain=plain)
     role = F.filter("_plain", lambda r: (r["k"] == "role") & strict_int(r["v"]).isNull())
     return staged.withColumn("_tags", F.create_map(
         F.lit("server"), host, F.lit("port"), port, F.lit("socket"), socket,

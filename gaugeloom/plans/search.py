@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeloom.functions.jsonflat import flatten_json
 from gaugeloom.functions.lookups import health_code
+from gaugeloom.functions.maps import once
 from gaugeloom.model import Report, Result, error_rows
 from gaugeloom.operators.points import map_point
 
@@ -29,7 +30,7 @@ _CLUSTER = "node_name string, cluster_name string, status string, indices string
 
 def decode(df: DataFrame, ddl: str, into: str = "_doc") -> tuple[DataFrame, DataFrame]:
     """Parse the payload; replies that are not valid JSON are returned as error rows."""
-    parsed = df.withColumn(into, F.from_json("payload", ddl, {"columnNameOfCorruptRecord": "_bad"}))
+    parsed = once(df, **{into: F.from_json("payload", ddl, {"columnNameOfCorruptRecord": "_bad"})})
     bad = F.col(into).isNull() | F.col(f"{into}._bad").isNotNull()
     errors = error_rows(parsed.filter(bad), SOURCE, F.concat(F.lit("invalid reply from "), F.col("server")),
                         server=F.col("server"), endpoint=F.col("endpoint"), ts=F.col("collected_at"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeloom.functions.jsonflat import document_points
+from gaugeloom.functions.maps import once
 from gaugeloom.functions.values import float_field
 from gaugeloom.model import Result, error_rows
 from gaugeloom.operators.points import map_point, merge_under
@@ -29,7 +30,7 @@ def parse_json_docs(
 
     With ``single`` every row must hold a point, and only its first one counts: the line form.
     """
-    parsed = df.withColumn("_doc", document_points(F.col(doc), list(tag_keys)))
+    parsed = once(df, _doc=document_points(F.col(doc), list(tag_keys)))
     blank = F.coalesce(F.size("_doc.points") == 0, F.lit(True))
     failed = F.col("_doc.error")
     if single:

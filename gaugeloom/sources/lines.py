@@ -7,6 +7,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gaugeloom.functions.maps import once
 from gaugeloom.model import FIELD_DDL, INT64_MAX, Result, error_rows
 
 # A separator counts when no backslash stands before it; inside quotes a backslash can itself be escaped.
@@ -102,7 +103,7 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def from_lines(df: DataFrame, line: str = "line", source: str = "line") -> Result:
     """Points of a text column; blank lines are skipped, bad lines become error rows."""
-    rows = df.filter(F.trim(line) != "").select(F.col(line).alias("_line"), parse_line(F.col(line)).alias("_p"))
+    rows = once(df.filter(F.trim(line) != "").select(F.col(line).alias("_line")), _p=parse_line(F.col("_line")))
     micros = F.call_function("div", F.col("_p.time_ns") - F.pmod(F.col("_p.time_ns"), F.lit(1000)), F.lit(1000))
     metrics = rows.filter(F.col("_p.error").isNull()).select(
         "_p.measurement", "_p.tags", "_p.fields", F.timestamp_micros(micros).alias("ts"), "_p.time_ns",

@@ -48,15 +48,21 @@ def stream_points(points: DataFrame, cfg: InputConfig, path: str, checkpoint: st
     return write_stream(normalise(points, cfg), path, checkpoint, interval=interval, partition_by=("source",))
 
 
-def drained(spark: SparkSession, df: DataFrame, purpose: str, mode: str = "append") -> DataFrame:
-    """Run a stream over everything that has landed and read the result back as a table."""
+def drain(spark: SparkSession, df: DataFrame, purpose: str, mode: str = "append") -> str:
+    """Run a stream over everything that has landed; the folder with its result."""
     out, checkpoint = scratch_dir(spark, purpose), scratch_dir(spark, f"{purpose}-checkpoint")
     start = write_stream if mode == "append" else write_batches
     query = start(df, out, checkpoint, mode=mode)
     query.awaitTermination()
     if query.exception():
         raise query.exception()
-    return spark.read.schema(df.schema).parquet(out)
+    return out
+
+
+def drained(spark: SparkSession, df: DataFrame, purpose: str, mode: str = "append") -> DataFrame:
+    """``drain`` and read the result back as a table."""
+    out = drain(spark, df, purpose, mode)
+    return spark.read.parquet(out) if mode == "update" else spark.read.schema(df.schema).parquet(out)
 
 
 def latest(df: DataFrame, keys: list[str], version: str = "batch") -> DataFrame:

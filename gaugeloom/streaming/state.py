@@ -29,7 +29,11 @@ def counters(df: DataFrame) -> DataFrame:
 
 
 def interval_sums(df: DataFrame, interval: str, ts: str, delay: str, key: Column) -> DataFrame:
-    """Sum and count per key and interval: what the timing state needs, and all it is sent."""
+    """Sum and count per key and interval, appended once the interval is over.
+
+    This is the first of two streams: it ends in a landing folder that ``carried_means`` reads, so the state
+    function gets one row per interval however many events there were.
+    """
     return (df.withWatermark(ts, delay).groupBy(F.window(ts, interval).alias("_w"), key.alias("series"))
             .agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
             .select("series", F.col("_w.start").alias("slot"), "total", "n"))
@@ -63,7 +67,3 @@ def carried_means(reads: DataFrame) -> DataFrame:
     """
     return reads.groupBy("series").applyInPandasWithState(
         _carry, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout)
-
-
-def timing(df: DataFrame, interval: str, ts: str, delay: str, key: Column) -> DataFrame:
-    return carried_means(interval_sums(df, interval, ts, delay, key))
