@@ -46,4 +46,4 @@ def last_value(entries: Column, key: str) -> Column:
 def shown(tags: Column) -> Column:
     """``k=v`` pairs in key order, for printing and comparing."""
     return F.array_join(F.transform(
-        F.array_sort(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+        F.sort_array(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")

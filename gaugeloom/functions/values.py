@@ -9,7 +9,6 @@ from gaugeloom.model import FIELD, INT64_MAX
 
 _INT = r"\A[+-]?[0-9]+\z"
 _FLOAT = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
-_SPECIAL = r"\A(?i:[+-]?inf|[+-]?infinity|nan)\z"
 
 
 def _slot(kind: str, value: Column) -> Column:
@@ -71,19 +70,29 @@ def field_of(value: Column, dtype: T.DataType) -> Column:
     return string_field(value.cast("string"))
 
 
+def _is_int(text: Column) -> Column:
+    """Whole number that fits 64 bits. Tested on the text, because a cast that fails is slow: it raises inside."""
+    digits = F.regexp_replace(text, r"\A[+-]?0*", "")
+    limit = F.when(text.startswith("-"), F.lit(str(INT64_MAX + 1))).otherwise(F.lit(str(INT64_MAX)))
+    fits = (F.length(digits) < 19) | ((F.length(digits) == 19) & (digits <= limit))
+    return text.rlike(_INT) & ((F.length(text) < 19) | fits)
+
+
+def _special(text: Column) -> Column:
+    low = F.lower(text)
+    return (F.when(low == "nan", F.lit(float("nan")))
+            .when(low.isin("-inf", "-infinity"), F.lit(float("-inf")))
+            .when(low.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf"))))
+
+
 def strict_int(text: Column) -> Column:
     """Base-10 signed 64-bit number, or NULL. No blanks, no fraction."""
-    return F.when(text.rlike(_INT), text.try_cast("bigint"))
+    return F.when(_is_int(text), text.try_cast("bigint"))
 
 
 def strict_float(text: Column) -> Column:
     """Decimal or exponent number, or the texts inf/infinity/nan; out-of-range numbers are NULL."""
-    number = finite(text.try_cast("double"))
-    low = F.lower(text)
-    special = (F.when(low == "nan", F.lit(float("nan")))
-               .when(low.startswith("-"), F.lit(float("-inf")))
-               .otherwise(F.lit(float("inf"))))
-    return F.when(text.rlike(_FLOAT), number).when(text.rlike(_SPECIAL), special)
+    return F.when(text.rlike(_FLOAT), finite(text.try_cast("double"))).otherwise(_special(text))
 
 
 def parse_value(text: Column, version: int = 1) -> Column:
@@ -93,16 +102,21 @@ def parse_value(text: Column, version: int = 1) -> Column:
                            .when(text.isin("No", "OFF"), F.lit(0.0))
                            .otherwise(strict_float(text)))
     low = F.lower(text)
-    flag = F.when((low == "yes") | (text == "ON"), F.lit(1)).when((low == "no") | (text == "OFF"), F.lit(0))
-    return F.coalesce(int_field(flag), int_float_string(F.nullif(text, F.lit(""))))
+    return (F.when((low == "yes") | (text == "ON"), int_field(F.lit(1)))
+            .when((low == "no") | (text == "OFF"), int_field(F.lit(0)))
+            .when(text != "", int_float_string(text)))
 
 
 def int_else_string(text: Column) -> Column:
-    return F.coalesce(int_field(strict_int(text)), string_field(text))
+    return F.when(_is_int(text), _slot("i", text.try_cast("bigint"))).when(text.isNotNull(), _slot("s", text))
 
 
 def int_float_string(text: Column) -> Column:
-    return F.coalesce(int_field(strict_int(text)), float_field(strict_float(text)), string_field(text))
+    number = text.try_cast("double")
+    return (F.when(_is_int(text), _slot("i", text.try_cast("bigint")))
+            .when(text.rlike(_FLOAT) & (F.abs(number) != float("inf")), _slot("f", number))
+            .when(_special(text).isNotNull(), _slot("f", _special(text)))
+            .when(text.isNotNull(), _slot("s", text)))
 
 
 def plain_number(value: Column) -> Column:

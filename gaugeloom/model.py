@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field as dc_field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -67,13 +67,12 @@ class Report:
     errors: DataFrame | None = None
     keep: Column | None = None
     ts: str = "collected_at"
-    extra: tuple["Report", ...] = dc_field(default=())
 
     def points(self) -> DataFrame:
         from gaugeloom.operators.points import make_point
 
         rows = self.table if self.keep is None else self.table.filter(self.keep)
-        out = make_point(
+        return make_point(
             rows,
             self.measurement,
             {k: F.col(v) for k, v in self.tags.items()},
@@ -81,9 +80,6 @@ class Report:
             ts=F.col(self.ts),
             source=self.source,
         )
-        for more in self.extra:
-            out = out.unionByName(more.points())
-        return out
 
     def result(self) -> Result:
         errors = self.errors
@@ -115,13 +111,13 @@ def error_rows(
 
 def series_key(measurement: Column, tags: Column) -> Column:
     """Canonical text of a series: the name, then the tags in key order."""
-    pairs = F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit("\x01"), e["value"]))
+    pairs = F.transform(F.sort_array(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit("\x01"), e["value"]))
     return F.concat(measurement, F.lit("\x02"), F.array_join(pairs, "\x02"))
 
 
 def series_id(measurement: Column, tags: Column) -> Column:
     """Stable 64-bit series identity; independent of the order tags were added in."""
-    return F.xxhash64(measurement, F.array_sort(F.map_entries(tags)))
+    return F.xxhash64(measurement, F.sort_array(F.map_entries(tags)))
 
 
 def to_long(df: DataFrame) -> DataFrame:

@@ -53,7 +53,7 @@ def normalise(df: DataFrame, cfg: InputConfig = InputConfig()) -> DataFrame:
     """Name, default tags, filter, clean and time, in this order. Works on static and streaming points."""
     out = df.filter(F.col("measurement") != "")
     out = rename(out, cfg.name_override, cfg.name_prefix, cfg.name_suffix)
-    out = default_tags(default_tags(out, cfg.tags), cfg.global_tags)
+    out = default_tags(out, {**cfg.global_tags, **cfg.tags})
     if cfg.filter != FilterSpec():
         # The filter tests the merged tags and the chosen fields more than once.
         out = once(out, tags=F.col("tags"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeloom.functions.maps import once
@@ -21,6 +23,27 @@ def _valid_field(key: Column, value: Column) -> Column:
     return value.isNotNull() & value["kind"].isNotNull() & number_ok & ~_ends_badly(key)
 
 
+#: Maps of at most this many entries get the two-way form of ``_compact``.
+_SMALL = 8
+
+
+def _compact(entries: dict[str, tuple[Column, Column]], ddl: str) -> Column:
+    """Map of the entries whose condition holds.
+
+    Rows that have every entry, which is most of them, build the map in generated code; only the others pay
+    for filtering it.
+    """
+    if not entries:
+        return F.expr("map()").cast(ddl)
+    kept = {k: F.when(ok, value) for k, (value, ok) in entries.items()}
+    partial = F.map_filter(F.create_map(*[x for k, v in kept.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
+    if len(entries) > _SMALL:
+        return partial
+    whole = F.create_map(*[x for k, (value, _) in entries.items() for x in (F.lit(k), value)])
+    every = reduce(lambda a, b: a & b, [F.coalesce(ok, F.lit(False)) for _, ok in entries.values()])
+    return F.when(every, whole).otherwise(partial)
+
+
 def make_point(
     df: DataFrame, measurement: str | Column, tags: dict[str, Column], fields: dict[str, Column],
     ts: Column, *, mtype: str = "untyped", source: str = "", keep: tuple[str, ...] = (),
@@ -31,12 +54,9 @@ def make_point(
     name = F.lit(measurement) if isinstance(measurement, str) else measurement
     types = df.select(*[c.alias(f"c{i}") for i, c in enumerate(fields.values())]).schema
     typed = {k: field_of(c, t.dataType) for (k, c), t in zip(fields.items(), types)}
-    tag_map = F.map_filter(
-        F.create_map(*[x for k, c in tags.items() for x in (F.lit(k), c.cast("string"))])
-        if tags else F.expr("map()").cast("map<string,string>"),
-        lambda k, v: v.isNotNull() & (v != "") & ~_ends_badly(v))
-    field_map = F.map_filter(
-        F.create_map(*[x for k, c in typed.items() for x in (F.lit(k), c)]), lambda k, v: v.isNotNull())
+    texts = {k: c.cast("string") for k, c in tags.items()}
+    tag_map = _compact({k: (c, (c != "") & ~_ends_badly(c)) for k, c in texts.items()}, "map<string,string>")
+    field_map = _compact({k: (c, c.isNotNull()) for k, c in typed.items()}, f"map<string,{FIELD_DDL}>")
     # The row test reads the input columns, not the maps, so it reaches the scan and no map is built twice.
     any_field = F.lit(False)
     for c in typed.values():

@@ -9,9 +9,10 @@ from gaugeloom.functions.values import plain_number
 
 
 def _json_text(text: Column) -> Column:
-    """A JSON string literal."""
+    """A JSON string literal; the JSON writer is only called for texts that need escapes."""
     wrapped = F.to_json(F.struct(text.alias("v")))
-    return F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
+    escaped = F.substring(wrapped, F.lit(6), F.length(wrapped) - 6)
+    return F.when(text.rlike(r'[\x00-\x1f"\\]'), escaped).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
 
 
 def _json_field(field: Column) -> Column:
@@ -38,7 +39,7 @@ def flat_record(name_key: str | None = None, time_key: str | None = None) -> Col
         extra.append(F.struct(F.lit(time_key).alias("k"), F.col("time_ns").cast("string").alias("v")))
     if extra:
         parts = F.concat(parts, F.array(*extra))
-    members = F.transform(F.array_sort(parts), lambda p: F.concat(_json_text(p["k"]), F.lit(":"), p["v"]))
+    members = F.transform(F.sort_array(parts), lambda p: F.concat(_json_text(p["k"]), F.lit(":"), p["v"]))
     return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
 
 
@@ -60,10 +61,10 @@ def line_field(key: Column, field: Column) -> Column:
 
 
 def _line_parts() -> tuple[Column, Column]:
-    tags = F.transform(F.array_sort(F.map_entries("tags")), lambda e: F.concat(
+    tags = F.transform(F.sort_array(F.map_entries("tags")), lambda e: F.concat(
         F.lit(","), escape(e["key"], "tagkey"), F.lit("="), escape(e["value"], "tagval")))
     head = F.concat(escape(F.col("measurement"), "name"), F.array_join(tags, ""))
-    keys = F.array_sort(F.map_keys("fields"))
+    keys = F.sort_array(F.map_keys("fields"))
     texts = F.transform(keys, lambda k: line_field(k, F.element_at(F.col("fields"), k)))
     return head, texts
 
@@ -91,7 +92,7 @@ def split_points(df: DataFrame, max_size: int) -> DataFrame:
     head, texts = _line_parts()
     staged = df.withColumns({"_texts": texts, "_fixed": F.octet_length(head) + F.length(F.col("time_ns").cast("string")) + 3})
     total = F.col("_fixed") + F.aggregate("_texts", F.lit(0), lambda n, t: n + F.octet_length(t) + 1) - 1
-    keys = F.array_sort(F.map_keys("fields"))
+    keys = F.sort_array(F.map_keys("fields"))
     sized = F.arrays_zip(keys.alias("k"), F.transform("_texts", lambda t: F.octet_length(t)).alias("n"))
     start = F.struct(F.lit(0).alias("used"), F.lit(0).alias("chunk"),
                      F.expr("cast(array() as array<struct<k:string,chunk:int>>)").alias("out"))

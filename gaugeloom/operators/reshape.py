@@ -2,33 +2,36 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Positions per ordered slice. A group longer than this is ranked slice by slice.
 SLICE = 100_000
 
 
-def _safe(name: str) -> Column:
-    return F.col(f"`{name}`")
+def _sliced(df: DataFrame, keys: list[str], pos: str, slice_rows: int) -> DataFrame:
+    """Rows with their group as one struct, which also compares groups with NULL parts, and their position slice."""
+    return df.withColumns({"_key": F.struct(*[F.col(f"`{k}`") for k in keys]), "_slice": F.floor(F.col(f"`{pos}`") / slice_rows)})
+
+
+def _inside(pos: str):
+    return Window.partitionBy("_key", "_slice").orderBy(F.col(f"`{pos}`"))
+
+
+def _earlier():
+    return Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
 
 def ordered_rank(df: DataFrame, keys: list[str], pos: str, out: str = "rank", slice_rows: int = SLICE) -> DataFrame:
     """Zero-based rank by a whole-number position within each group.
 
     Each group is cut into position slices, so a group holding most of the rows is still ranked by many
-    tasks: rank in the slice, plus the row counts of the group's earlier slices.
+    tasks: rank in the slice, plus the row counts of the group's earlier slices. The counts are taken from the
+    ranked slices, so rows are shuffled once.
     """
-    cut = df.withColumn("_slice", F.floor(_safe(pos) / slice_rows))
-    local = cut.withColumn("_local", F.row_number().over(
-        Window.partitionBy(*map(_safe, keys), "_slice").orderBy(_safe(pos))) - 1)
-    sizes = cut.groupBy(*map(_safe, keys), "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*map(_safe, keys)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*map(_safe, keys), "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_slice"]])
-    joined = local.alias("l").join(starts.alias("r"), same)
-    return joined.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("l._local") + F.col("r._start")).alias(out))
+    local = _sliced(df, keys, pos, slice_rows).withColumn("_local", F.row_number().over(_inside(pos)) - 1)
+    sizes = local.groupBy("_key", "_slice").agg((F.max("_local") + 1).alias("_n"))
+    starts = sizes.select("_key", "_slice", F.coalesce(F.sum("_n").over(_earlier()), F.lit(0)).alias("_start"))
+    return local.join(starts, ["_key", "_slice"]).select(*df.columns, (F.col("_local") + F.col("_start")).alias(out))
 
 
 def field_chunks(
@@ -39,7 +42,7 @@ def field_chunks(
     ranked = ordered_rank(kept, keys, pos, "_rank", slice_rows)
     return (ranked.withColumn("chunk", F.floor(F.col("_rank") / size))
             .groupBy(*keys, "chunk")
-            .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, value)))).alias("fields")))
+            .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(name, value)))).alias("fields")))
 
 
 def collect_fields(df: DataFrame, keys: list[str], pos: str, name: str, value: str) -> DataFrame:
@@ -66,16 +69,10 @@ def unpivot(df: DataFrame, keep: list[str], label: str, rows: dict[str, dict[str
 
 def carry_forward(df: DataFrame, keys: list[str], pos: str, mark: str, out: str, slice_rows: int = SLICE) -> DataFrame:
     """Give every row the last non-null mark at or before it in its group, slice by slice."""
-    cut = df.withColumn("_slice", F.floor(_safe(pos) / slice_rows))
-    inside = Window.partitionBy(*map(_safe, keys), "_slice").orderBy(_safe(pos))
-    local = cut.withColumn("_local", F.last(mark, ignorenulls=True).over(inside))
-    ends = cut.groupBy(*map(_safe, keys), "_slice").agg(
-        F.max_by(mark, F.when(F.col(mark).isNotNull(), F.col(pos))).alias("_last"))
-    before = Window.partitionBy(*map(_safe, keys)).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    heads = ends.select(*map(_safe, keys), "_slice", F.last("_last", ignorenulls=True).over(before).alias("_head"))
-    same = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, "_slice"]])
-    return local.alias("l").join(heads.alias("r"), same).select(
-        *[F.col(f"l.{c}") for c in df.columns], F.coalesce("l._local", "r._head").alias(out))
+    local = _sliced(df, keys, pos, slice_rows).withColumn("_local", F.last(mark, ignorenulls=True).over(_inside(pos)))
+    ends = local.groupBy("_key", "_slice").agg(F.max_by(mark, F.when(F.col(mark).isNotNull(), F.col(pos))).alias("_last"))
+    heads = ends.select("_key", "_slice", F.last("_last", ignorenulls=True).over(_earlier()).alias("_head"))
+    return local.join(heads, ["_key", "_slice"]).select(*df.columns, F.coalesce("_local", "_head").alias(out))
 
 
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

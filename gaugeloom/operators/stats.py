@@ -58,7 +58,7 @@ def fill_reads(means: DataFrame, reads: DataFrame) -> DataFrame:
 
 def regroup(stats: DataFrame) -> DataFrame:
     """One row per series with all its fields in a map; series names get the self-statistic prefix."""
-    pairs = F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", int_field(F.col("value")).alias("v")))))
+    pairs = F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", int_field(F.col("value")).alias("v")))))
     rows = stats if "series" in stats.columns else _named(stats)
     return (rows.groupBy("series").agg(*_identity(), pairs.alias("fields"))
             .select(F.concat(F.lit(PREFIX), F.col("measurement")).alias("measurement"), "tags", "fields"))

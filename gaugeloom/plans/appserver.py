@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeloom.functions.maps import once
 from gaugeloom.functions.text import unquote
-from gaugeloom.model import Report, error_rows
+from gaugeloom.functions.values import int_field
+from gaugeloom.model import Report, Result, error_rows
+from gaugeloom.operators.points import map_point
 
 SOURCE = "tomcat"
 KEYS = ["server", "collected_at"]
@@ -65,8 +67,28 @@ def connectors(snapshots: DataFrame) -> Report:
     return Report("tomcat_connector", table, {"name": "name"}, {c: c for c in CONNECTOR_FIELDS}, SOURCE)
 
 
-def status(snapshots: DataFrame) -> Report:
-    """All three reports; ``points()`` gives their union."""
-    first = memory(snapshots)
-    return Report(first.measurement, first.table, first.tags, first.fields, SOURCE, first.errors,
-                  extra=(memory_pools(snapshots), connectors(snapshots)))
+def status(snapshots: DataFrame) -> Result:
+    """All three kinds of points from one pass over the replies."""
+    good, errors = _parsed(snapshots)
+    no_tags = F.expr("map()").cast("map<string,string>")
+
+    def point(name: str, tags: dict[str, Column], numbers: dict[str, Column]) -> Column:
+        labels = F.create_map(*[x for k, c in tags.items() for x in (F.lit(k), c)]) if tags else no_tags
+        fields = F.create_map(*[x for k, c in numbers.items() for x in (F.lit(k), int_field(F.coalesce(c, F.lit(0))))])
+        return F.struct(F.lit(name).alias("name"), labels.alias("tags"), fields.alias("fields"))
+
+    def at(base: Column, path: str) -> Column:
+        for part in path.split("."):
+            base = base[part]
+        return base
+
+    memory_point = point("tomcat_jvm_memory", {}, {c: F.col(f"_d.jvm.memory._{c}") for c in ("free", "total", "max")})
+    pools = F.transform("_d.jvm.memorypool", lambda p: point(
+        "tomcat_jvm_memorypool", {"name": p["_name"], "type": p["_type"]},
+        {c: p[f"_usage{c.capitalize()}"] for c in ("init", "committed", "max", "used")}))
+    connected = F.transform("_d.connector", lambda c: point(
+        "tomcat_connector", {"name": unquote(c["_name"])}, {out: at(c, path) for out, path in CONNECTOR_FIELDS.items()}))
+    alone = F.array(memory_point)
+    none = F.slice(alone, 1, 0)
+    rows = good.select("collected_at", F.explode(F.concat(alone, F.coalesce(pools, none), F.coalesce(connected, none))).alias("p"))
+    return Result(map_point(rows, F.col("p.name"), F.col("p.tags"), F.col("p.fields"), F.col("collected_at"), source=SOURCE), errors)

@@ -56,9 +56,7 @@ def _parsed(snapshots: DataFrame) -> DataFrame:
         F.lit("replication_role"), F.try_element_at(role, F.lit(-1))["v"]))
 
 
-def info(snapshots: DataFrame) -> Result:
-    """One point per reply: typed keys, the hit rate, and the time since the last save."""
-    rows = _parsed(snapshots)
+def _info_fields() -> Column:
     known = literal_map(RENAMED)
 
     def entry(r: Column) -> Column:
@@ -77,23 +75,45 @@ def info(snapshots: DataFrame) -> Result:
     derived = F.array(
         F.struct(F.lit("rdb_last_save_time_elapsed").alias("k"), int_field(elapsed).alias("v")),
         F.struct(F.lit("keyspace_hitrate").alias("k"), float_field(rate).alias("v")))
-    fields = last_wins(F.concat(F.transform("_plain", entry), derived))
-    return Result(map_point(rows, "redis", F.col("_tags"), fields, F.col("collected_at"), source=SOURCE),
+    return last_wins(F.concat(F.transform("_plain", entry), derived))
+
+
+def _database_fields(line: Column) -> Column:
+    return last_wins(F.transform(F.split(line, ","), lambda p: F.struct(
+        F.split(p, "=")[0].alias("k"), int_field(strict_int(F.try_element_at(F.split(p, "="), F.lit(2)))).alias("v"))))
+
+
+def _is_database(r: Column) -> Column:
+    return r["v"].contains("keys=")
+
+
+def _database_tags(r: Column) -> Column:
+    return F.map_concat(F.col("_tags"), F.create_map(F.lit("database"), r["k"]))
+
+
+def info(snapshots: DataFrame) -> Result:
+    """One point per reply: typed keys, the hit rate, and the time since the last save."""
+    rows = _parsed(snapshots)
+    return Result(map_point(rows, "redis", F.col("_tags"), _info_fields(), F.col("collected_at"), source=SOURCE),
                   no_errors(snapshots.sparkSession))
 
 
 def keyspace(snapshots: DataFrame) -> Result:
     """One point per database line ``db0:keys=2,expires=0,avg_ttl=0``; parts that are not whole numbers are left out."""
-    rows = _parsed(snapshots).select("collected_at", "_tags", F.explode("_space").alias("r")).filter(
-        F.col("r.v").contains("keys="))
-    parts = F.transform(F.split("r.v", ","), lambda p: F.struct(
-        F.split(p, "=")[0].alias("k"), int_field(strict_int(F.try_element_at(F.split(p, "="), F.lit(2)))).alias("v")))
-    tags = F.map_concat(F.col("_tags"), F.create_map(F.lit("database"), F.col("r.k")))
-    return Result(map_point(rows, "redis_keyspace", tags, last_wins(parts), F.col("collected_at"), source=SOURCE),
-                  no_errors(snapshots.sparkSession))
+    rows = _parsed(snapshots).select("collected_at", "_tags", F.explode(F.filter("_space", _is_database)).alias("r"))
+    points = map_point(rows, "redis_keyspace", _database_tags(F.col("r")), _database_fields(F.col("r.v")),
+                       F.col("collected_at"), source=SOURCE)
+    return Result(points, no_errors(snapshots.sparkSession))
 
 
 def status(snapshots: DataFrame) -> Result:
-    return info(snapshots).union(keyspace(snapshots))
-
-
+    """Both kinds of points from one pass over the replies."""
+    def point(name: str, tags: Column, fields: Column) -> Column:
+        return F.struct(F.lit(name).alias("name"), tags.alias("tags"), fields.alias("fields"))
+
+    whole = F.array(point("redis", F.col("_tags"), _info_fields()))
+    databases = F.transform(F.filter("_space", _is_database), lambda r: point(
+        "redis_keyspace", _database_tags(r), _database_fields(r["v"])))
+    rows = _parsed(snapshots).select("collected_at", F.explode(F.concat(whole, databases)).alias("p"))
+    points = map_point(rows, F.col("p.name"), F.col("p.tags"), F.col("p.fields"), F.col("collected_at"), source=SOURCE)
+    return Result(points, no_errors(snapshots.sparkSession))

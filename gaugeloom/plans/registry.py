@@ -54,7 +54,7 @@ for _name, _job in database.REPORTS.items():
 _nodes, _health = _endpoint("search", "nodes"), _endpoint("search", "health")
 _stats, _master = _endpoint("search", "cluster_stats"), _endpoint("search", "master")
 register("search.node_stats", _over(search.node_stats, _nodes), ("snapshots",))
-register("search.health", _over(search.health, _health), ("snapshots",))
+register("search.health", _over(search.health_points, _health), ("snapshots",))
 register("search.cluster_stats", _over(search.cluster_stats, _stats, _nodes, _master), ("snapshots",))
 for _name in ("overview", "nodes", "queues", "exchanges"):
     register(f"amqp.{_name}", _over(getattr(amqp, _name), _endpoint("amqp", _name)), ("snapshots",))

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gaugeloom.functions.jsonflat import flatten_json
 from gaugeloom.functions.lookups import health_code
 from gaugeloom.functions.maps import once
+from gaugeloom.functions.values import bool_field, int_field, string_field
 from gaugeloom.model import Report, Result, error_rows
 from gaugeloom.operators.points import map_point
 
@@ -66,22 +67,46 @@ def _zero(path: str) -> Column:
 
 
 def health(snapshots: DataFrame) -> Report:
-    """Cluster health, one row per cluster; the index rows follow in ``extra``. Absent counters are 0."""
+    """Cluster health, one row per cluster. Absent counters are 0."""
     parsed, errors = decode(snapshots, _HEALTH)
     status = F.coalesce("_doc.status", F.lit(""))
     cluster = parsed.select(
         *KEYS, F.col("_doc.cluster_name").alias("name"), status.alias("status"), health_code(status).alias("status_code"),
         F.coalesce("_doc.timed_out", F.lit(False)).alias("timed_out"),
         *[_zero(f"_doc.{c}").alias(c) for c in CLUSTER_COUNTS])
+    return Report("elasticsearch_cluster_health", cluster, {"name": "name"},
+                  {c: c for c in ("status", "status_code", "timed_out", *CLUSTER_COUNTS)}, SOURCE, errors)
+
+
+def index_health(snapshots: DataFrame) -> Report:
+    """Health of every index a cluster reply lists."""
+    parsed, _ = decode(snapshots, _HEALTH)
     rows = parsed.select(*KEYS, F.explode("_doc.indices").alias("index", "h"))
     state = F.coalesce("h.status", F.lit(""))
     index = rows.select(*KEYS, "index", state.alias("status"), health_code(state).alias("status_code"),
                         *[_zero(f"h.{c}").alias(c) for c in INDEX_COUNTS])
-    indices = Report("elasticsearch_indices", index, {"index": "index"},
-                     {c: c for c in ("status", "status_code", *INDEX_COUNTS)}, SOURCE)
-    return Report("elasticsearch_cluster_health", cluster, {"name": "name"},
-                  {c: c for c in ("status", "status_code", "timed_out", *CLUSTER_COUNTS)}, SOURCE, errors,
-                  extra=(indices,))
+    return Report("elasticsearch_indices", index, {"index": "index"},
+                  {c: c for c in ("status", "status_code", *INDEX_COUNTS)}, SOURCE)
+
+
+def health_points(snapshots: DataFrame) -> Result:
+    """Cluster and index health as points, from one pass over the replies."""
+    parsed, errors = decode(snapshots, _HEALTH)
+
+    def point(name: str, tag: str, label: Column, h: Column, counts: tuple[str, ...], more: dict[str, Column]) -> Column:
+        state = F.coalesce(h["status"], F.lit(""))
+        fields = {"status": string_field(state), "status_code": int_field(health_code(state)), **more,
+                  **{c: int_field(F.coalesce(h[c], F.lit(0))) for c in counts}}
+        return F.struct(F.lit(name).alias("name"), F.create_map(F.lit(tag), label).alias("tags"),
+                        F.create_map(*[x for k, v in fields.items() for x in (F.lit(k), v)]).alias("fields"))
+
+    doc = F.col("_doc")
+    cluster = F.array(point("elasticsearch_cluster_health", "name", doc["cluster_name"], doc, CLUSTER_COUNTS, {
+        "timed_out": bool_field(F.coalesce(doc["timed_out"], F.lit(False)))}))
+    index = F.transform(F.map_entries(doc["indices"]), lambda e: point(
+        "elasticsearch_indices", "index", e["key"], e["value"], INDEX_COUNTS, {}))
+    rows = parsed.select("collected_at", F.explode(F.concat(cluster, F.coalesce(index, F.slice(cluster, 1, 0)))).alias("p"))
+    return Result(map_point(rows, F.col("p.name"), F.col("p.tags"), F.col("p.fields"), F.col("collected_at"), source=SOURCE), errors)
 
 
 def masters(snapshots: DataFrame) -> DataFrame:

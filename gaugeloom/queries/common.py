@@ -66,7 +66,7 @@ def joined(*parts) -> Column:
 
 
 def keys_text(column: str) -> Column:
-    return F.array_join(F.array_sort(F.map_keys(column)), ",")
+    return F.array_join(F.sort_array(F.map_keys(column)), ",")
 
 
 def tag(name: str) -> Column:

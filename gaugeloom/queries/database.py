@@ -151,7 +151,7 @@ s AS (SELECT server, us, CASE WHEN m IN (0, 6) THEN 'sending data' WHEN m = 2 TH
   WHEN t = 'click' AND m = 4 THEN 'idle' WHEN t = 'view' THEN 'executing' WHEN t = 'error' THEN 'replication master' ELSE 'other' END AS st FROM e)
 SELECT server, us, count(*) FILTER (st = 'sending data') AS sending, count(*) FILTER (st = 'updating') AS updating, count(*) FILTER (st = 'waiting for lock') AS locked,
   count(*) FILTER (st = 'idle') AS idle, count(*) FILTER (st = 'executing') AS executing, count(*) FILTER (st = 'replication master') AS master,
-  count(*) FILTER (st = 'other') AS other, 0 AS init, 51 AS states FROM s GROUP BY ALL""")
+  count(*) FILTER (st = 'other') AS other, 0::BIGINT AS init, 51 AS states FROM s GROUP BY ALL""")
 def thread_state_pivot(spark, d):
     out = db.process_list(_processlist(spark, d), db.DatabaseConfig(own_connection=7)).points()
     names = {"sending": "sending_data", "updating": "updating", "locked": "waiting_for_lock", "idle": "idle", "executing": "executing",

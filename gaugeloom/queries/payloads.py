@@ -36,7 +36,7 @@ def cluster_health(spark, d):
     n, key = F.col("c_nationkey"), F.col("c_custkey")
     doc = joined('{"cluster_name":"', F.col("c_name"), '","status":"', _colour(n), '","timed_out":', n % 2 == 0, ',"active_shards":', n, ',"unassigned_shards":null,"indices":{"i', key,
                  '":{"status":"', _colour(n + 1), '","active_shards":', key, '}}}')
-    pts = search.health(snapshots(load(spark, d, "customer"), F.col("c_name"), doc)).points()
+    pts = search.health_points(snapshots(load(spark, d, "customer"), F.col("c_name"), doc)).metrics
     return pts.select(F.when(F.col("measurement") == "elasticsearch_indices", "index").otherwise("cluster").alias("kind"), F.coalesce(_tag("name"), _tag("index")).alias("name"),
                       num("status", "s"), F.col("fields")["status_code"]["i"].cast("int").alias("code"), num("active_shards", "i"), num("unassigned_shards", "i"), num("timed_out", "b"))
 
@@ -140,7 +140,7 @@ def xml_status(spark, d):
     doc = joined('<status><jvm><memory free="', key, '" total="', key + 1, '"/><memorypool name="', F.col("c_mktsegment"), '" type="Heap" usageInit="', key, '" usageMax="', n,
                  '"/><memorypool name="Old" usageInit="7" usageUsed="', key, '"/></jvm><connector name="&quot;http-', key, '&quot;"><threadInfo maxThreads="', key,
                  '"/><requestInfo errorCount="', n, '"/></connector></status>')
-    pts = appserver.status(snapshots(load(spark, d, "customer"), F.col("c_name"), doc)).points()
+    pts = appserver.status(snapshots(load(spark, d, "customer"), F.col("c_name"), doc)).metrics
 
     def pick(*names):
         return F.coalesce(*[F.try_element_at("fields", F.lit(x))["i"] for x in names])

@@ -178,7 +178,7 @@ def _raw(spark, d):
 
 
 def _typed(df, fn):
-    out = df.withColumn("v", fn(F.col("raw"))).filter(F.col("v").isNotNull())
+    out = maps.once(df, v=fn(F.col("raw"))).filter(F.col("v").isNotNull())
     return out.select("o_orderkey", F.col("slot").cast("bigint").alias("slot"), "v.kind", "v.i", "v.f", "v.s")
 
 
@@ -327,9 +327,9 @@ def json_tags(spark, d):
 
 @query("json_array", f"""
 WITH e AS (SELECT event_id, event_type, {K} AS k, value FROM events)
-SELECT CAST(event_id AS VARCHAR) AS id, 'point' AS outcome, count(*) AS n, sum(k) AS total
+SELECT CAST(event_id AS VARCHAR) AS id, 'point' AS outcome, count(*) AS n, CAST(sum(k) AS BIGINT) AS total
 FROM (SELECT event_id, k FROM e WHERE event_type NOT IN ('error', 'view') UNION ALL SELECT event_id, k + 1 FROM e WHERE event_type NOT IN ('error', 'view')) GROUP BY 1
-UNION ALL SELECT 'bad', 'error', count(*), 0 FROM e WHERE event_type = 'error'""")
+UNION ALL SELECT 'bad', 'error', count(*), 0::BIGINT FROM e WHERE event_type = 'error'""")
 def json_array(spark, d):
     df = events(spark, d)
     kind = F.col("event_type")

@@ -222,7 +222,7 @@ def test_search_node_stats(spark):
 
 def test_search_health(spark):
     doc = '{"cluster_name":"c","status":"Yellow","timed_out":true,"number_of_nodes":3,"indices":{"i1":{"status":"red","number_of_shards":2}}}'
-    got = points(search.health(snap(spark, doc)).points())
+    got = points(search.health_points(snap(spark, doc)).metrics)
     zero = {"active_primary_shards": 0, "active_shards": 0, "relocating_shards": 0, "initializing_shards": 0, "unassigned_shards": 0}
     assert got == [
         ("elasticsearch_cluster_health", {"name": "c"}, {"status": "Yellow", "status_code": 2, "timed_out": True, "number_of_nodes": 3, "number_of_data_nodes": 0, **zero}),
@@ -341,8 +341,11 @@ XML = ('<status><jvm><memory free="1" total="2" max="3"/><memorypool name="Eden"
 
 
 def test_appserver(spark):
-    report = appserver.status(snap(spark, [XML, "<status><jvm>"]))
-    assert points(report.points()) == [
+    snaps = snap(spark, [XML, "<status><jvm>"])
+    report = appserver.status(snaps)
+    parts = (appserver.connectors(snaps), appserver.memory(snaps), appserver.memory_pools(snaps))
+    assert points(report.metrics) == [p for r in parts for p in points(r.points())]
+    assert points(report.metrics) == [
         ("tomcat_connector", {"name": "http-8080"}, {"max_threads": 200, "current_thread_count": 5, "current_threads_busy": 1, "max_time": 9,
                                                      "processing_time": 8, "request_count": 7, "error_count": 6, "bytes_received": 5, "bytes_sent": 4}),
         ("tomcat_jvm_memory", {}, {"free": 1, "total": 2, "max": 3}),
@@ -384,3 +387,11 @@ def test_empty_input_gives_empty_output(spark):
     none = snap(spark, MNTR).filter(F.lit(False))
     for job in (coord.mntr, cache.info, cache.keyspace, search.node_stats):
         assert job(none).metrics.count() == 0
+
+
+def test_one_pass_reports_equal_the_single_ones(spark):
+    snaps = snap(spark, INFO, "tcp://localhost:6379")
+    assert points(cache.status(snaps).metrics) == points(cache.info(snaps).metrics) + points(cache.keyspace(snaps).metrics)
+    docs = snap(spark, ['{"cluster_name":"c","status":"green","indices":{"i1":{"status":"red"},"i2":{}}}', '{"cluster_name":"d"}'])
+    both = points(search.health(docs).points()) + points(search.index_health(docs).points())
+    assert points(search.health_points(docs).metrics) == both and len(both) == 4
