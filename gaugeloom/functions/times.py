@@ -55,5 +55,8 @@ def newer_than(ts: Column, reference: Column, window_seconds: int) -> Column:
 
 
 def utc(ts: Column) -> Column:
-    """Read a zone-less timestamp as UTC, whatever the session zone is."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01'"), ts))
+    """Read a zone-less timestamp as UTC, whatever the session zone is; a plain cast would use that zone."""
+    minutes = F.hour(ts) * 60 + F.minute(ts)
+    second_us = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+    day_us = F.unix_date(ts.cast("date")).cast("bigint") * 86_400_000_000
+    return F.timestamp_micros(day_us + minutes.cast("bigint") * 60_000_000 + second_us)

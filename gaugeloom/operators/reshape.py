@@ -25,11 +25,12 @@ def ordered_rank(df: DataFrame, keys: list[str], pos: str, out: str = "rank", sl
     """Zero-based rank by a whole-number position within each group.
 
     Each group is cut into position slices, so a group holding most of the rows is still ranked by many
-    tasks: rank in the slice, plus the row counts of the group's earlier slices. The counts are taken from the
-    ranked slices, so rows are shuffled once.
+    tasks: rank in the slice, plus the row counts of the group's earlier slices. The counts are combined
+    before they are shuffled, so full rows are shuffled once.
     """
-    local = _sliced(df, keys, pos, slice_rows).withColumn("_local", F.row_number().over(_inside(pos)) - 1)
-    sizes = local.groupBy("_key", "_slice").agg((F.max("_local") + 1).alias("_n"))
+    cut = _sliced(df, keys, pos, slice_rows)
+    local = cut.withColumn("_local", F.row_number().over(_inside(pos)) - 1)
+    sizes = cut.groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     starts = sizes.select("_key", "_slice", F.coalesce(F.sum("_n").over(_earlier()), F.lit(0)).alias("_start"))
     return local.join(starts, ["_key", "_slice"]).select(*df.columns, (F.col("_local") + F.col("_start")).alias(out))
 
@@ -69,8 +70,9 @@ def unpivot(df: DataFrame, keep: list[str], label: str, rows: dict[str, dict[str
 
 def carry_forward(df: DataFrame, keys: list[str], pos: str, mark: str, out: str, slice_rows: int = SLICE) -> DataFrame:
     """Give every row the last non-null mark at or before it in its group, slice by slice."""
-    local = _sliced(df, keys, pos, slice_rows).withColumn("_local", F.last(mark, ignorenulls=True).over(_inside(pos)))
-    ends = local.groupBy("_key", "_slice").agg(F.max_by(mark, F.when(F.col(mark).isNotNull(), F.col(pos))).alias("_last"))
+    cut = _sliced(df, keys, pos, slice_rows)
+    local = cut.withColumn("_local", F.last(mark, ignorenulls=True).over(_inside(pos)))
+    ends = cut.groupBy("_key", "_slice").agg(F.max_by(mark, F.when(F.col(mark).isNotNull(), F.col(pos))).alias("_last"))
     heads = ends.select("_key", "_slice", F.last("_last", ignorenulls=True).over(_earlier()).alias("_head"))
     return local.join(heads, ["_key", "_slice"]).select(*df.columns, F.coalesce("_local", "_head").alias(out))
 

@@ -9,59 +9,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gaugeloom.functions.values import int_field
-from gaugeloom.model import series_key
 
 PREFIX = "internal_"
 
 
-def _named(events: DataFrame) -> DataFrame:
-    return events.withColumn("series", series_key(F.col("measurement"), F.col("tags")))
+#: A series is its name and its tags in key order. Unlike a map, the ordered pairs can be a grouping key.
+SERIES = ["measurement", "pairs"]
 
 
-def _identity() -> list:
-    return [F.any_value("measurement").alias("measurement"), F.any_value("tags").alias("tags")]
+def _paired(events: DataFrame) -> DataFrame:
+    return events.withColumn("pairs", F.sort_array(F.map_entries("tags"))).drop("tags")
+
+
+def _tagged(df: DataFrame) -> DataFrame:
+    return df.withColumn("tags", F.map_from_entries("pairs"))
 
 
 def counter_stats(events: DataFrame) -> DataFrame:
     """Current value per series and field: the last set value plus the increments after it."""
-    rows = _named(events)
-    key = ["series", "field"]
+    rows = _paired(events)
+    key = [*SERIES, "field"]
     sets = rows.filter(F.col("op") == "set").groupBy(*key).agg(
         F.max("seq").alias("set_seq"), F.max_by("v", "seq").alias("set_v"))
     counted = (F.when((F.col("op") == "incr") & (F.col("set_seq").isNull() | (F.col("seq") > F.col("set_seq"))), F.col("v"))
                .otherwise(F.lit(0)))
-    return (rows.join(sets, key, "left").groupBy(*key)
-            .agg(*_identity(), (F.sum(counted) + F.coalesce(F.max("set_v"), F.lit(0))).alias("value")))
+    return _tagged(rows.join(sets, key, "left").groupBy(*key).agg(
+        (F.sum(counted) + F.coalesce(F.max("set_v"), F.lit(0))).alias("value")))
 
 
 def timing_stats(events: DataFrame, interval_seconds: int) -> DataFrame:
     """Truncated mean per series, field and interval that saw events; setting counts as another sample."""
     slot = F.call_function("div", F.unix_seconds("ts"), F.lit(interval_seconds)) * interval_seconds
-    sums = (_named(events).withColumn("slot", slot).groupBy("series", "field", "slot")
-            .agg(*_identity(), F.sum("v").alias("total"), F.count(F.lit(1)).alias("n")))
-    return sums.withColumn("mean", F.call_function("div", F.col("total"), F.col("n")))
+    sums = (_paired(events).withColumn("slot", slot).groupBy(*SERIES, "field", "slot")
+            .agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n")))
+    return _tagged(sums.withColumn("mean", F.call_function("div", F.col("total"), F.col("n"))))
 
 
 def fill_reads(means: DataFrame, reads: DataFrame) -> DataFrame:
     """Value at each read slot: the latest mean at or before it, 0 before the first event.
 
-    ``reads`` has ``series, field, slot`` rows. The merge is a union and a window over interval rows.
+    ``reads`` has ``measurement, pairs, field, slot`` rows. The merge is a union and a window over interval rows.
     """
-    merged = (means.select("series", "field", "slot", "mean", F.lit(False).alias("read"))
-              .unionByName(reads.select("series", "field", "slot", F.lit(None).cast("bigint").alias("mean"),
-                                        F.lit(True).alias("read")))
-              .groupBy("series", "field", "slot").agg(F.max("mean").alias("mean"), F.max("read").alias("read")))
-    upto = Window.partitionBy("series", "field").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    key = [*SERIES, "field", "slot"]
+    merged = (means.select(*key, "mean", F.lit(False).alias("read"))
+              .unionByName(reads.select(*key, F.lit(None).cast("bigint").alias("mean"), F.lit(True).alias("read")))
+              .groupBy(*key).agg(F.max("mean").alias("mean"), F.max("read").alias("read")))
+    upto = Window.partitionBy(*SERIES, "field").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
     value = F.coalesce(F.last("mean", ignorenulls=True).over(upto), F.lit(0))
-    return merged.withColumn("value", value).filter("read").select("series", "field", "slot", "value")
+    return _tagged(merged.withColumn("value", value).filter("read").select(*key, "value"))
 
 
 def regroup(stats: DataFrame) -> DataFrame:
     """One row per series with all its fields in a map; series names get the self-statistic prefix."""
-    pairs = F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", int_field(F.col("value")).alias("v")))))
-    rows = stats if "series" in stats.columns else _named(stats)
-    return (rows.groupBy("series").agg(*_identity(), pairs.alias("fields"))
-            .select(F.concat(F.lit(PREFIX), F.col("measurement")).alias("measurement"), "tags", "fields"))
+    fields = F.map_from_entries(F.sort_array(F.collect_list(F.struct("field", int_field(F.col("value")).alias("v")))))
+    rows = stats if "pairs" in stats.columns else _paired(stats)
+    return _tagged(rows.groupBy(*SERIES).agg(fields.alias("fields"))).select(
+        F.concat(F.lit(PREFIX), F.col("measurement")).alias("measurement"), "tags", "fields")
 
 
 def gathered(points: DataFrame, tag: str = "source") -> DataFrame:

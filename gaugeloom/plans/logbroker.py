@@ -15,8 +15,10 @@ KEYS = ["server", "collected_at"]
 NAME = "brokerOffsets"
 
 
-def _partition_counts(partitions: DataFrame) -> DataFrame:
-    return partitions.groupBy(*KEYS, "topic").agg(F.count(F.lit(1)).alias("topicPartitionCount"))
+def _counted(partitions: DataFrame) -> DataFrame:
+    """Partitions with the number of partitions of their topic."""
+    counts = partitions.groupBy(*KEYS, "topic").agg(F.count(F.lit(1)).alias("topicPartitionCount"))
+    return partitions.join(counts, [*KEYS, "topic"])
 
 
 def _refused(df: DataFrame, message) -> DataFrame:
@@ -34,10 +36,10 @@ def offsets(tables: Mapping[str, DataFrame], topics: list[str]) -> Report:
     """
     parts = tables["topic_partitions"].filter(match_any(F.col("topic"), topics))
     rows = tables["broker_offsets"].filter(match_any(F.col("topic"), topics))
-    leaders = parts.select(*KEYS, "topic", "partition", "leader")
+    leaders = _counted(parts).select(*KEYS, "topic", "partition", "leader", "topicPartitionCount")
     placed = rows.join(leaders, [*KEYS, "topic", "partition"], "left")
     led = F.coalesce(F.col("leader") >= 0, F.lit(False))
-    good = placed.filter(led & (F.col("err") == 0)).join(_partition_counts(parts), [*KEYS, "topic"])
+    good = placed.filter(led & (F.col("err") == 0))
     table = good.select(*KEYS, "topic", "partition", "oldest", "offset",
                         epoch_ms(F.col("collected_at")).alias("timestamp"), "topicPartitionCount")
     errors = _refused(placed.filter(~led), _spot("topic leader error on")).unionByName(
@@ -48,8 +50,7 @@ def offsets(tables: Mapping[str, DataFrame], topics: list[str]) -> Report:
 def metadata(tables: Mapping[str, DataFrame], topics: list[str]) -> Report:
     """Leader, replicas and in-sync replicas of every partition."""
     parts = tables["topic_partitions"].filter(match_any(F.col("topic"), topics))
-    counted = parts.join(_partition_counts(parts), [*KEYS, "topic"])
-    good = counted.filter((F.col("topic_err") == 0) & (F.col("partition_err") == 0))
+    good = _counted(parts).filter((F.col("topic_err") == 0) & (F.col("partition_err") == 0))
     table = good.select(*KEYS, "topic", "partition", "topicPartitionCount", "leader", "replicas",
                         F.col("isr").alias("Isr"), epoch_ms(F.col("collected_at")).alias("timestamp"))
     errors = _refused(parts.filter(F.col("topic_err") != 0), F.concat(

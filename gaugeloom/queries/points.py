@@ -476,10 +476,9 @@ SELECT CAST(q.user_id AS VARCHAR) AS user_tag, q.field, q.slot,
 FROM q LEFT JOIN m ON q.user_id = m.user_id AND q.field = m.field AND q.slot = m.slot""")
 def timing_reads(spark, d):
     means = stats.timing_stats(_stat_events(spark, d), 86400)
-    reads = means.groupBy("series", "slot").agg(F.any_value("field").alias("_f")).select(
-        "series", "slot", F.explode(F.array(*map(F.lit, ("f0", "f1", "f2")))).alias("field"))
-    out = stats.fill_reads(means, reads)
-    return out.select(F.regexp_extract("series", "\x01(.*)$", 1).alias("user_tag"), "field", "slot", "value")
+    reads = means.select("measurement", "pairs", "slot").distinct().select(
+        "measurement", "pairs", "slot", F.explode(F.array(*map(F.lit, ("f0", "f1", "f2")))).alias("field"))
+    return stats.fill_reads(means, reads).select(tag("user").alias("user_tag"), "field", "slot", "value")
 
 
 @query("self_metrics", """

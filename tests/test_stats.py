@@ -29,8 +29,8 @@ def test_timing(rows):
     means = stats.timing_stats(df, 10)
     assert [r.mean for r in means.orderBy("slot").collect()] == [7, 12, -1]
     start = int(T0.timestamp())
-    series = means.first().series
-    reads = rows("series string, field string, slot bigint", *[(series, "f", start + s) for s in (-10, 0, 10, 20, 30, 40)])
+    reads = rows("field string, slot bigint", *[("f", start + s) for s in (-10, 0, 10, 20, 30, 40)]).withColumns(
+        {"measurement": F.lit("test"), "pairs": F.map_entries(F.create_map(F.lit("test"), F.lit("foo")))})
     assert [r.value for r in stats.fill_reads(means, reads).orderBy("slot").collect()] == [0, 7, 7, 12, -1, -1]
 
 
