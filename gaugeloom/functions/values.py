@@ -121,7 +121,20 @@ def int_float_string(text: Column) -> Column:
 
 def plain_number(value: Column) -> Column:
     """Shortest decimal text of a double, never with an exponent: 1.5E7 is ``15000000``."""
-    return let(value.cast("string"), _without_exponent)
+    return let(value.cast("string"), lambda text: F.when(
+        F.length(text) > 16, let(_shortest(value, text), _without_exponent)).otherwise(_without_exponent(text)))
+
+
+def _shortest(value: Column, text: Column) -> Column:
+    """The first of 15, 16 and 17 digits that reads back as the same number.
+
+    The JVM's own text of a long number can have a digit more than it needs.
+    """
+    def same(digits: int) -> Column:
+        shown = F.format_string(f"%.{digits - 1}e", value)
+        return let(shown, lambda t: F.when(t.try_cast("double") == value, F.upper(F.replace(t, F.lit("+"), F.lit("")))))
+
+    return F.coalesce(same(15), same(16), same(17), text)
 
 
 def _without_exponent(text: Column) -> Column:

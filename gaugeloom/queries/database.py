@@ -142,7 +142,9 @@ def _processlist(spark, d):
     command = (F.when(F.col("event_type") == "click", "Sleep").when(F.col("event_type") == "view", "Query")
                .when(F.col("event_type") == "error", "Binlog Dump").otherwise("Connect"))
     rows = df.select(F.col("event_id").alias("id"), F.col("event_type").alias("user"), command.alias("command"), state.alias("state"), "user_id", "ts")
-    return {"processlist": at(rows, F.col("user_id").cast("string"), F.date_trunc("day", "ts")).drop("user_id", "ts")}
+    micros = F.unix_micros("ts")
+    day = F.timestamp_micros(micros - F.pmod(micros, F.lit(86_400_000_000)))
+    return {"processlist": at(rows, F.col("user_id").cast("string"), day).drop("user_id", "ts")}
 
 
 @query("thread_state_pivot", """
