@@ -47,9 +47,9 @@ def to_records(df: DataFrame, name_key: str | None = None, time_key: str | None
     return df.select(flat_record(name_key, time_key).alias("record"))
 
 
-def write_records(df: DataFrame, path: str, mode: str = "errorifexists", **keys) -> None:
-    """One JSON object per line."""
-    to_records(df, **keys).write.mode(mode).text(path)
+def write_records(df: DataFrame, path: str, mode: str = "errorifexists", order_by: tuple[str, ...] = (), **keys) -> None:
+    """One JSON object per line; ordering, where wanted, is done here and nowhere before."""
+    to_records(df.orderBy(*order_by) if order_by else df, **keys).write.mode(mode).text(path)
 
 
 def line_field(key: Column, field: Column) -> Column:
@@ -79,6 +79,11 @@ def to_lines(df: DataFrame) -> DataFrame:
     return df.select(line_text().alias("line"))
 
 
+def trace_lines(df: DataFrame) -> DataFrame:
+    """The lines as a trace prints them."""
+    return df.select(F.concat(F.lit("> "), line_text()).alias("line"))
+
+
 def write_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     to_lines(df).write.mode(mode).text(path)
 

@@ -340,10 +340,11 @@ def digest_topk(spark, d):
     return table.select("server", "digest", "digest_text", F.col("events_statements_seconds_total").alias("seconds"))
 
 
-def _history(spark, d):
+def _history(spark, d, orders=None):
     nations = load(spark, d, "nation")
     uptime = at(nations.select("n_nationkey", (F.col("n_nationkey") + 86400).cast("double").alias("uptime_seconds")), joined("s", F.col("n_nationkey"))).drop("n_nationkey")
-    orders = load(spark, d, "orders")
+    owners = load(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    orders = load(spark, d, "orders") if orders is None else orders
     start = (F.col("o_orderkey") % 80000) * 1000003 * 1000000
     rows = at(orders.select(
         F.col("o_custkey").alias("thread_id"), F.col("o_orderkey").alias("event_id"), start.alias("timer_start"), (start + 5 * 10**11).alias("timer_end"),
@@ -353,7 +354,7 @@ def _history(spark, d):
     threads = at(load(spark, d, "customer").select(
         F.col("c_custkey").alias("thread_id"), F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_name")).alias("processlist_user"),
         joined("h", F.col("c_nationkey")).alias("processlist_host"), F.lit("shop").alias("processlist_db")), joined("s", F.col("thread_id") % 25))
-    stages = at(load(spark, d, "lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey").select(
+    stages = at(load(spark, d, "lineitem").join(owners, "l_orderkey").select(
         F.col("o_custkey").alias("thread_id"), F.col("l_orderkey").alias("nesting_event_id"), F.when(F.col("l_returnflag") != "N", F.col("l_linenumber").cast("bigint")).alias("timer_wait"),
         joined("stage/", F.col("l_linenumber")).alias("event_name")), joined("s", F.col("thread_id") % 25))
     return {"statements_history": rows, "threads": threads, "uptime": uptime, "stages_history": stages}

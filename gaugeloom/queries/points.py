@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gaugeloom.functions import maps, text, times, values
 from gaugeloom.functions.jsonflat import flatten_json
-from gaugeloom.model import series_key, to_long
+from gaugeloom.model import series_key, to_long, to_wide
 from gaugeloom.operators import filters, inputs, points as P, records, reshape, stats
 from gaugeloom.operators.filters import FilterSpec
 from gaugeloom.queries.common import K, event_points, events, joined, keys_text, load, num, query, stamp, tag
@@ -489,3 +489,40 @@ def self_metrics(spark, d):
     errors = load(spark, d, "orders").filter(F.col("o_orderstatus") == "F").select("o_orderkey")
     out = stats.self_points(pts, errors, stamp())
     return out.select("measurement", F.try_element_at("tags", F.lit("input")).alias("input"), num("metrics_gathered", "i"), num("gather_errors", "i"))
+
+
+@query("default_time", f"""
+SELECT event_id, CASE WHEN {K} % 2 = 0 THEN epoch_us(ts) * 1000 ELSE 1706745600000000000 END AS time_ns FROM events""")
+def default_time(spark, d):
+    timed = F.col("fields")["k"]["i"] % 2 == 0
+    pts = event_points(spark, d).withColumns({"ts": F.when(timed, F.col("ts")), "time_ns": F.when(timed, F.col("time_ns")), "collected_at": stamp()})
+    return inputs.default_time(pts).select("event_id", "time_ns")
+
+
+@query("first_rows", """
+SELECT event_id FROM (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1""")
+def first_rows(spark, d):
+    df = events(spark, d).select("event_id", "user_id", "ts")
+    return reshape.first_row(df, ["user_id"], [F.asc("ts"), F.asc("event_id")]).select("event_id")
+
+
+@query("wide_form", f"""
+SELECT epoch_us(ts) AS us, CAST(user_id AS VARCHAR) AS user, value, {K} AS k FROM events WHERE event_type = 'view'""")
+def wide_form(spark, d):
+    wide = to_wide(event_points(spark, d), ["user"], {"value": "f", "k": "i"}, "view")
+    return wide.select(F.unix_micros("ts").alias("us"), "user", "value", "k")
+
+
+@query("trace_lines", f"SELECT '> ' || {_LINE_SQL} AS line FROM events")
+def trace_lines(spark, d):
+    return records.trace_lines(_hard_points(spark, d))
+
+
+@query("value_types", """
+SELECT CASE event_type WHEN 'click' THEN 'counter' WHEN 'view' THEN 'gauge' ELSE 'histogram' END AS mtype, count(*) AS n FROM events GROUP BY 1""")
+def value_types(spark, d):
+    pts = event_points(spark, d)
+    kind = F.col("measurement")
+    split = [inputs.with_type(pts.filter(cond), m) for cond, m in (
+        (kind == "click", "counter"), (kind == "view", "gauge"), (~kind.isin("click", "view"), "histogram"))]
+    return split[0].unionByName(split[1]).unionByName(split[2]).groupBy("mtype").agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,9 @@ from gaugeloom.functions.times import utc
 from gaugeloom.operators.filters import FilterSpec
 from gaugeloom.operators.inputs import InputConfig, normalise
 from gaugeloom.operators.points import make_point
+from gaugeloom.plans import database as db
 from gaugeloom.queries.common import K, joined, k_of, load, num, query, tag
+from gaugeloom.queries.database import _HISTORY_SQL, _history
 from gaugeloom.streaming import landing, state
 
 
@@ -63,3 +65,16 @@ def stream_slow_interval(spark, d):
     df = _stream(spark, d).select(F.col("user_id").alias("server"), "ts")
     out = landing.drained(spark, state.slow_interval(df, "6 hours", "ts", "1 hour"), "stream-slow")
     return out.select("server", F.unix_micros("first_ts").alias("first_us"))
+
+
+@query("stream_statements", _HISTORY_SQL + """
+SELECT 's' || sn AS server, event_id, thread_id, start_us + 500000 AS end_us, c_name AS user_name
+FROM st JOIN customer ON c_custkey = thread_id WHERE has_text AND o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW' AND c_mktsegment <> 'MACHINERY'""")
+def stream_statements(spark, d):
+    """Statements land as a stream, twice; users and uptimes are tables."""
+    landed = landing.read_landing(spark, f"{d}/orders.parque[t]", load(spark, d, "orders").schema)
+    twice = landed.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+    table = db.statements(_history(spark, d, orders=twice)).table
+    once = state.dedup(table, ["server", "thread_id", "event_id"], "end_time", "30 days")
+    out = landing.drained(spark, once, "stream-statements")
+    return out.select("server", "event_id", "thread_id", F.unix_micros("end_time").alias("end_us"), F.col("processlist_user").alias("user_name"))

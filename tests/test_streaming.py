@@ -94,3 +94,17 @@ def test_slow_interval_stream(spark, rows, tmp_path):
 
 def test_scratch_folder_follows_the_session(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_incremental_runs_move_the_cursor(spark, rows, tmp_path):
+    from gaugeloom.plans import database as db
+    from gaugeloom.streaming.cursor import load_cursors, run_incremental
+    from test_jobs import history
+
+    out, mark = str(tmp_path / "out"), str(tmp_path / "cursor")
+    tables = history(spark)
+    all_statements = tables["statements_history"]
+    for landed, total in ((all_statements.filter("timer_end < 36e12"), 2), (all_statements, 3), (all_statements, 3)):
+        run_incremental(spark, lambda c, landed=landed: db.statements(tables | {"statements_history": landed}, cursors=c), out, mark)
+        assert spark.read.parquet(out).count() == total
+    assert load_cursors(spark, mark).first().end_time.timestamp() == T0.timestamp() - 60
