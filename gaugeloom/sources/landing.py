@@ -133,5 +133,10 @@ def table_or_empty(spark: SparkSession, table: str, name: str) -> DataFrame:
 
 
 def write_points(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Points as Parquet, laid out by source and day so later reads prune."""
-    (df.withColumn("day", F.to_date("ts")).write.mode(mode).partitionBy("source", "day").parquet(path))
+    """Points as Parquet, laid out by source and day so later reads prune.
+
+    Rows are rebalanced first: small folders get one file, and a source with most of the points is split over
+    many tasks.
+    """
+    (df.withColumn("day", F.to_date("ts")).hint("rebalance", "source", "day")
+     .write.mode(mode).partitionBy("source", "day").parquet(path))

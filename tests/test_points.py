@@ -142,3 +142,28 @@ def test_observed_counts_without_extra_pass(rows):
     df, seen = inputs.observed(one(rows, "m", {}, {"a": 1}), "seen")
     df.count()
     assert seen.get["metrics_gathered"] == 1
+
+
+def test_files_round_trip(spark, rows, tmp_path):
+    from gaugeloom.sources import read_lines, write_points
+
+    df = one(rows, "m", {"t": "v"}, {"a": 1}).unionByName(one(rows, "n", {}, {"b": 1.5}))
+    write_points(df, str(tmp_path / "p"))
+    back = spark.read.parquet(str(tmp_path / "p"))
+    assert points(back) == points(df) and [r.source for r in back.select("source").distinct().collect()] == ["t"]
+    records.write_lines(df, str(tmp_path / "l"))
+    assert points(from_lines(read_lines(spark, str(tmp_path / "l"))).metrics) == points(df)
+    records.write_records(df, str(tmp_path / "r"), order_by=("measurement",), name_key="_measurement")
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "r")).collect()) == ['{"_measurement":"m","a":1,"t":"v"}', '{"_measurement":"n","b":1.5}']
+
+
+def test_snapshot_reader_prunes(spark, tmp_path):
+    from gaugeloom.sources import read_snapshots
+    from helpers import snap
+
+    both = snap(spark, "a", source="x").unionByName(snap(spark, "b", source="y", endpoint="f"))
+    both.write.partitionBy("source").parquet(str(tmp_path / "in"))
+    df = read_snapshots(spark, str(tmp_path / "in"), source="y", endpoint="f")
+    assert [r.payload for r in df.collect()] == ["b"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan and "EqualTo(endpoint,f)" in plan
