@@ -143,7 +143,9 @@ def flatten_variant(doc: Column, depth: int) -> Column:
     """
     entry = "array<struct<k:string,v:variant>>"
 
+    # The type is looked at before the cast, because a cast that fails is slow: it raises inside.
     def children(e: Column) -> Column:
+        kind = F.schema_of_variant(e["v"])
         members = F.transform(
             F.map_entries(e["v"].try_cast("map<string,variant>")),
             lambda m: F.struct(F.concat(e["k"], F.lit("_"), m["key"], F.lit("_")).alias("k"), m["value"].alias("v")))
@@ -151,16 +153,14 @@ def flatten_variant(doc: Column, depth: int) -> Column:
             e["v"].try_cast("array<variant>"),
             lambda x, i: F.struct(F.concat(e["k"], F.lit("_"), i.cast("string"), F.lit("_")).alias("k"), x.alias("v")))
         same = F.array(F.struct(e["k"].alias("k"), e["v"].alias("v")))
-        return F.coalesce(members, items, same)
+        return F.when(kind.startswith("OBJECT"), members).when(kind.startswith("ARRAY"), items).otherwise(same)
 
     level = F.array(F.struct(F.lit("").alias("k"), F.try_parse_json(doc).alias("v"))).cast(entry)
     for _ in range(depth):
         level = F.flatten(F.transform(level, children))
         level = F.transform(level, lambda e: F.struct(
             F.regexp_replace(e["k"], r"\A_+|_+\z", "").alias("k"), e["v"].alias("v")))
-    nested = F.exists(level, lambda e: F.coalesce(
-        e["v"].try_cast("map<string,variant>").isNotNull(), F.lit(False))
-        | F.coalesce(e["v"].try_cast("array<variant>").isNotNull(), F.lit(False)))
+    nested = F.exists(level, lambda e: F.coalesce(F.schema_of_variant(e["v"]).rlike("^(OBJECT|ARRAY)"), F.lit(False)))
     numeric = F.filter(level, lambda e: F.schema_of_variant(e["v"]).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"))
     fields = F.transform(numeric, lambda e: F.struct(e["k"].alias("k"), e["v"].cast("double").alias("v")))
     return F.struct(F.map_from_entries(fields).alias("fields"), (~nested).alias("complete"))

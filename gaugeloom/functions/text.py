@@ -43,9 +43,13 @@ def namespace(*words: Column | str) -> Column:
     return F.replace(F.concat_ws("_", *parts), F.lit(" "), F.lit("_"))
 
 
+# The characters that count as white space.
+WHITE_SPACE = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def trim_space(col: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(col, r"\A[\s\x{85}\p{Z}]+|[\s\x{85}\p{Z}]+\z", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 _ESCAPE_TOKEN = r"\\[abfnrtv\\\"]|\\x[0-9a-fA-F]{2}|\\u[0-9a-fA-F]{4}|\\[0-3][0-7]{2}"

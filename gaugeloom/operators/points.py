@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from gaugeloom.functions.maps import once
 from gaugeloom.functions.times import nanos
@@ -27,21 +27,23 @@ def _valid_field(key: Column, value: Column) -> Column:
 _SMALL = 8
 
 
-def _compact(entries: dict[str, tuple[Column, Column]], ddl: str) -> Column:
-    """Map of the entries whose condition holds.
+def _compact(entries: dict[str, tuple[Column, Column | None]], ddl: str) -> Column:
+    """Map of the entries whose condition holds; an entry without a condition is always there.
 
     Rows that have every entry, which is most of them, build the map in generated code; only the others pay
     for filtering it.
     """
     if not entries:
         return F.expr("map()").cast(ddl)
-    kept = {k: F.when(ok, value) for k, (value, ok) in entries.items()}
+    whole = F.create_map(*[x for k, (value, _) in entries.items() for x in (F.lit(k), value)])
+    tests = [F.coalesce(ok, F.lit(False)) for _, ok in entries.values() if ok is not None]
+    if not tests:
+        return whole
+    kept = {k: value if ok is None else F.when(ok, value) for k, (value, ok) in entries.items()}
     partial = F.map_filter(F.create_map(*[x for k, v in kept.items() for x in (F.lit(k), v)]), lambda _, v: v.isNotNull())
     if len(entries) > _SMALL:
         return partial
-    whole = F.create_map(*[x for k, (value, _) in entries.items() for x in (F.lit(k), value)])
-    every = reduce(lambda a, b: a & b, [F.coalesce(ok, F.lit(False)) for _, ok in entries.values()])
-    return F.when(every, whole).otherwise(partial)
+    return F.when(reduce(lambda a, b: a & b, tests), whole).otherwise(partial)
 
 
 def make_point(
@@ -54,13 +56,16 @@ def make_point(
     name = F.lit(measurement) if isinstance(measurement, str) else measurement
     types = df.select(*[c.alias(f"c{i}") for i, c in enumerate(fields.values())]).schema
     typed = {k: field_of(c, t.dataType) for (k, c), t in zip(fields.items(), types)}
+    sure = {k for k, t in zip(fields, types)
+            if not t.nullable and isinstance(t.dataType, (T.IntegralType, T.BooleanType, T.StringType))}
     texts = {k: c.cast("string") for k, c in tags.items()}
     tag_map = _compact({k: (c, (c != "") & ~_ends_badly(c)) for k, c in texts.items()}, "map<string,string>")
-    field_map = _compact({k: (c, c.isNotNull()) for k, c in typed.items()}, f"map<string,{FIELD_DDL}>")
+    field_map = _compact({k: (c, None if k in sure else c.isNotNull()) for k, c in typed.items()}, f"map<string,{FIELD_DDL}>")
     # The row test reads the input columns, not the maps, so it reaches the scan and no map is built twice.
-    any_field = F.lit(False)
-    for c in typed.values():
-        any_field = any_field | c.isNotNull()
+    any_field = F.lit(bool(sure))
+    for k, c in typed.items():
+        if not sure:
+            any_field = any_field | c.isNotNull()
     return df.filter(any_field & (name != "") & ~_ends_badly(name)).select(
         name.alias("measurement"), tag_map.alias("tags"), field_map.alias("fields"),
         ts.alias("ts"), nanos(ts).alias("time_ns"), F.lit(mtype).alias("mtype"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeloom.functions.lookups import literal_map
-from gaugeloom.functions.maps import last_wins, once
+from gaugeloom.functions.maps import last_wins, let, once
 from gaugeloom.functions.text import server_url, trim_space
 from gaugeloom.functions.values import float_field, int_field, int_float_string, strict_int
 from gaugeloom.model import Result, no_errors
@@ -21,22 +21,30 @@ DROPPED = "mem_allocator"
 
 def sectioned(payload: Column) -> Column:
     """``struct<section,k,v>`` for every ``key:value`` line, under the last header above it."""
-    start = F.struct(F.lit("").alias("section"),
-                     F.expr("cast(array() as array<struct<section:string,k:string,v:string>>)").alias("rows"))
-
-    def block(acc: Column, text: Column) -> Column:
-        # A block is a header line and the lines up to the next header; a header without a name keeps the section.
-        head = F.regexp_extract(text, r"\A([^\r\n]*)", 1)
-        section = F.when(F.length(head) > 1, F.substring(head, F.lit(2), F.length(head))).otherwise(acc["section"])
-        pairs = F.filter(F.slice(F.split(text, r"\r?\n"), 2, 1_000_000_000), lambda line: line.contains(":"))
-        rows = F.transform(pairs, lambda line: F.struct(
+    # A block is a header line and the lines up to the next header. Lines before the first header belong to no
+    # section: a nameless header is put in front of them.
+    blocks = F.split(F.concat(F.lit("\n"), F.regexp_replace(payload, r"\A#", "\n#")), r"\n#")
+
+    def name(block: Column) -> Column:
+        head = F.rtrim(F.substring_index(block, "\n", 1), F.lit("\r"))
+        return F.when(F.length(head) > 1, F.substring(head, F.lit(2), F.length(head))).otherwise(F.lit(""))
+
+    def rows(block: Column, section: Column) -> Column:
+        pairs = F.filter(F.slice(F.split(block, r"\r?\n"), 2, 1_000_000_000), lambda line: line.contains(":"))
+        return F.transform(pairs, lambda line: F.struct(
             section.alias("section"), F.substring_index(line, ":", 1).alias("k"),
-            trim_space(F.regexp_replace(line, r"\A[^:]*:", "")).alias("v")))
-        return F.struct(section.alias("section"), F.concat(acc["rows"], rows).alias("rows"))
+            trim_space(F.substring(line, F.instr(line, ":") + 1, F.length(line))).alias("v")))
 
-    # Lines before the first header belong to no section: a nameless header is put in front of them.
-    blocks = F.split(F.concat(F.lit("\n"), F.regexp_replace(payload, r"\A#", "\n#")), r"\n#")
-    return F.aggregate(blocks, start, block, lambda acc: acc["rows"])
+    def under(names: Column) -> Column:
+        # A header without a name keeps the section before it.
+        def section(at: Column) -> Column:
+            named = F.filter(F.slice(names, 1, at + 1), lambda n: n != "")
+            own = F.element_at(names, at + 1)
+            return F.when(own != "", own).otherwise(F.coalesce(F.try_element_at(named, F.lit(-1)), F.lit("")))
+
+        return F.flatten(F.transform(blocks, lambda block, at: let(section(at), lambda s: rows(block, s))))
+
+    return let(F.transform(blocks, name), under)
 
 
 def _kept(row: Column) -> Column:

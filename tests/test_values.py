@@ -120,3 +120,7 @@ def test_wall_clock(rows):
     df = rows("c timestamp, u double, t bigint", (T0, 100.0, 40_000_000_000_123))
     out = df.select(F.unix_micros(times.wall_clock(F.col("c"), F.col("u"), F.col("t"))) - F.unix_micros("c")).first()[0]
     assert out == -60_000_000 + 0
+
+
+def test_trim_space(rows):
+    assert run(rows, text.trim_space, " \t a b \r\n", "　x", "") == ["a b", "x", ""]
