@@ -27,12 +27,13 @@ def lines(payload: Column) -> Column:
 
 
 def last_wins(entries: Column) -> Column:
-    """Map from ``struct<k,v>`` entries; of equal keys the last one stays. Null values are dropped."""
+    """Map from entries with ``k`` and ``v``; of equal keys the last one stays. Null values are dropped."""
 
     def build(kept: Column) -> Column:
         return let(F.transform(kept, lambda e: e["k"]), lambda keys: F.map_from_entries(
-            F.when(F.size(F.array_distinct(keys)) == F.size(keys), kept).otherwise(F.filter(
-                kept, lambda e, at: ~F.array_contains(F.slice(keys, at + 2, F.size(keys)), e["k"])))))
+            F.transform(F.when(F.size(F.array_distinct(keys)) == F.size(keys), kept).otherwise(F.filter(
+                kept, lambda e, at: ~F.array_contains(F.slice(keys, at + 2, F.size(keys)), e["k"]))),
+                lambda e: F.struct(e["k"], e["v"]))))
 
     return let(F.filter(entries, lambda e: e["v"].isNotNull()), build)
 

@@ -91,7 +91,7 @@ def host_port(address: Column, default_port: str) -> tuple[Column, Column, Colum
     full = F.when(address.contains(":"), address).otherwise(F.concat(address, F.lit(f":{default_port}")))
     parts = F.split(full, ":")
     ok = F.size(parts) == 2
-    return F.when(ok, parts[0]), F.when(ok, parts[1]), ok
+    return F.when(ok, F.get(parts, F.lit(0))), F.when(ok, F.get(parts, F.lit(1))), ok
 
 
 def server_url(url: Column) -> tuple[Column, Column, Column]:

@@ -31,14 +31,15 @@ def round_ns(time_ns: Column, precision_ns: int) -> Column:
 
 
 def nanos(ts: Column) -> Column:
-    return F.unix_micros(ts) * F.lit(1000)
+    """Epoch nanoseconds; NULL for a time 64 bits cannot hold."""
+    return F.try_multiply(F.unix_micros(ts), F.lit(1000))
 
 
 def wall_clock(collected_at: Column, uptime_seconds: Column, timer_ps: Column) -> Column:
     """Server start plus a picosecond timer: ``collected_at - (uptime - timer * 1e-12)`` seconds."""
-    ago_us = F.round((uptime_seconds.cast("decimal(20,6)") - timer_ps.cast("decimal(20,0)") / F.lit(10**12).cast("decimal(20,0)"))
-                     * F.lit(1_000_000), 0).cast("bigint")
-    return F.timestamp_micros(F.unix_micros(collected_at) - ago_us)
+    ago = uptime_seconds.try_cast("decimal(20,6)") - timer_ps.cast("decimal(20,0)") / F.lit(10**12).cast("decimal(20,0)")
+    ago_us = F.round(ago * F.lit(1_000_000), 0).try_cast("bigint")
+    return F.timestamp_micros(F.try_subtract(F.unix_micros(collected_at), ago_us))
 
 
 def seconds(picoseconds: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gaugeloom.functions.maps import last_wins
+
 #: Positions per ordered slice. A group longer than this is ranked slice by slice.
 SLICE = 100_000
 
@@ -38,12 +40,16 @@ def ordered_rank(df: DataFrame, keys: list[str], pos: str, out: str = "rank", sl
 def field_chunks(
     df: DataFrame, keys: list[str], pos: str, name: str, value: str, size: int = 20, slice_rows: int = SLICE,
 ) -> DataFrame:
-    """Pack the kept name/value rows of each group into field maps of at most ``size`` entries, in order."""
+    """Pack the kept name/value rows of each group into field maps of at most ``size`` entries, in order.
+
+    Of equal names in one map the later one stays.
+    """
     kept = df.filter(F.col(value).isNotNull())
     ranked = ordered_rank(kept, keys, pos, "_rank", slice_rows)
     return (ranked.withColumn("chunk", F.floor(F.col("_rank") / size))
             .groupBy(*keys, "chunk")
-            .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(name, value)))).alias("fields")))
+            .agg(last_wins(F.sort_array(F.collect_list(
+                F.struct("_rank", F.col(name).alias("k"), F.col(value).alias("v"))))).alias("fields")))
 
 
 def collect_fields(df: DataFrame, keys: list[str], pos: str, name: str, value: str) -> DataFrame:

@@ -34,14 +34,14 @@ def counter_stats(events: DataFrame) -> DataFrame:
     counted = (F.when((F.col("op") == "incr") & (F.col("set_seq").isNull() | (F.col("seq") > F.col("set_seq"))), F.col("v"))
                .otherwise(F.lit(0)))
     return _tagged(rows.join(sets, key, "left").groupBy(*key).agg(
-        (F.sum(counted) + F.coalesce(F.max("set_v"), F.lit(0))).alias("value")))
+        F.try_add(F.try_sum(counted), F.coalesce(F.max("set_v"), F.lit(0))).alias("value")))
 
 
 def timing_stats(events: DataFrame, interval_seconds: int) -> DataFrame:
     """Truncated mean per series, field and interval that saw events; setting counts as another sample."""
     slot = F.call_function("div", F.unix_seconds("ts"), F.lit(interval_seconds)) * interval_seconds
     sums = (_paired(events).withColumn("slot", slot).groupBy(*SERIES, "field", "slot")
-            .agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n")))
+            .agg(F.try_sum("v").alias("total"), F.count(F.lit(1)).alias("n")))
     return _tagged(sums.withColumn("mean", F.call_function("div", F.col("total"), F.col("n"))))
 
 

@@ -78,8 +78,8 @@ def _info_fields() -> Column:
         return F.try_element_at(whole, F.lit(-1))["v"].try_cast("bigint")
 
     hits, misses = (F.coalesce(number(k), F.lit(0)) for k in ("keyspace_hits", "keyspace_misses"))
-    rate = F.when((hits == 0) & (misses == 0), F.lit(0.0)).otherwise(hits / (hits + misses))
-    elapsed = F.unix_seconds("collected_at") - number("rdb_last_save_time")
+    rate = F.when((hits == 0) & (misses == 0), F.lit(0.0)).otherwise(F.try_divide(hits, F.try_add(hits, misses)))
+    elapsed = F.try_subtract(F.unix_seconds("collected_at"), number("rdb_last_save_time"))
     derived = F.array(
         F.struct(F.lit("rdb_last_save_time_elapsed").alias("k"), int_field(elapsed).alias("v")),
         F.struct(F.lit("keyspace_hitrate").alias("k"), float_field(rate).alias("v")))

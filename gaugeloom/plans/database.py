@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gaugeloom.functions.lookups import (
     STATUS_PICKS, SYSTEM_SCHEMAS, THREAD_STATES, auto_increment_max, status_name, thread_state,
 )
+from gaugeloom.functions.maps import last_wins
 from gaugeloom.functions.text import dsn_server, namespace
 from gaugeloom.functions.times import newer_than, seconds, wall_clock
 from gaugeloom.functions.values import int_field, parse_value, strict_int, string_field
@@ -111,8 +112,8 @@ def global_variables(tables: Tables, cfg: DatabaseConfig = DatabaseConfig()) ->
         "field": field, "version": version,
         "parsed": F.coalesce(parse_value(F.col("value"), cfg.metric_version), F.when(version, string_field(F.col("value"))))})
     chunks = field_chunks(named, KEYS, "pos", "field", "parsed")
-    versions = (named.filter("version").groupBy(*KEYS).agg(
-        F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("_versions")))
+    versions = named.filter("version").groupBy(*KEYS).agg(last_wins(F.sort_array(F.collect_list(
+        F.struct("pos", F.col("field").alias("k"), F.col("value").alias("v"))))).alias("_versions"))
     joined = chunks.join(versions, KEYS, "left")
     tags = F.map_concat(_server_tag(joined), F.coalesce("_versions", F.expr("map()").cast("map<string,string>")))
     return Result(map_point(joined, "mysql_variables", tags, F.col("fields"), F.col("collected_at"), source=SOURCE),
@@ -133,7 +134,7 @@ def binary_logs(tables: Tables, cfg: DatabaseConfig = DatabaseConfig()) -> Repor
     """Bytes and number of log files; a snapshot listed in ``servers`` without any file gets zeros."""
     logs = _table(tables, "binary_logs", cfg)
     totals = logs.groupBy(*KEYS).agg(
-        F.sum("size").cast("decimal(20,0)").alias("binary_size_bytes"), F.count(F.lit(1)).alias("binary_files_count"))
+        F.least(F.sum("size"), F.lit(str(2**64 - 1)).cast("decimal(20,0)")).cast("decimal(20,0)").alias("binary_size_bytes"), F.count(F.lit(1)).alias("binary_files_count"))
     if "servers" in tables:
         totals = _table(tables, "servers", cfg).select(*KEYS).join(totals, KEYS, "left")
     zero = F.lit(0).cast("decimal(20,0)")

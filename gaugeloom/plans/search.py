@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeloom.functions.jsonflat import flatten_json
 from gaugeloom.functions.lookups import health_code
-from gaugeloom.functions.maps import once
+from gaugeloom.functions.maps import last_wins, once
 from gaugeloom.functions.values import bool_field, int_field, string_field
 from gaugeloom.model import Report, Result, error_rows
 from gaugeloom.operators.points import map_point
@@ -54,8 +54,8 @@ def node_stats(snapshots: DataFrame, sections: tuple[str, ...] = ()) -> Result:
                         F.explode(parts).alias("part"))
     own = F.create_map(F.lit("node_id"), F.col("node_id"), F.lit("node_host"), F.col("host"),
                        F.lit("node_name"), F.col("name"), F.lit("cluster_name"), F.col("cluster_name"))
-    labels = F.transform_keys(F.coalesce("attributes", F.expr("map()").cast("map<string,string>")),
-                              lambda k, _: F.concat(F.lit("node_attribute_"), k))
+    labels = last_wins(F.transform(F.map_entries(F.coalesce("attributes", F.expr("map()").cast("map<string,string>"))), lambda e: F.struct(
+        F.concat(F.lit("node_attribute_"), e["key"]).alias("k"), e["value"].alias("v"))))
     flat = rows.select("collected_at", F.concat(F.lit("elasticsearch_"), F.col("part.section")).alias("name"),
                        F.map_concat(own, labels).alias("tags"), flatten_json(F.col("part.body")).alias("fields"))
     return Result(map_point(flat, F.col("name"), F.col("tags"), F.col("fields"), F.col("collected_at"), source=SOURCE),

@@ -26,7 +26,8 @@ def point_build(spark, d):
 @query("integer_clamp", """
 SELECT o_orderkey, least(CAST(o_orderkey AS HUGEINT) * 1000000000000000, CAST(9223372036854775807 AS HUGEINT))::BIGINT AS big FROM orders""")
 def integer_clamp(spark, d):
-    df = load(spark, d, "orders").withColumn("u", F.col("o_orderkey").cast("decimal(20,0)") * F.lit(10**15).cast("decimal(16,0)"))
+    product = F.col("o_orderkey").cast("decimal(20,0)") * F.lit(10**15).cast("decimal(16,0)")
+    df = load(spark, d, "orders").withColumn("u", F.least(product, F.lit(str(2**64 - 1)).cast("decimal(20,0)")))
     pts = P.make_point(df, "m", {}, {"big": F.col("u").cast("decimal(20,0)")}, stamp(), keep=("o_orderkey",))
     return pts.select("o_orderkey", num("big", "i"))
 

@@ -14,8 +14,8 @@ from gaugeloom.model import FIELD_DDL, INT64_MAX, Result, error_rows
 _SPACE = re.compile(r"(?<!\\) ")
 _COMMA = re.compile(r"(?<!\\),")
 _EQUALS = re.compile(r"(?<!\\)=")
-_QUOTED = re.compile(r'"(?:[^"\\]|\\.)*"', re.S)
-_BARE = re.compile(r"(?:[^, ]|(?<=\\)[, ])*")
+_QUOTED = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"', re.S)
+_BARE = re.compile(r"[^, ]*(?:(?<=\\)[, ][^, ]*)*")
 _ESCAPED_KEY = re.compile(r'\\([," =])')
 _ESCAPED_NAME = re.compile(r"\\([, ])")
 _ESCAPED_TEXT = re.compile(r'\\(["\\])')

@@ -395,3 +395,24 @@ def test_one_pass_reports_equal_the_single_ones(spark):
     docs = snap(spark, ['{"cluster_name":"c","status":"green","indices":{"i1":{"status":"red"},"i2":{}}}', '{"cluster_name":"d"}'])
     both = points(search.health(docs).points()) + points(search.index_health(docs).points())
     assert points(search.health_points(docs).metrics) == both and len(both) == 4
+
+
+def test_odd_input_does_not_stop_a_job(spark):
+    """One bad row among many must not raise: it loses a field, or becomes an error row."""
+    from datetime import datetime, timezone
+
+    odd = "# Stats\nkeyspace_hits:9223372036854775807\nkeyspace_misses:9223372036854775807\nrdb_last_save_time:-9223372036854775808\na:1\na:2\n"
+    assert only(cache.info(snap(spark, odd, "h:1")).metrics)[2] == {
+        "keyspace_hits": 2**63 - 1, "keyspace_misses": 2**63 - 1, "rdb_last_save_time": -(2**63), "a": 2}
+    late = snap(spark, MNTR, ts=datetime(9000, 1, 1, tzinfo=timezone.utc))
+    assert coord.mntr(late).metrics.first().time_ns is None
+    t = table(spark, "global_variables", *names(("Version", "1"), ("version", "2"), ("a", "3"), ("A", "4")))
+    name, tags, fields = only(db.global_variables(t).metrics)
+    assert tags["version"] == "2" and fields == {"version": 2.0, "a": 4.0}
+    twice = NODES.replace('"rack":"r1"', '"rack":"r1","rack":"r2"')
+    assert points(search.node_stats(snap(spark, twice)).metrics)[0][1]["node_attribute_rack"] == "r2"
+    t = history(spark)
+    t["uptime"] = t["uptime"].withColumn("uptime_seconds", F.lit(float("nan")))
+    assert db.statements(t).table.filter("start_time is not null").count() == 0
+    big = table(spark, "binary_logs", *[{"file": str(i), "size": Decimal(99999999999999999999)} for i in range(3)])
+    assert only(db.binary_logs(big).points())[2]["binary_size_bytes"] == 2**63 - 1
