@@ -347,6 +347,7 @@ def next_cursor(df: DataFrame, cursors: DataFrame | None = None) -> DataFrame:
 
 
 def _time_text(name: str) -> Column:
+    """Microsecond text in the session's zone, which is UTC unless it was changed."""
     return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
