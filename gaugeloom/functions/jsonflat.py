@@ -10,9 +10,12 @@ import json
 from decimal import Decimal
 
 import pyarrow as pa
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, functions as F
 
 from gaugeloom.model import FIELD, FIELD_DDL
+from gaugeloom.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 _FIELDS = f"map<string,{FIELD_DDL}>"
 _POINTS = "struct<error:string,points:array<struct<error:string,tags:map<string,string>,fields:map<string,double>>>>"

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 #: Settings every job relies on. Joins carry no broadcast hints: adaptive execution broadcasts a side
@@ -49,3 +51,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="gaugeloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_with_tasks(module: str) -> None:
+    """Send a module's functions inside the task, so executors need not have this package installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

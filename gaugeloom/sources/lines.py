@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeloom.functions.maps import once
 from gaugeloom.model import FIELD_DDL, INT64_MAX, Result, error_rows
+from gaugeloom.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 # A separator counts when no backslash stands before it; inside quotes a backslash can itself be escaped.
 _SPACE = re.compile(r"(?<!\\) ")

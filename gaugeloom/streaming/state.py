@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gaugeloom.model import series_key
+from gaugeloom.session import ship_with_tasks
+
+ship_with_tasks(__name__)
 
 
 def dedup(df: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
