@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
@@ -39,17 +38,8 @@ def build_session(app: str = "gaugeloom", master: str | None = None, **conf: str
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh path under ``spark.checkpoint.dir``.
-
-    Only a local-mode session without that setting falls back to a machine-local folder; on a cluster
-    the setting is required, because executors on other machines must see the same files.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="gaugeloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """A fresh path under ``spark.checkpoint.dir``, or, where that is unset, under the session's warehouse, which tasks share too."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
