@@ -15,9 +15,9 @@ ordinary text. Repeated rows are counted each on its own; other columns pass thr
 
 from __future__ import annotations
 
-import os
+import json
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from gaugeloom.llm.common import load, query, slices, text_bytes, worker_cache
 
 #: Pieces that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 
 
@@ -56,18 +56,40 @@ def _byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _merger(path: str):
+    """A function from a piece to its ids.
+
+    Where the file numbers its merges in their order, as byte-level vocabularies commonly do, merging by rank gives the same ids as
+    merging by the list; else the file's own model is asked.
+    """
+    signs = _byte_signs()
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    numbers = [model["vocab"]["".join(m)] for m in merges]
+    if all(a < b for a, b in zip(numbers, numbers[1:])) and all(model["vocab"][x] < numbers[0] for x in signs.values()):
+        import tiktoken
+
+        byte = {sign: b for b, sign in signs.items()}
+        known = {*signs.values(), *("".join(m) for m in merges)}
+        ranks = {bytes(byte[x] for x in piece): i for piece, i in model["vocab"].items() if piece in known}
+        # Pieces are cut already: the pattern takes each whole.
+        ranked = tiktoken.Encoding("pieces", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+        return ranked.encode_ordinary
+    from tokenizers import Tokenizer
+
+    merge = Tokenizer.from_file(path).model.tokenize
+    return lambda piece: [t.id for t in merge(piece.encode("utf-8", "replace").decode("latin-1").translate(signs))]
+
+
 class Encoder:
     """Ids of texts by the vocabulary file at ``path``."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.vocabulary = Tokenizer.from_file(path)
-        self.merge = self.vocabulary.model.tokenize
-        self.signs = _byte_signs()
+        self.path = path
+        self.merge = _merger(path)
         self.kinds = worker_cache("character_kinds", _classes)
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids as bytes: small, and quick to join
 
     def cuts(self, text: str) -> np.ndarray:
         """Places where the pieces of a text begin."""
@@ -106,17 +128,18 @@ class Encoder:
                 self.known.clear()
                 new = set(pieces)
             for p in new:
-                self.known[p] = tuple(t.id for t in self.merge(p.encode("utf-8", "replace").decode("latin-1").translate(self.signs)))
+                self.known[p] = array("i", self.merge(p)).tobytes()
             found = [self.known[p] for p in pieces]
         out, at = [], 0
         for n in sizes:
-            out.append(np.fromiter(chain.from_iterable(found[at : at + n]), np.int32))
+            out.append(np.frombuffer(b"".join(found[at : at + n]), np.int32))
             at += n
         return out
 
     def lengths(self) -> np.ndarray:
         """Bytes that each id stands for."""
-        vocabulary = self.vocabulary.get_vocab(with_added_tokens=True)
+        with open(self.path, encoding="utf-8") as f:
+            vocabulary = json.load(f)["model"]["vocab"]
         out = np.zeros(max(vocabulary.values()) + 1, np.int32)
         for piece, i in vocabulary.items():
             out[i] = len(piece)  # each byte is written as one character
