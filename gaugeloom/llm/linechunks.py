@@ -19,11 +19,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gaugeloom.llm.common import load, query
+from gaugeloom.llm.common import keep, load, query
 
 #: A boundary follows where the first hexadecimal digit of the rolling hash is at most this: 5 of 16.
 CUT_DIGIT = "4"
 MIN_LINES, LONG_WORDS = 2, 50
+#: At 16 bytes each, some 32 MB: up to it the repeated hashes are sent to every executor, more are joined by shuffle.
+BROADCAST_HASHES = 2_000_000
 
 
 def chunk_structs(text: Column) -> Column:
@@ -64,8 +66,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     """(_id, _key, start, stop) of the chunks that stand at an earlier place too."""
     rows = _chunks(docs).withColumn("h", F.xxhash64("chunk"))
     # First by hash, without any text: most chunks stand at one place.
-    places = rows.groupBy("h").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).where("first <> last").select("h")
-    likely = rows.join(places, "h", "left_semi")
+    places = keep(rows.groupBy("h").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).where("first <> last").select("h"), "repeated")
+    few = places.count() <= BROADCAST_HASHES
+    likely = rows.join(F.broadcast(places) if few else places, "h", "left_semi")
     # Then by the bytes: the group's key, and the join's, is the chunk itself.
     first = likely.groupBy("h", "chunk").agg(F.min(_place()).alias("first"))
     return likely.join(first, ["h", "chunk"]).where(_place() != F.col("first")).select("_id", "_key", "start", "stop").distinct()
