@@ -128,12 +128,12 @@ class Parser:
             now = self.table[state[:, :n] * SYMBOLS + c]
             ended = now < 0
             if ended.any():
-                count[:, :n] += ended
                 anew = self.table[roots * SYMBOLS + c]
-                anew = np.where(anew < 0, roots, anew)  # nothing matches: the letter is a phrase of its own
-                now = np.where(ended, anew, now)
+                alone = anew < 0  # nothing begins so: the letter is a phrase of its own
+                count[:, :n] += ended * ((state[:, :n] != roots) + alone.astype(np.int32))
+                now = np.where(ended, np.where(alone, roots, anew), now)
             state[:, :n] = now
-        return count + 1
+        return count + (state != roots)
 
     def costs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Bits a character, texts by languages; and which texts have letters."""
