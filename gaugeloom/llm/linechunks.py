@@ -69,8 +69,9 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     places = keep(rows.groupBy("h").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).where("first <> last").select("h"), "repeated")
     few = places.count() <= BROADCAST_HASHES
     likely = rows.join(F.broadcast(places) if few else places, "h", "left_semi")
-    # Then by the bytes: the group's key, and the join's, is the chunk itself.
-    first = likely.groupBy("h", "chunk").agg(F.min(_place()).alias("first"))
+    # Then by the bytes: the group's key, and the join's, is the chunk itself. The first places are written, so that both
+    # sides of the join are shuffles of their own and adaptive execution can split a chunk that stands everywhere.
+    first = keep(likely.groupBy("h", "chunk").agg(F.min(_place()).alias("first")), "first_places")
     return likely.join(first, ["h", "chunk"]).where(_place() != F.col("first")).select("_id", "_key", "start", "stop").distinct()
 
 
