@@ -10,12 +10,14 @@ A text's set is its distinct shingles of ``SHINGLE`` words (A-Z in lower case),
 3. *Prefixes.* Shingles are ordered by rising frequency. If two sets link, their first ``n - ceil(PERCENT n / 100) + l`` shingles share at
    least l. Each class takes the l among ``MATCHES`` whose estimated cost (postings met, plus candidates that may share l of
    them) is least; a pair must share the smaller l of its two. Shingles of one class alone head the order, and only count.
-4. *Stars.* In each prefix shingle's posting, every class is compared with the one that has the fewest shingles of its own. Verified links
-   give first groups, so a crowd of near copies is one group after as many comparisons as it has members.
-5. *The rest.* Only pairs of different groups that still share a prefix shingle can join groups: they are counted against l, verified, and the
-   groups closed again. Links inside a group can't change it, so none need be made.
+4. *Stars.* Candidates meet on the shortest prefix (l = 1). In each of its postings every class is compared with the one that has the
+   fewest shingles of its own (the largest of them), the hub. Verified links give first groups, so a crowd of near copies is one group after as many
+   comparisons as it has members, and each class knows what it shares with its hub.
+5. *The rest.* Only pairs of different groups that meet can still join groups. Their whole prefixes must share l, then they are verified, and
+   the groups closed again. Links inside a group can't change it, so none need be made.
 
-Bounds on sizes and on own shingles are part of the joins. Nothing is capped, and no posting is collected in one task.
+Bounds on what a pair can share are part of the joins: from sizes and own shingles, from the place in the order where it meets, and, for
+two classes of one hub, from what each shares with the hub. Nothing is capped, and no posting is collected in one task.
 
 Defined cases: a text of fewer words than a shingle is one shingle of them all; without words, or null, its set is empty and links with
 nothing. A group's id is its smallest doc_id (nulls are larger); a row without links has its own. Rows with one doc_id each count by their own text,
@@ -31,11 +33,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gaugeloom.llm.common import keep, load, query, slices, text_bytes
+from gaugeloom.llm.common import keep, load, query, slices, text_bytes, to_python
 
 SHINGLE, PERCENT = 4, 85
 #: Shared shingles that a prefix may be lengthened for, and what verifying a candidate costs in postings.
 MATCHES, VERIFY_COST = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32), 4.0
+#: Rows of postings longer than this carry their prefix along, so that a pair meets there only once.
+LONG_POSTING = 64
 #: One in so many shingles is in the screen's sample.
 SAMPLE = 4
 #: 16 bytes each: up to some 32 MB of class ids are sent to every executor, more are joined by shuffle.
@@ -113,7 +117,7 @@ def _sets(sample: int):
 
 def shingle_sets(docs: DataFrame, sample: int = 1) -> DataFrame:
     """(doc_id, _id, c, n, tokens): class, set size, and the shingles whose hash divides by ``sample``."""
-    return docs.mapInArrow(_sets(sample), "doc_id long, _id long, c long, n long, tokens array<long>")
+    return to_python(docs).mapInArrow(_sets(sample), "doc_id long, _id long, c long, n long, tokens array<long>")
 
 
 def _with_id(docs: DataFrame) -> DataFrame:
@@ -126,18 +130,37 @@ def _links(shared: Column, n1: Column, n2: Column) -> Column:
     return 100 * shared >= PERCENT * (n1 + n2 - shared)
 
 
-def _may_link(a: str, b: str) -> Column:
-    """Bound from sizes n and own shingles s: what both have in common is at most what neither has alone."""
-    most = F.least(F.col(f"{a}.n") - F.col(f"{a}.s"), F.col(f"{b}.n") - F.col(f"{b}.s"))
-    return _links(most, F.col(f"{a}.n"), F.col(f"{b}.n"))
+def _may_link(*most: Column) -> Column:
+    """Whether classes x and y can link when they share no more than the least of the bounds."""
+    return _links(F.least(*most) if len(most) > 1 else most[0], F.col("x.n"), F.col("y.n"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The (a, b) that link, by the sets themselves."""
+def _own_bound() -> Column:
+    """Shingles of one class alone (s of its n) are in no intersection."""
+    return F.least(F.col("x.n") - F.col("x.s"), F.col("y.n") - F.col("y.s"))
+
+
+def _place_bound() -> Column:
+    """Where two classes meet, after ``at`` shared shingles each, no more can be common than lies before, here and behind."""
+    behind = F.least(*[F.col(f"{c}.n") - F.col(f"{c}.s") - F.col(f"{c}.at") - 1 for c in "xy"])
+    return F.least("x.at", "y.at") + 1 + behind
+
+
+def _hub_bound() -> Column:
+    """For classes of one hub, sharing o with it: what both share lies in the hub's common part or in what neither shares with it."""
+    outside = F.least(*[F.col(f"{c}.n") - F.col(f"{c}.s") - F.col(f"{c}.o") for c in "xy"])
+    return F.when(F.col("x.h") == F.col("y.h"), F.least("x.o", "y.o") + outside)
+
+
+def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes na, nb of their sets and of the intersection, o."""
     one = sets.select(F.col("c").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta"))
     two = sets.select(F.col("c").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    shared = F.size(F.array_intersect("ta", "tb")).cast("bigint")
-    return pairs.join(one, "a").join(two, "b").where(_links(shared, F.col("na"), F.col("nb"))).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("bigint").alias("o"))
+
+
+def _linked(shared: DataFrame) -> DataFrame:
+    return shared.where(_links(F.col("o"), F.col("na"), F.col("nb"))).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -180,18 +203,23 @@ def prefix_choice(n: int, own: int, frequencies: np.ndarray) -> tuple[int, int]:
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        c, n = batch.column("c").to_pylist(), batch.column("n").to_pylist()
-        out: list[list] = [[], [], [], [], []]
+        n = batch.column("n").to_pylist()
+        numbers: list[list[int]] = [[], [], []]
+        prefixes = []
         for i, shared in enumerate(batch.column("shared")):
             items = shared.values
             df, token = items.field("df").to_numpy(), items.field("token").to_numpy()
             order = np.lexsort((token, df))
             own = n[i] - len(df)
             l, k = prefix_choice(n[i], own, df[order])
-            out[0] += token[order[:k]].tolist()
-            for column, value in zip(out[1:], (c[i], n[i], own, l)):
-                column += [value] * k
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["token", "c", "n", "s", "l"])
+            prefixes.append(token[order[:k]])
+            slack = n[i] - -(-PERCENT * n[i] // 100)
+            for column, value in zip(numbers, (own, l, min(k, max(0, slack + 1 - own)))):
+                column.append(value)
+        ends = np.cumsum([0, *[len(x) for x in prefixes]]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes])))
+        yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), *[pa.array(x, pa.int64()) for x in numbers], lists],
+                                         names=["c", "n", "s", "l", "first", "prefix"])
 
 
 def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -214,20 +242,36 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = shared.join(active.select("c", "n"), "c").where(100 * F.size("shared") >= PERCENT * F.col("n"))
     sets = keep(sets, "sets")
     verify = sets.select("c", "n", F.col("shared.token").alias("tokens"))
-    prefixes = keep(sets.mapInArrow(_prefixes, "token long, c long, n long, s long, l long"), "prefixes")
-
-    hubs = prefixes.groupBy("token").agg(F.min(F.struct("s", "n", "c")).alias("h")).select("token", "h.s", "h.n", "h.c")
-    stars = prefixes.alias("x").join(hubs.alias("y"), "token").where((F.col("x.c") != F.col("y.c")) & _may_link("x", "y"))
-    first = keep(_verified(stars.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct(), verify), "stars")
+    prefixes = keep(sets.mapInArrow(_prefixes, "c long, n long, s long, l long, first long, prefix array<long>"), "prefixes")
+    meeting = prefixes.select("c", "n", "s", F.posexplode(F.slice("prefix", 1, F.col("first").cast("int"))).alias("at", "token"))
+
+    hubs = meeting.groupBy("token").agg(F.max(F.struct(-F.col("s"), "n", -F.col("c"))).alias("h")).select(
+        "token", (-F.col("h.col1")).alias("s"), "h.n", (-F.col("h.col3")).alias("c"))
+    stars = meeting.alias("x").join(hubs.alias("y"), "token").where((F.col("x.c") != F.col("y.c")) & _may_link(_own_bound()))
+    stars = keep(_shared(stars.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct(), verify), "stars")
+    first = _linked(stars)
     groups = components(first)
 
-    labelled = prefixes.join(groups, prefixes["c"] == groups["node"], "left").select(*prefixes.columns, F.coalesce("label", "c").alias("g"))
-    labelled = keep(labelled, "labelled")
-    mixed = labelled.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").select("token")
-    rest = labelled.join(mixed, "token", "left_semi")
-    met = rest.alias("x").join(rest.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.g") != F.col("y.g")) & _may_link("x", "y"))
-    pairs = met.groupBy(F.col("x.c").alias("a"), F.col("y.c").alias("b")).agg(F.count("*").alias("k"), F.min(F.least("x.l", "y.l")).alias("l"))
-    second = _verified(pairs.where("k >= l").select("a", "b"), verify)
+    # Of the hubs that a class was compared with (itself, if it is one), the one that most classes were compared with.
+    known = stars.select(F.col("a").alias("c"), F.col("b").alias("h"), "o").unionByName(
+        hubs.select("c", F.col("c").alias("h"), F.col("n").alias("o")).distinct())
+    met_by = known.groupBy("h").agg(F.count("*").alias("met"))
+    hub = known.join(met_by, "h").groupBy("c").agg(F.max(F.struct("met", "h", "o")).alias("k")).select(F.col("c").alias("hc"), "k.h", "k.o")
+    labelled = prefixes.join(groups, prefixes["c"] == groups["node"], "left").join(hub, prefixes["c"] == hub["hc"], "left")
+    labelled = keep(labelled.select(*prefixes.columns, "h", "o", F.coalesce("label", "c").alias("g")), "labelled")
+    start = F.slice("prefix", 1, F.col("first").cast("int"))
+    meeting = labelled.select("c", "n", "s", "h", "o", "g", start.alias("start"), F.posexplode(start).alias("at", "token"))
+    mixed = meeting.groupBy("token").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("token", "size")
+    rest = meeting.join(mixed, "token").withColumn("start", F.when(F.col("size") > LONG_POSTING, F.col("start")))
+    # In long postings two classes meet at the first shingle that they share, and at no other.
+    once = F.coalesce(F.get(F.array_intersect("x.start", "y.start"), F.lit(0)) == F.col("x.token"), F.lit(True))
+    met = rest.alias("x").join(rest.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.g") != F.col("y.g"))
+                               & _may_link(_own_bound(), _place_bound(), _hub_bound()) & once)
+    pairs = met.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct()
+    one = prefixes.select(F.col("c").alias("a"), F.col("l").alias("la"), F.col("prefix").alias("pa"))
+    two = prefixes.select(F.col("c").alias("b"), F.col("l").alias("lb"), F.col("prefix").alias("pb"))
+    counted = pairs.join(one, "a").join(two, "b").where(F.size(F.array_intersect("pa", "pb")) >= F.least("la", "lb")).select("a", "b")
+    second = _linked(_shared(counted, verify))
     return rows, components(first.unionByName(second))
 
 
