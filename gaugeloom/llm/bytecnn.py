@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeloom.llm.common import load, query, slices, text_bytes, worker_cache
+from gaugeloom.llm.common import load, query, slices, text_bytes, to_python, worker_cache
 from gaugeloom.llm.crossparse import remainder
 
 #: Shape of the network.
@@ -151,7 +151,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, texts: int = TRAIN_TEXTS
 
 def _scorer(packed: str, names: list[str]):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = worker_cache(f"cnn_{zlib.crc32(packed.encode())}", lambda: unpack(packed))
+        net = worker_cache("cnn", packed, lambda: unpack(packed))
         for batch in slices(batches, "_data", 2 << 20):
             p = score_texts(net, [x.as_py() for x in batch.column("_data")])
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(p, pa.float64()), pa.array((p >= 0.5).astype(np.int32))],
@@ -165,7 +165,7 @@ def quality(docs: DataFrame, net: dict[str, np.ndarray]) -> DataFrame:
     names = [c for c in docs.columns if c.lower() not in ("score", "predicted", "text", "_data")]
     ready = docs.select(*names, text_bytes().alias("_data"))
     schema = ready.select(*names).schema.add("score", "double").add("predicted", "integer")
-    return ready.mapInArrow(_scorer(pack(net), names), schema)
+    return to_python(ready).mapInArrow(_scorer(pack(net), names), schema)
 
 
 @query("op5_byte_cnn")

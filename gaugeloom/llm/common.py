@@ -41,12 +41,27 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))
 
 
-def worker_cache(key: str, build: Callable):
-    """What ``build`` makes, once in each Python worker process: workers are used again for later tasks."""
+#: Rows of an Arrow batch of texts. Spark's default of 10,000 long texts would fill hundreds of MB on both sides.
+BATCH_ROWS = 1000
+
+
+def to_python(df: DataFrame) -> DataFrame:
+    """The frame, to be sent to Python in batches of at most ``BATCH_ROWS`` rows from now on in this session."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    rows = int(conf.get(setting))
+    if rows <= 0 or rows > BATCH_ROWS:
+        conf.set(setting, str(BATCH_ROWS))
+    return df
+
+
+def worker_cache(kind: str, key: str, build: Callable):
+    """What ``build`` makes, once in each Python worker process: workers are used again for later tasks. The last of each kind is kept."""
     store = sys.modules.setdefault("_gaugeloom_worker_cache", types.ModuleType("_gaugeloom_worker_cache"))
-    if not hasattr(store, key):
-        setattr(store, key, build())
-    return getattr(store, key)
+    if getattr(store, kind, (None,))[0] != key:
+        setattr(store, kind, (None,))
+        setattr(store, kind, (key, build()))
+    return getattr(store, kind)[1]
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeloom.llm.common import load, query, slices, text_bytes, worker_cache
+from gaugeloom.llm.common import load, query, slices, to_python, worker_cache
 
 #: Characters parsed as one row of the array.
 BLOCK = 1024
@@ -84,7 +84,7 @@ class Parser:
 
     def __init__(self, labelled: dict[str, list[str]]):
         self.languages = sorted(labelled)
-        self.lower = worker_cache("letters", _letters)
+        self.lower = worker_cache("letters", "", _letters)
         texts = {n: [self.lower[_points(t.encode("utf-8", "replace"))] for t in labelled[n]] for n in self.languages}
         seen, counts = np.unique(np.concatenate([np.zeros(0, np.int32), *[t[t > 0] for ts in texts.values() for t in ts]]), return_counts=True)
         common = seen[np.argsort(-counts, kind="stable")][: SYMBOLS - 2]
@@ -173,13 +173,13 @@ def labelled_sample(labelled: DataFrame, texts: int = TRAIN_TEXTS, chars: int =
     return out
 
 
-def _predictor(packed: str, names: list[str], kinds: pa.Schema):
+def _predictor(packed: str, names: list[str]):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
 
-        parser = worker_cache(f"parser_{zlib.crc32(packed.encode())}", lambda: Parser(json.loads(zlib.decompress(base64.b64decode(packed)))))
+        parser = worker_cache("parser", packed, lambda: Parser(json.loads(zlib.decompress(base64.b64decode(packed)))))
         for batch in slices(batches, "_data", 2 << 20):
-            costs, has = parser.costs([x.as_py() for x in batch.column("_data")])
+            costs, has = parser.costs([x.as_py() or b"" for x in batch.column("_data")])
             lang, score = [], []
             for c, letters in zip(costs, has):
                 if not letters or not len(c):
@@ -197,15 +197,20 @@ def _predictor(packed: str, names: list[str], kinds: pa.Schema):
     return predict
 
 
-def identify(docs: DataFrame, labelled: dict[str, list[str]]) -> DataFrame:
-    """``docs`` with lang_pred, score (share of the winner, 0 to 1) and bits (a character); the text stays as it was."""
+def identify(docs: DataFrame, labelled: dict[str, list[str]], text: bool = True) -> DataFrame:
+    """``docs`` with lang_pred, score (share of the winner, 0 to 1) and bits (a character); without the text unless ``text``."""
     import json
 
     packed = base64.b64encode(zlib.compress(json.dumps(labelled, sort_keys=True).encode())).decode()
     names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "bits", "_data")]
-    ready = docs.select(*names).withColumn("_data", text_bytes())
-    schema = docs.select(*names).schema.add("lang_pred", "string").add("score", "double").add("bits", "double")
-    return ready.mapInArrow(_predictor(packed, names, None), schema)
+    sent = [c for c in names if c.lower() != "text"]
+    # The text goes over as bytes and comes back as such: once each way, and unharmed.
+    ready = docs.select(*sent, F.col("text").cast("binary").alias("_data"))
+    back = [*sent, "_data"] if text else sent
+    schema = ready.select(*back).schema.add("lang_pred", "string").add("score", "double").add("bits", "double")
+    out = to_python(ready).mapInArrow(_predictor(packed, back), schema)
+    made = [F.col(c) for c in ("lang_pred", "score", "bits")]
+    return out.select(*[F.col("_data").cast("string").alias(c) if c.lower() == "text" else F.col(c) for c in names if text or c in sent], *made)
 
 
 def remainder(divisor: int) -> Column:
@@ -218,7 +223,7 @@ def document_languages(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     held = F.coalesce(remainder(4) == 2, F.lit(False))
     sample = labelled_sample(docs.where(~held))
-    return identify(docs.select("doc_id", "text").withColumns({"held_out": held}), sample).select("doc_id", "held_out", "lang_pred", "score", "bits")
+    return identify(docs.select("doc_id", "text").withColumns({"held_out": held}), sample, text=False).select("doc_id", "held_out", "lang_pred", "score", "bits")
 
 
 def language_stage(spark, docs, sf_dir):

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeloom.llm.common import load, query, slices, text_bytes, worker_cache
+from gaugeloom.llm.common import load, query, slices, text_bytes, to_python, worker_cache
 from gaugeloom.llm.crossparse import suffix_automaton
 
 #: Phrases whose every place counts, and their labels.
@@ -185,7 +185,7 @@ _DDL = ("n_words long, n_base long, first_word long, last_word long, base_labels
 
 def _scanner(names: list[str]):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = worker_cache("licence_scanner", Scanner)
+        scanner = worker_cache("licences", "", Scanner)
         for batch in slices(batches, "_data"):
             rows = [scanner.scan(x.as_py()) for x in batch.column("_data")]
             made = [pa.array([r[f.name] for r in rows], f.type) for f in RESULT]
@@ -199,7 +199,7 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     names = [c for c in docs.columns if c.lower() not in {*RESULT.names, "text", "_data"}]
     ready = docs.select(*names, text_bytes().alias("_data"))
     schema = ", ".join([docs.select(*names).schema.simpleString()[7:-1], _DDL]) if names else _DDL
-    return ready.mapInArrow(_scanner(names), schema)
+    return to_python(ready).mapInArrow(_scanner(names), schema)
 
 
 @query("op3_licence_scan")

@@ -12,6 +12,8 @@ ids. Repeated rows are documents of their own. A null doc_id is kept. Other colu
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -63,7 +65,7 @@ def pack_group(documents: list[np.ndarray], room: int) -> list[tuple[int, int, i
 
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.list_(pa.int32())),
-                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
+                     ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
 
 def _packer(path: str, room: int, end_id: int):
@@ -88,44 +90,30 @@ def _packer(path: str, room: int, end_id: int):
         flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return pa.table([
             pa.array([names[order[p[0]]] for p in pieces], pa.int64()), pa.array([p[1] for p in pieces], pa.int64()), pa.array([p[2] for p in pieces], pa.int64()),
-            pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array([len(documents[p[0]]) for p in pieces], pa.int64()),
+            pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()),
+            pa.array([len(documents[p[0]]) for p in pieces], pa.int64()),
             pa.array([base + p[3] for p in pieces], pa.int64()), pa.array([p[4] for p in pieces], pa.int64())], schema=_SCHEMA)
 
     return pack
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, room: int = SEQUENCE, end_id: int = END_ID, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """Pieces: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
+    """Pieces: doc_id, start, length, ids, their CRC-32 as little-endian 32-bit numbers, doc_tokens, sequence_id, offset."""
     ready = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("_data"))
     total = ready.select(F.sum(F.length("_data"))).first()[0] or 0
     groups = max(1, -(-total // group_bytes))
     dealt = ready.withColumn("_group", F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(groups)))
     return dealt.groupBy("_group").applyInArrow(
         _packer(path or vocabulary_path(), room, end_id),
-        "doc_id long, start long, length long, ids array<int>, doc_tokens long, sequence_id long, offset long")
-
-
-def _digest(batches):
-    import zlib
-
-    for batch in batches:
-        crc = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) for x in batch.column("ids")]
-        kept = [batch.column(n) for n in ("doc_id", "start", "length")]
-        rest = [batch.column(n) for n in ("doc_tokens", "sequence_id", "offset")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(crc, pa.int64()), *rest],
-                                         names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-
-def piece_digests(pieces: DataFrame) -> DataFrame:
-    return pieces.mapInArrow(_digest, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+        "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 @query("op7_ffd_packing")
 def packed_documents(spark, sf_dir):
     """Pieces of all documents in sequences of 2048 tokens; the ids as their CRC-32."""
-    return piece_digests(pack_documents(load(spark, sf_dir, "documents")))
+    return pack_documents(load(spark, sf_dir, "documents")).drop("ids")
 
 
 def packing_stage(spark, docs, sf_dir):
     """Pieces of the documents that earlier stages kept."""
-    return piece_digests(pack_documents(docs))
+    return pack_documents(docs).drop("ids")

@@ -23,10 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gaugeloom.llm.common import load, query, slices, text_bytes, worker_cache
+from gaugeloom.llm.common import load, query, slices, text_bytes, to_python, worker_cache
 
 #: Pieces that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 4
 
 
@@ -88,7 +88,7 @@ class Encoder:
     def __init__(self, path: str):
         self.path = path
         self.merge = _merger(path)
-        self.kinds = worker_cache("character_kinds", _classes)
+        self.kinds = worker_cache("kinds", "", _classes)
         self.known: dict[str, bytes] = {}  # ids as bytes: small, and quick to join
 
     def cuts(self, text: str) -> np.ndarray:
@@ -147,7 +147,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    return worker_cache(f"encoder_{path}", lambda: Encoder(path))
+    return worker_cache("encoder", path, lambda: Encoder(path))
 
 
 def section_counts(ids: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +203,7 @@ def line_tokens(docs: DataFrame, path: str | None = None) -> DataFrame:
     schema = ready.select(*names).schema
     for n in made:
         schema = schema.add(n, "long")
-    return ready.mapInArrow(_counter(path or vocabulary_path(), names), schema)
+    return to_python(ready).mapInArrow(_counter(path or vocabulary_path(), names), schema)
 
 
 @query("op4_offset_tokens")
