@@ -7,6 +7,7 @@ batch to Python and gets a map column back. They see one document at a time and
 from __future__ import annotations
 
 import json
+import re
 from decimal import Decimal
 
 import pyarrow as pa
@@ -37,17 +38,29 @@ def load(text):
     return json.loads(text, parse_constant=_reject, parse_float=_finite, parse_int=_finite)
 
 
-def leaves(value, name=""):
-    """(path, scalar) pairs in document order; path parts are joined by ``_``, array positions included."""
-    name = name.strip("_")
-    if isinstance(value, dict):
-        for key, child in value.items():
-            yield from leaves(child, f"{name}_{key}_")
-    elif isinstance(value, list):
-        for at, child in enumerate(value):
-            yield from leaves(child, f"{name}_{at}_")
-    elif value is not None:
-        yield name, value
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def whole(text):
+    """The text with U+FFFD for every half of a surrogate pair, which no column can hold."""
+    return _LONE.sub("\ufffd", text)
+
+
+def leaves(value):
+    """(path, scalar) pairs in document order; path parts are joined by ``_``, array positions included.
+
+    Open members wait on a list of their own, so no depth is too much.
+    """
+    waiting = [("", value)]
+    while waiting:
+        name, value = waiting.pop()
+        name = name.strip("_")
+        if isinstance(value, dict):
+            waiting += [(f"{name}_{whole(key)}_", child) for key, child in reversed(value.items())]
+        elif isinstance(value, list):
+            waiting += [(f"{name}_{at}_", value[at]) for at in range(len(value) - 1, -1, -1)]
+        elif value is not None:
+            yield name, whole(value) if isinstance(value, str) else value
 
 
 def number_text(value):
@@ -100,7 +113,7 @@ def _point(doc, tag_keys):
         elif isinstance(value, float):
             tags[key] = number_text(value)
         elif isinstance(value, str):
-            tags[key] = value
+            tags[key] = whole(value)
     fields = {k: v for k, v in leaves(doc) if isinstance(v, float)}
     return {"error": None if fields else "no numeric member", "tags": list(tags.items()), "fields": list(fields.items())}
 

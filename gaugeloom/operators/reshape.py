@@ -8,11 +8,16 @@ from gaugeloom.functions.maps import last_wins
 
 #: Positions per ordered slice. A group longer than this is ranked slice by slice.
 SLICE = 100_000
+#: Slice of rows without a position: below that of every position.
+_BEFORE = -(2**63)
 
 
 def _sliced(df: DataFrame, keys: list[str], pos: str, slice_rows: int) -> DataFrame:
-    """Rows with their group as one struct, which also compares groups with NULL parts, and their position slice."""
-    return df.withColumns({"_key": F.struct(*[F.col(f"`{k}`") for k in keys]), "_slice": F.floor(F.col(f"`{pos}`") / slice_rows)})
+    """Rows with their group as one struct, which also compares groups with NULL parts, and their position slice.
+
+    Rows without a position come first, as they do in an ordering.
+    """
+    return df.withColumns({"_key": F.struct(*[F.col(f"`{k}`") for k in keys]), "_slice": F.coalesce(F.floor(F.col(f"`{pos}`") / slice_rows), F.lit(_BEFORE))})
 
 
 def _inside(pos: str):

@@ -85,7 +85,9 @@ def overview(snapshots: DataFrame, cfg: BrokerConfig = BrokerConfig()) -> Report
 
 
 def _items(snapshots: DataFrame, ddl: str) -> tuple[DataFrame, DataFrame]:
-    parsed = once(snapshots, _d=F.from_json("payload", ddl))
+    # An array schema would take a lone object, such as an error reply, for an array of one.
+    listed = F.when(F.col("payload").rlike(r"\A\s*\["), F.col("payload"))
+    parsed = once(snapshots, _d=F.from_json(listed, ddl))
     items = parsed.select(*KEYS, F.col("server").alias("url"), F.explode("_d").alias("x"))
     return items, _errors(parsed.filter(F.col("_d").isNull()), "invalid reply")
 

@@ -30,7 +30,7 @@ def sectioned(payload: Column) -> Column:
         return F.when(F.length(head) > 1, F.substring(head, F.lit(2), F.length(head))).otherwise(F.lit(""))
 
     def rows(block: Column, section: Column) -> Column:
-        pairs = F.filter(F.slice(F.split(block, r"\r?\n"), 2, 1_000_000_000), lambda line: line.contains(":"))
+        pairs = F.filter(F.split(block, r"\r?\n"), lambda line, i: (i > 0) & line.contains(":"))
         return F.transform(pairs, lambda line: F.struct(
             section.alias("section"), F.substring_index(line, ":", 1).alias("k"),
             trim_space(F.substring(line, F.instr(line, ":") + 1, F.length(line))).alias("v")))

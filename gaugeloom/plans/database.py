@@ -124,7 +124,8 @@ def replication(tables: Tables, cfg: DatabaseConfig = DatabaseConfig(), order: s
     """The first replication row of a snapshot; every column is a field, found at run time."""
     rows = _table(tables, "slave_status", cfg)
     columns = [c for c in rows.columns if c not in KEYS and c != order]
-    one = first_row(rows, KEYS, [F.col(order)]) if order else rows.dropDuplicates(KEYS)
+    # Without a position every column orders the rows, so that the same one is taken in each run.
+    one = first_row(rows, KEYS, [F.col(f"`{c}`") for c in ([order] if order else columns)])
     fields = {f"slave_{c.lower()}": parse_value(F.col(f"`{c}`").cast("string"), cfg.metric_version) for c in columns}
     points = make_point(one, "mysql", {"server": F.col("server")}, fields, F.col("collected_at"), source=SOURCE)
     return Result(points, no_errors(rows.sparkSession))
@@ -150,15 +151,20 @@ def _connections(tables: Tables, cfg: DatabaseConfig) -> DataFrame:
 
 
 def process_list(tables: Tables, cfg: DatabaseConfig = DatabaseConfig()) -> Report:
-    """Threads per state, one row per snapshot with all states, zeros included."""
+    """Threads per state, one row per snapshot with all states, zeros included.
+
+    The collector's own thread is counted as none rather than left out, and snapshots listed in ``servers`` get a row without any
+    thread, so an idle server is reported too.
+    """
     rows = _connections(tables, cfg)
-    if cfg.own_connection is not None:
-        rows = rows.filter(F.col("id") != cfg.own_connection)
-    counted = rows.groupBy(*KEYS, "command", "state").agg(F.count(F.lit(1)).alias("n"))
+    counts = F.lit(True) if cfg.own_connection is None else F.col("id").isNull() | (F.col("id") != cfg.own_connection)
+    counted = rows.groupBy(*KEYS, "command", "state").agg(F.count_if(counts).alias("n"))
     mapped = counted.withColumn("thread_state", thread_state(F.col("command"), F.col("state")))
     names = {s: f"threads_{s.replace(' ', '_')}" for s in THREAD_STATES}
     wide = mapped.groupBy(*KEYS).agg(*[
         F.coalesce(F.sum(F.when(F.col("thread_state") == s, F.col("n"))), F.lit(0)).alias(n) for s, n in names.items()])
+    if "servers" in tables:
+        wide = _table(tables, "servers", cfg).select(*KEYS).distinct().join(wide, KEYS, "left").fillna(0, list(names.values()))
     return Report(_perf_name("mysql_info_schema", "mysql_process_list", cfg), wide, {"server": "server"},
                   {n: n for n in names.values()}, SOURCE)
 
@@ -320,12 +326,17 @@ def table_sizes(tables: Tables, cfg: DatabaseConfig = DatabaseConfig()) -> Repor
 
 
 def _timed_statements(tables: Tables, cfg: DatabaseConfig) -> DataFrame:
-    """Statement history with wall-clock start and end times."""
+    """Statement history with wall-clock start and end times, which are NULL where no uptime landed. One uptime counts for a snapshot."""
     rows = _table(tables, "statements_history", cfg)
-    uptime = _table(tables, "uptime", cfg).select(*KEYS, "uptime_seconds")
+    uptime = _table(tables, "uptime", cfg).groupBy(*KEYS).agg(F.max("uptime_seconds").alias("uptime_seconds"))
     clock = {new: wall_clock(F.col("collected_at"), F.col("uptime_seconds"), F.col(old))
              for new, old in (("start_time", "timer_start"), ("end_time", "timer_end"))}
-    return rows.join(uptime, KEYS).withColumns(clock)
+    return rows.join(uptime, KEYS, "left").withColumns(clock)
+
+
+def _without_uptime(timed: DataFrame) -> DataFrame:
+    return error_rows(timed.filter(F.col("uptime_seconds").isNull()), SOURCE, F.lit("no uptime for the snapshot"),
+                      server=F.col("server"), ts=F.col("collected_at"))
 
 
 def after_cursor(df: DataFrame, cursors: DataFrame | None, start=None) -> DataFrame:
@@ -358,7 +369,7 @@ def statements(tables: Tables, cfg: DatabaseConfig = DatabaseConfig(), cursors:
         F.col("digest_text").isNotNull() & _not_system("current_schema") & F.col("event_name").isin(*STATEMENT_EVENTS))}, cfg)
     threads = _table(tables, "threads", cfg).select(
         *KEYS, "thread_id", "processlist_user", "processlist_host", "processlist_db")
-    joined = (after_cursor(wanted, cursors, start).join(threads, [*KEYS, "thread_id"], "left")
+    joined = (after_cursor(wanted.filter(F.col("uptime_seconds").isNotNull()), cursors, start).join(threads, [*KEYS, "thread_id"], "left")
               .filter(F.col("processlist_user").isNotNull()))
     out = joined.select(
         *KEYS, "thread_id", "event_id", "start_time", "end_time", "current_schema", F.col("timer_wait").alias("execution_time"),
@@ -367,7 +378,7 @@ def statements(tables: Tables, cfg: DatabaseConfig = DatabaseConfig(), cursors:
     fields = ["server", "current_schema", "thread_id", "event_id", "execution_time", "digest_text", "digest",
               "sql_text", "processlist_user", "processlist_host", "processlist_db"]
     return Report("eventStatement", out, {}, {
-        "start_time": "start_text", "end_time": "end_text", **{c: c for c in fields}}, SOURCE)
+        "start_time": "start_text", "end_time": "end_text", **{c: c for c in fields}}, SOURCE, _without_uptime(wanted))
 
 
 def stages(tables: Tables, cfg: DatabaseConfig = DatabaseConfig(), cursors: DataFrame | None = None,
@@ -381,7 +392,7 @@ def stages(tables: Tables, cfg: DatabaseConfig = DatabaseConfig(), cursors: Data
         F.col("timer_wait").alias("stage_time"))
     if cfg.stage_join_by_event_only:
         stage = stage.drop("thread_id")
-    joined = (after_cursor(wanted, cursors, start).join(stage, on, "left")
+    joined = (after_cursor(wanted.filter(F.col("uptime_seconds").isNotNull()), cursors, start).join(stage, on, "left")
               .filter(F.col("stage_name").isNotNull() & F.col("stage_time").isNotNull()))
     out = joined.select(
         *KEYS, "thread_id", "event_id", "start_time", "end_time", F.col("timer_wait").alias("sql_time"),
@@ -390,7 +401,7 @@ def stages(tables: Tables, cfg: DatabaseConfig = DatabaseConfig(), cursors: Data
         F.lit("event_stage").alias("measurements"))
     fields = ["server", "measurements", "thread_id", "event_id", "sql_time", "digest_text", "digest", "event_name", "stage_time"]
     return Report("eventStage", out, {}, {
-        "start_time": "start_text", "end_time": "end_text", **{c: c for c in fields}}, SOURCE)
+        "start_time": "start_text", "end_time": "end_text", **{c: c for c in fields}}, SOURCE, _without_uptime(wanted))
 
 
 #: Report name to job. Each runs on its own; ``gather`` in the registry joins the chosen ones.

@@ -113,10 +113,23 @@ def amqp_queues(spark, d):
     return table.select("url", "queue", "vhost", "durable", "auto_delete", "messages", "messages_ack_rate", "consumer_utilisation", "idle_since")
 
 
-@query("amqp_queues_off", "SELECT c_name AS url, 'q' AS queue FROM customer WHERE false")
+@query("amqp_queues_off", "SELECT c_name AS url, 'q' || c_custkey AS queue, 'on' AS mode FROM customer")
 def amqp_queues_off(spark, d):
     doc = joined('[{"name":"q', F.col("c_custkey"), '"}]')
-    return amqp.queues(snapshots(load(spark, d, "customer"), F.col("c_name"), doc), amqp.BrokerConfig(queue_exclude=("a", "*"))).table.select("url", "queue")
+    rows = snapshots(load(spark, d, "customer"), F.col("c_name"), doc)
+    on, off = (amqp.queues(rows, amqp.BrokerConfig(queue_exclude=e)).table.select("url", "queue", F.lit(m).alias("mode")) for m, e in (("on", ("a",)), ("off", ("a", "*"))))
+    return on.unionByName(off)
+
+
+@query("amqp_bad_replies", """
+SELECT c_custkey % 3 AS kind, count(*) FILTER (WHERE c_custkey % 3 = 0) AS points, count(*) FILTER (WHERE c_custkey % 3 <> 0) AS errors FROM customer GROUP BY ALL""")
+def amqp_bad_replies(spark, d):
+    """Arrays, lone error objects and truncated text, a third each: points of the first, errors of the others."""
+    kind = F.col("c_custkey") % 3
+    doc = F.when(kind == 0, F.lit('[{"name":"n"}]')).when(kind == 1, F.lit('{"error":"not_authorised","reason":"Login failed"}')).otherwise(F.lit('[{"name":"n'))
+    report = amqp.nodes(snapshots(load(spark, d, "customer"), kind.cast("string"), doc))
+    both = report.table.select("server", F.lit(1).alias("p"), F.lit(0).alias("e")).unionByName(report.errors.select("server", F.lit(0).alias("p"), F.lit(1).alias("e")))
+    return both.groupBy(F.col("server").cast("bigint").alias("kind")).agg(F.sum("p").alias("points"), F.sum("e").alias("errors"))
 
 
 @query("amqp_exchanges", """

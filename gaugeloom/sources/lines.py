@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 
 import pyarrow as pa
@@ -23,6 +24,10 @@ _ESCAPED_KEY = re.compile(r'\\([," =])')
 _ESCAPED_NAME = re.compile(r"\\([, ])")
 _ESCAPED_TEXT = re.compile(r'\\(["\\])')
 
+#: How numbers are written.
+_WHOLE = re.compile(r"[+-]?[0-9]+", re.A)
+_NUMBER = re.compile(r"-?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?", re.A)
+
 _ROW = f"struct<error:string,measurement:string,tags:map<string,string>,fields:map<string,{FIELD_DDL}>,time_ns:bigint>"
 _ARROW = pa.struct([
     ("error", pa.string()), ("measurement", pa.string()), ("tags", pa.map_(pa.string(), pa.string())),
@@ -38,13 +43,19 @@ def _value(text):
         return {"kind": "s", "s": _ESCAPED_TEXT.sub(r"\1", text[1:-1])}
     if first in ("t", "T", "f", "F"):
         return {"kind": "b", "b": first in "tT"}
-    try:
-        if text.endswith("i"):
-            number = int(text[:-1])
-            return {"kind": "i", "i": number} if -INT64_MAX - 1 <= number <= INT64_MAX else None
-        return {"kind": "f", "f": float(text)} if first.isdigit() or first == "-" else None
-    except ValueError:
+    if text.endswith("i"):
+        number = _int64(text[:-1])
+        return None if number is None else {"kind": "i", "i": number}
+    number = float(text) if _NUMBER.fullmatch(text) and first != "." else math.inf
+    return {"kind": "f", "f": number} if math.isfinite(number) else None
+
+
+def _int64(text):
+    """A whole number that 64 bits hold, or None. Its length is looked at before its value."""
+    if not _WHOLE.fullmatch(text) or len(text.lstrip("+-0")) > 19:
         return None
+    number = int(text)
+    return number if -INT64_MAX - 1 <= number <= INT64_MAX else None
 
 
 def _fail(message):
@@ -84,9 +95,8 @@ def _point(line):
     if not fields:
         return _fail("must have one or more fields")
     rest = line[at:].strip()
-    try:
-        time_ns = int(rest) if rest else None
-    except ValueError:
+    time_ns = _int64(rest) if rest else None
+    if rest and time_ns is None:
         return _fail(f"bad time: {rest}")
     return {"measurement": _ESCAPED_NAME.sub(r"\1", name), "tags": list(tags.items()),
             "fields": list(fields.items()), "time_ns": time_ns}

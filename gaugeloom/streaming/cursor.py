@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -37,6 +38,6 @@ def run_incremental(
     The cursors are taken from the rows that were written, so rows landing meanwhile are left for the next run.
     """
     report = job(load_cursors(spark, cursor_path))
-    batch = f"{out}/run={spark.sparkContext.applicationId}-{spark.range(1).select(F.uuid()).first()[0]}"
+    batch = f"{out}/run={spark.sparkContext.applicationId}-{uuid.uuid4()}"
     report.table.write.mode("overwrite").parquet(batch)
     save_cursors(next_cursor(spark.read.schema(report.table.schema).parquet(batch)), cursor_path)
