@@ -255,7 +255,8 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Of the hubs that a class was compared with (itself, if it is one), the one that most classes were compared with.
     known = stars.select(F.col("a").alias("c"), F.col("b").alias("h"), "o").unionByName(
         hubs.select("c", F.col("c").alias("h"), F.col("n").alias("o")).distinct())
-    met_by = known.groupBy("h").agg(F.count("*").alias("met"))
+    # Written, so that the join's two sides are shuffles of their own and a hub of many classes can be split.
+    met_by = keep(known.groupBy("h").agg(F.count("*").alias("met")), "met")
     hub = known.join(met_by, "h").groupBy("c").agg(F.max(F.struct("met", "h", "o")).alias("k")).select(F.col("c").alias("hc"), "k.h", "k.o")
     labelled = prefixes.join(groups, prefixes["c"] == groups["node"], "left").join(hub, prefixes["c"] == hub["hc"], "left")
     labelled = keep(labelled.select(*prefixes.columns, "h", "o", F.coalesce("label", "c").alias("g")), "labelled")
