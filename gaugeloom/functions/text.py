@@ -34,8 +34,8 @@ def split_list(col: Column) -> Column:
 
 
 def mask_url(col: Column) -> Column:
-    """Hide the user and password of every URL in a message."""
-    return F.regexp_replace(col, r"https?:\/\/\S+:\S+@", "http(s)://XXX:XXX@")
+    """Hide the user and password of every URL in a message; up to the last ``@`` of a word, as a password may hold one."""
+    return F.regexp_replace(col, r"(?:http|https)://[^\s]+:[^\s]+@", "http(s)://XXX:XXX@")
 
 
 def namespace(*words: Column | str) -> Column:

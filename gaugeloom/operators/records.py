@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gaugeloom.functions.maps import once
 from gaugeloom.functions.text import escape
 from gaugeloom.functions.values import plain_number
 
@@ -64,8 +65,7 @@ def _line_parts() -> tuple[Column, Column]:
     tags = F.transform(F.sort_array(F.map_entries("tags")), lambda e: F.concat(
         F.lit(","), escape(e["key"], "tagkey"), F.lit("="), escape(e["value"], "tagval")))
     head = F.concat(escape(F.col("measurement"), "name"), F.array_join(tags, ""))
-    keys = F.sort_array(F.map_keys("fields"))
-    texts = F.transform(keys, lambda k: line_field(k, F.element_at(F.col("fields"), k)))
+    texts = F.transform(F.sort_array(F.map_entries("fields")), lambda e: line_field(e["key"], e["value"]))
     return head, texts
 
 
@@ -95,24 +95,27 @@ def split_points(df: DataFrame, max_size: int) -> DataFrame:
     own still gets its own point. Points within the limit are passed on unchanged.
     """
     head, texts = _line_parts()
-    staged = df.withColumns({"_texts": texts, "_fixed": F.octet_length(head) + F.length(F.col("time_ns").cast("string")) + 3})
-    total = F.col("_fixed") + F.aggregate("_texts", F.lit(0), lambda n, t: n + F.octet_length(t) + 1) - 1
-    keys = F.sort_array(F.map_keys("fields"))
-    sized = F.arrays_zip(keys.alias("k"), F.transform("_texts", lambda t: F.octet_length(t)).alias("n"))
-    start = F.struct(F.lit(0).alias("used"), F.lit(0).alias("chunk"),
-                     F.expr("cast(array() as array<struct<k:string,chunk:int>>)").alias("out"))
-
-    def pack(acc: Column, item: Column) -> Column:
-        full = (acc["used"] > 0) & (item["n"] + acc["used"] + F.col("_fixed") >= max_size)
-        chunk = F.when(full, acc["chunk"] + 1).otherwise(acc["chunk"])
-        used = F.when(full | (acc["used"] == 0), item["n"]).otherwise(acc["used"] + 1 + item["n"])
-        return F.struct(used.alias("used"), chunk.alias("chunk"), F.concat(
-            acc["out"], F.array(F.struct(item["k"].alias("k"), chunk.alias("chunk")))).alias("out"))
-
-    placed = F.aggregate(sized, start, pack)
-    plan = F.when(total <= max_size, F.array(F.map_keys("fields"))).otherwise(F.transform(
-        F.sequence(F.lit(0), placed["chunk"]),
-        lambda c: F.transform(F.filter(placed["out"], lambda o: o["chunk"] == c), lambda o: o["k"])))
-    out = staged.withColumn("_keys", F.explode(plan))
-    chosen = F.map_filter("fields", lambda k, _: F.array_contains(F.col("_keys"), k))
-    return out.withColumn("fields", chosen).drop("_texts", "_fixed", "_keys")
+    sized = once(df, _entries=F.sort_array(F.map_entries("fields")), _sizes=F.transform(texts, lambda t: F.octet_length(t)),
+                 _fixed=F.octet_length(head) + F.length(F.col("time_ns").cast("string")) + 3)
+    total = F.col("_fixed") + F.aggregate("_sizes", F.lit(0), lambda n, size: n + size + 1) - 1
+    # Position of the first field of every part. Only these are gathered, so a point's cost follows its fields.
+    zero = F.struct(F.lit(0).alias("used"), F.lit(0).alias("at"), F.array(F.lit(1)).alias("starts"))
+
+    def pack(acc: Column, size: Column) -> Column:
+        full = (acc["used"] > 0) & (size + acc["used"] + F.col("_fixed") >= max_size)
+        used = F.when(full | (acc["used"] == 0), size).otherwise(acc["used"] + 1 + size)
+        at = acc["at"] + 1
+        return F.struct(used.alias("used"), at.alias("at"),
+                        F.when(full, F.concat(acc["starts"], F.array(at))).otherwise(acc["starts"]).alias("starts"))
+
+    staged = once(sized, _total=total)
+    starts = F.when(F.col("_total") > max_size, F.aggregate("_sizes", zero, pack, lambda acc: acc["starts"]))
+    cut = once(staged, _starts=starts)
+
+    def part(start: Column, i: Column) -> Column:
+        end = F.coalesce(F.try_element_at("_starts", i + 2), F.size("_entries") + 1)
+        return F.map_from_entries(F.slice("_entries", start, end - start))
+
+    parts = F.when(F.col("_total") <= max_size, F.array("fields")).otherwise(F.transform("_starts", part))
+    rest = [c for c in df.columns if c != "fields"]
+    return cut.select(*rest, F.explode(parts).alias("fields")).select(*df.columns)

@@ -15,6 +15,8 @@ PREFIX = "internal_"
 
 #: A series is its name and its tags in key order. Unlike a map, the ordered pairs can be a grouping key.
 SERIES = ["measurement", "pairs"]
+#: Parts a series' events are spread over where they meet its last set.
+PARTS = 16
 
 
 def _paired(events: DataFrame) -> DataFrame:
@@ -25,16 +27,24 @@ def _tagged(df: DataFrame) -> DataFrame:
     return df.withColumn("tags", F.map_from_entries("pairs"))
 
 
-def counter_stats(events: DataFrame) -> DataFrame:
-    """Current value per series and field: the last set value plus the increments after it."""
-    rows = _paired(events)
+def counter_stats(events: DataFrame, parts: int = PARTS) -> DataFrame:
+    """Current value per series and field: the last set value plus the increments after it.
+
+    Events meet their series' last set in ``parts`` parts, so a busy series is read by many tasks; only series that were
+    set are repeated for that. A value beyond 64 bits is NULL.
+    """
     key = [*SERIES, "field"]
+    rows = _paired(events).withColumn("_part", F.pmod(F.xxhash64("seq"), F.lit(parts)).cast("int"))
     sets = rows.filter(F.col("op") == "set").groupBy(*key).agg(
         F.max("seq").alias("set_seq"), F.max_by("v", "seq").alias("set_v"))
+    spread = sets.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    wide = "decimal(28,0)"
     counted = (F.when((F.col("op") == "incr") & (F.col("set_seq").isNull() | (F.col("seq") > F.col("set_seq"))), F.col("v"))
-               .otherwise(F.lit(0)))
-    return _tagged(rows.join(sets, key, "left").groupBy(*key).agg(
-        F.try_add(F.try_sum(counted), F.coalesce(F.max("set_v"), F.lit(0))).alias("value")))
+               .otherwise(F.lit(0))).cast(wide)
+    sums = rows.join(spread, [*key, "_part"], "left").groupBy(*key, "_part").agg(
+        F.sum(counted).cast(wide).alias("total"), F.max("set_v").alias("set_v"))
+    value = F.coalesce(F.sum("total"), F.lit(0)) + F.coalesce(F.max("set_v"), F.lit(0))
+    return _tagged(sums.groupBy(*key).agg(value.try_cast("bigint").alias("value")))
 
 
 def timing_stats(events: DataFrame, interval_seconds: int) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -21,7 +20,9 @@ def load_cursors(spark: SparkSession, path: str) -> DataFrame | None:
     """
     try:
         saved = spark.read.schema(CURSORS).parquet(path)
-    except AnalysisException:
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return saved.groupBy("server").agg(F.max("end_time").alias("end_time"))
 
@@ -30,14 +31,24 @@ def save_cursors(cursors: DataFrame, path: str) -> None:
     cursors.select("server", "end_time").write.mode("append").parquet(path)
 
 
+def _batch_name(cursors: DataFrame | None) -> str:
+    """A name that only depends on where the run starts."""
+    if cursors is None:
+        return "first"
+    row = cursors.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("server", "end_time")).alias("h")).first()
+    return f"{row['n']}-{(row['h'] or 0) & (2 ** 64 - 1):016x}"
+
+
 def run_incremental(
     spark: SparkSession, job: Callable[[DataFrame | None], Report], out: str, cursor_path: str,
 ) -> None:
     """Append what is new since the cursors to ``out``, then move them.
 
-    The cursors are taken from the rows that were written, so rows landing meanwhile are left for the next run.
+    The cursors are taken from the rows that were written, so rows landing meanwhile are left for the next run. A batch is
+    named after the cursors it starts at: a run that broke before they moved is repeated over its own batch.
     """
-    report = job(load_cursors(spark, cursor_path))
-    batch = f"{out}/run={spark.sparkContext.applicationId}-{uuid.uuid4()}"
+    cursors = load_cursors(spark, cursor_path)
+    report = job(cursors)
+    batch = f"{out}/run={_batch_name(cursors)}"
     report.table.write.mode("overwrite").parquet(batch)
     save_cursors(next_cursor(spark.read.schema(report.table.schema).parquet(batch)), cursor_path)

@@ -55,10 +55,11 @@ def test_tag_and_field_edits(rows):
 
 
 PATTERNS = [
-    (["cpu"], {"cpu"}, {"cpu0", "mem"}), (["cpu*"], {"cpu", "cpu0"}, {"mem"}), (["cpu", "mem"], {"cpu", "mem"}, {"cpu0"}),
-    (["cpu", "mem", "net*"], {"cpu", "mem", "network"}, {"cpu0"}), (["*a?[0-2]"], {"xab1", "aa0"}, {"xab3", "b1"}),
-    (["[!a-c]x"], {"dx"}, {"ax"}), (["{a,b}"], {"{a,b}"}, {"a"}), (["{a,b}", "c*"], {"a", "b", "cd"}, {"{a,b}"}),
-    (["*mid*"], {"amidb"}, {"md"}), (["*.log"], {"a/b.log"}, {"alog"}),
+    (["pump"], {"pump"}, {"pump2", "apump", ""}), (["pump*"], {"pump", "pump2"}, {"apump"}),
+    (["valve", "pump2"], {"valve", "pump2"}, {"pump"}), (["valve", "tank*", "pump"], {"valve", "tank", "tank_9", "pump"}, {"pump2"}),
+    (["*k?[5-7]"], {"tank_6", "k_5"}, {"tank_8", "k6"}), (["[!p-t]ump"], {"dump", "lump"}, {"pump", "ump"}),
+    (["{in,out}"], {"{in,out}"}, {"in"}), (["{in,out}", "f*"], {"in", "out", "flow"}, {"{in,out}"}),
+    (["*low*"], {"slowly", "low"}, {"lw"}), (["*.csv"], {"x/y.csv"}, {"xcsv"}),
 ]
 
 
@@ -167,3 +168,13 @@ def test_snapshot_reader_prunes(spark, tmp_path):
     assert [r.payload for r in df.collect()] == ["b"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan and "EqualTo(endpoint,f)" in plan
+
+
+def test_split_of_many_fields_keeps_them_in_order(rows):
+    names = [f"f{i:05d}" for i in range(2000)]
+    many = F.map_from_entries(F.transform(F.sequence(F.lit(0), F.lit(1999)), lambda i: F.struct(F.format_string("f%05d", i), int_field(i))))
+    df = one(rows, fields={"x": 1}).withColumn("fields", many)
+    for limit in (1, 200, 10**6):
+        parts = sorted(sorted(r.fields) for r in records.split_points(df, limit).select("fields").collect())
+        assert [k for part in parts for k in part] == names
+        assert len(parts) == {1: 2000, 10**6: 1}.get(limit, len(parts)) and (limit != 200 or 100 < len(parts) < 400)

@@ -8,8 +8,8 @@ from helpers import T0, points
 DDL = "seq bigint, measurement string, field string, tags map<string,string>, ts timestamp, op string, v bigint"
 
 
-def events(rows, *spec, measurement="test", field="f", tags=None):
-    return rows(DDL, *[(i, measurement, field, tags or {"test": "foo"}, T0 + timedelta(seconds=s), op, v)
+def events(rows, *spec, measurement="queue", field="jobs", tags=None):
+    return rows(DDL, *[(i, measurement, field, tags or {"host": "w7"}, T0 + timedelta(seconds=s), op, v)
                        for i, (s, op, v) in enumerate(spec)])
 
 
@@ -18,34 +18,39 @@ def test_counter(rows):
         return stats.counter_stats(events(rows, *spec)).first().value
 
     assert total((0, "incr", 0)) == 0
-    assert total((0, "incr", 10), (0, "incr", 5)) == 15
-    assert total((0, "incr", 10), (0, "incr", 5), (0, "set", 12)) == 12
-    assert total((0, "incr", 10), (0, "incr", 5), (0, "set", 12), (0, "incr", -2)) == 10
-    assert total((0, "set", 101)) == 101
+    assert total(*[(0, "incr", n) for n in range(9)]) == 36
+    assert total((0, "set", 44), (0, "incr", 3), (0, "set", 6)) == 6
+    assert total((0, "incr", 50), (0, "set", -4), (0, "incr", 9), (0, "incr", -1)) == 4
+    assert total((0, "incr", 2**62), (0, "incr", 2**62)) is None
+    assert total((0, "incr", 2**62), (0, "incr", 2**62), (0, "incr", -1)) == 2**63 - 1
+
+
+def test_a_busy_series_is_counted_by_many_tasks(rows):
+    spec = [(0, "set" if i == 700 else "incr", 1) for i in range(3000)]
+    df = events(rows, *spec)
+    assert stats.counter_stats(df).first().value == 2300
+    assert stats.counter_stats(df, parts=1).first().value == 2300
+    parts = df.select(F.pmod(F.xxhash64("seq"), F.lit(stats.PARTS)).alias("p")).groupBy("p").count().collect()
+    assert len(parts) == stats.PARTS and max(r["count"] for r in parts) < 300
 
 
 def test_timing(rows):
-    df = events(rows, (0, "incr", 10), (0, "incr", 5), (20, "set", 12), (30, "incr", -2), (30, "incr", -1))
+    df = events(rows, (1, "incr", 9), (4, "incr", 4), (21, "set", 30), (33, "incr", -4), (38, "incr", -5))
     means = stats.timing_stats(df, 10)
-    assert [r.mean for r in means.orderBy("slot").collect()] == [7, 12, -1]
+    assert [r.mean for r in means.orderBy("slot").collect()] == [6, 30, -4]
     start = int(T0.timestamp())
-    reads = rows("field string, slot bigint", *[("f", start + s) for s in (-10, 0, 10, 20, 30, 40)]).withColumns(
-        {"measurement": F.lit("test"), "pairs": F.map_entries(F.create_map(F.lit("test"), F.lit("foo")))})
-    assert [r.value for r in stats.fill_reads(means, reads).orderBy("slot").collect()] == [0, 7, 7, 12, -1, -1]
+    reads = rows("field string, slot bigint", *[("jobs", start + s) for s in (-10, 0, 10, 20, 30, 40)]).withColumns(
+        {"measurement": F.lit("queue"), "pairs": F.map_entries(F.create_map(F.lit("host"), F.lit("w7")))})
+    assert [r.value for r in stats.fill_reads(means, reads).orderBy("slot").collect()] == [0, 6, 6, 30, -4, -4]
 
 
 def test_regroup(rows):
-    def ev(m, f, tag, *adds):
-        return rows(DDL, *[(i, m, f, {"test": tag}, T0, "incr", v) for i, v in enumerate(adds)])
-
-    mix = ev("test", "test_field1", "foo", 10).unionByName(ev("test", "test_field2", "foo", 15)) \
-        .unionByName(ev("test", "test_field1", "bar", 10, 18)).unionByName(ev("test", "test_field2", "baz", 15)) \
-        .unionByName(ev("test", "test_field3", "baz", 0))
-    out = stats.regroup(stats.counter_stats(mix))
-    assert points(out) == [
-        ("internal_test", {"test": "bar"}, {"test_field1": 28}),
-        ("internal_test", {"test": "baz"}, {"test_field2": 15, "test_field3": 0}),
-        ("internal_test", {"test": "foo"}, {"test_field1": 10, "test_field2": 15})]
+    spec = [("eu", "sent", 3), ("eu", "lost", 0), ("us", "sent", 8), ("us", "sent", 11), ("us", "late", 2), ("asia", "late", 6)]
+    df = rows(DDL, *[(i, "relay", f, {"zone": z}, T0, "incr", v) for i, (z, f, v) in enumerate(spec)])
+    assert points(stats.regroup(stats.counter_stats(df))) == [
+        ("internal_relay", {"zone": "asia"}, {"late": 6}),
+        ("internal_relay", {"zone": "eu"}, {"lost": 0, "sent": 3}),
+        ("internal_relay", {"zone": "us"}, {"late": 2, "sent": 19})]
 
 
 def test_series_do_not_collide(rows):

@@ -1,5 +1,6 @@
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from gaugeloom.operators.filters import FilterSpec
@@ -108,3 +109,29 @@ def test_incremental_runs_move_the_cursor(spark, rows, tmp_path):
         run_incremental(spark, lambda c, landed=landed: db.statements(tables | {"statements_history": landed}, cursors=c), out, mark)
         assert spark.read.parquet(out).count() == total
     assert load_cursors(spark, mark).first().end_time.timestamp() == T0.timestamp() - 60
+
+
+def test_a_broken_run_is_repeated_without_duplicates(spark, tmp_path, monkeypatch):
+    from gaugeloom.plans import database as db
+    from gaugeloom.streaming import cursor
+    from test_jobs import history
+
+    out, mark = str(tmp_path / "out"), str(tmp_path / "cursor")
+    tables = history(spark)
+
+    def run():
+        cursor.run_incremental(spark, lambda c: db.statements(tables, cursors=c), out, mark)
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(cursor, "save_cursors", lost)
+        with pytest.raises(OSError):
+            run()
+    for _ in range(3):
+        run()
+        assert spark.read.parquet(out).count() == 3
+    (tmp_path / "torn").write_text("no table")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        cursor.load_cursors(spark, str(tmp_path / "torn")).collect()
