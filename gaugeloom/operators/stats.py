@@ -1,7 +1,7 @@
 """Self-statistics: counters, averaged timings, regrouping by series, gathered and error counts.
 
-Events are rows of ``measurement, field, tags, seq, ts, op (incr or set), v``. Rows are first reduced to one
-per series and interval with partial aggregation, so a busy series never reaches one task in full.
+Events are rows of ``measurement, field, tags, seq, ts, op (incr or set), v``. Timings are first
+reduced to one row per series and interval with partial aggregation; counter events of one series are spread over parts.
 """
 
 from __future__ import annotations
