@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeloom.llm.common import load, query, slices, text_bytes, to_python, worker_cache
+from gaugeloom.llm.common import forget_caches, load, query, slices, text_bytes, to_python, worker_cache
 from gaugeloom.llm.crossparse import remainder
 
 #: Shape of the network.
@@ -151,6 +151,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, texts: int = TRAIN_TEXTS
 
 def _scorer(packed: str, names: list[str]):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches("cnn")
         net = worker_cache("cnn", packed, lambda: unpack(packed))
         for batch in slices(batches, "_data", 2 << 20):
             p = score_texts(net, [x.as_py() for x in batch.column("_data")])

@@ -55,9 +55,20 @@ def to_python(df: DataFrame) -> DataFrame:
     return df
 
 
+def _worker_store() -> types.ModuleType:
+    return sys.modules.setdefault("_gaugeloom_worker_cache", types.ModuleType("_gaugeloom_worker_cache"))
+
+
+def forget_caches(*but: str) -> None:
+    """Drops what operators that ran earlier in this Python worker process left, but for these kinds."""
+    store = _worker_store()
+    for kind in [k for k in vars(store) if not k.startswith("__") and k not in but]:
+        delattr(store, kind)
+
+
 def worker_cache(kind: str, key: str, build: Callable):
     """What ``build`` makes, once in each Python worker process: workers are used again for later tasks. The last of each kind is kept."""
-    store = sys.modules.setdefault("_gaugeloom_worker_cache", types.ModuleType("_gaugeloom_worker_cache"))
+    store = _worker_store()
     if getattr(store, kind, (None,))[0] != key:
         setattr(store, kind, (None,))
         setattr(store, kind, (key, build()))

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugeloom.llm.common import load, query, slices, to_python, worker_cache
+from gaugeloom.llm.common import forget_caches, load, query, slices, to_python, worker_cache
 
 #: Characters parsed as one row of the array.
 BLOCK = 1024
@@ -177,6 +177,7 @@ def _predictor(packed: str, names: list[str]):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import json
 
+        forget_caches("letters", "parser")
         parser = worker_cache("parser", packed, lambda: Parser(json.loads(zlib.decompress(base64.b64decode(packed)))))
         for batch in slices(batches, "_data", 2 << 20):
             costs, has = parser.costs([x.as_py() or b"" for x in batch.column("_data")])

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gaugeloom.llm.common import keep, load, query, slices, text_bytes, to_python
+from gaugeloom.llm.common import forget_caches, keep, load, query, slices, text_bytes, to_python
 
 SHINGLE, PERCENT = 4, 85
 #: Shared shingles that a prefix may be lengthened for, and what verifying a candidate costs in postings.
@@ -101,6 +101,7 @@ def class_key(data: bytes) -> int:
 
 def _sets(sample: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches()
         shingler = Shingler()
         for batch in slices(batches, "_data"):
             data = [x.as_py() for x in batch.column("_data")]

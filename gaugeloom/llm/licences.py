@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeloom.llm.common import load, query, slices, text_bytes, to_python, worker_cache
+from gaugeloom.llm.common import forget_caches, load, query, slices, text_bytes, to_python, worker_cache
 from gaugeloom.llm.crossparse import suffix_automaton
 
 #: Phrases whose every place counts, and their labels.
@@ -185,6 +185,7 @@ _DDL = ("n_words long, n_base long, first_word long, last_word long, base_labels
 
 def _scanner(names: list[str]):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_caches("licences")
         scanner = worker_cache("licences", "", Scanner)
         for batch in slices(batches, "_data"):
             rows = [scanner.scan(x.as_py()) for x in batch.column("_data")]

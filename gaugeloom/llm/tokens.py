@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gaugeloom.llm.common import load, query, slices, text_bytes, to_python, worker_cache
+from gaugeloom.llm.common import forget_caches, load, query, slices, text_bytes, to_python, worker_cache
 
 #: Pieces that a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 300_000
@@ -147,6 +147,7 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
+    forget_caches("encoder", "kinds")
     return worker_cache("encoder", path, lambda: Encoder(path))
 
 

@@ -286,3 +286,18 @@ def test_maxscore_matches_full_scores(seed, k):
     order = [i for i in np.lexsort((ids, -score)) if ids[i] != ids[0]][:k]
     mine = sorted(zip((-got).tolist(), found.tolist()))
     assert mine == [(-int(score[i]), int(ids[i])) for i in order]
+
+
+# What the operators share
+
+
+def test_one_operator_s_caches_at_a_time():
+    from gaugeloom.llm.common import forget_caches, worker_cache
+
+    built = []
+    make = lambda name: lambda: built.append(name) or name
+    forget_caches()
+    assert [worker_cache(n, "key", make(n)) for n in ("one", "two", "one")] == ["one", "two", "one"] and built == ["one", "two"]
+    forget_caches("one")
+    assert [worker_cache(n, "key", make(n)) for n in ("one", "two")] == ["one", "two"] and built == ["one", "two", "two"]
+    forget_caches()
