@@ -1,13 +1,13 @@
 """Similarity join of word shingles by adaptive multi-match prefixes, and the groups that its links make.
 
-A text's set is its distinct shingles of ``SHINGLE`` words (A-Z in lower case), held as 64-bit hashes; two texts link when 100 * shared >=
-``PERCENT`` * union. The work is done on distinct texts and shrinks in steps that lose no link:
+A text's set is its distinct shingles of ``size`` words (A-Z in lower case), held as 64-bit hashes; two texts link when 100 * shared >=
+``percent`` * union: 4 words and 85 in ``op8``, 5 words and 80 in the pipeline's stage. The work is done on distinct texts and shrinks in steps that lose no link:
 
 1. *Classes.* Equal word sequences are one class.
 2. *Screen.* A shingle that one class alone has can be in no intersection. In a sample of the shingle space (by hash), a
    class with more such shingles than the threshold forgives links with nothing and is done. The rest are screened again on all their
    shingles, whose document frequencies are then exact among them.
-3. *Prefixes.* Shingles are ordered by rising frequency. If two sets link, their first ``n - ceil(PERCENT n / 100) + l`` shingles share at
+3. *Prefixes.* Shingles are ordered by rising frequency. If two sets link, their first ``n - ceil(percent n / 100) + l`` shingles share at
    least l. Each class takes the l among ``MATCHES`` whose estimated cost (postings met, plus candidates that may share l of
    them) is least; a pair must share the smaller l of its two. Shingles of one class alone head the order, and only count.
 4. *Stars.* Candidates meet on the shortest prefix (l = 1). In each of its postings every class is compared with the one that has the
@@ -35,7 +35,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugeloom.llm.common import forget_caches, keep, load, query, slices, text_bytes, to_python
 
+#: What ``op8`` is asked for, and what the pipeline's stage takes.
 SHINGLE, PERCENT = 4, 85
+STAGE_SHINGLE, STAGE_PERCENT = 5, 80
 #: Shared shingles that a prefix may be lengthened for, and what verifying a candidate costs in postings.
 MATCHES, VERIFY_COST = (1, 2, 3, 4, 6, 8, 12, 16, 24, 32), 4.0
 #: Rows of postings longer than this carry their prefix along, so that a pair meets there only once.
@@ -99,10 +101,10 @@ def class_key(data: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(b" ".join(data.lower().split()), digest_size=8).digest(), "little", signed=True)
 
 
-def _sets(sample: int):
+def _sets(sample: int, size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_caches()
-        shingler = Shingler()
+        shingler = Shingler(size)
         for batch in slices(batches, "_data"):
             data = [x.as_py() for x in batch.column("_data")]
             found = [shingler.shingles(d) for d in data]
@@ -116,9 +118,9 @@ def _sets(sample: int):
     return sets
 
 
-def shingle_sets(docs: DataFrame, sample: int = 1) -> DataFrame:
+def shingle_sets(docs: DataFrame, sample: int = 1, size: int = SHINGLE) -> DataFrame:
     """(doc_id, _id, c, n, tokens): class, set size, and the shingles whose hash divides by ``sample``."""
-    return to_python(docs).mapInArrow(_sets(sample), "doc_id long, _id long, c long, n long, tokens array<long>")
+    return to_python(docs).mapInArrow(_sets(sample, size), "doc_id long, _id long, c long, n long, tokens array<long>")
 
 
 def _with_id(docs: DataFrame) -> DataFrame:
@@ -127,13 +129,13 @@ def _with_id(docs: DataFrame) -> DataFrame:
     return docs.select(did.alias("doc_id"), F.coalesce(did, F.xxhash64("text")).alias("_id"), text_bytes().alias("_data"))
 
 
-def _links(shared: Column, n1: Column, n2: Column) -> Column:
-    return 100 * shared >= PERCENT * (n1 + n2 - shared)
+def _links(percent: int, shared: Column, n1: Column, n2: Column) -> Column:
+    return 100 * shared >= percent * (n1 + n2 - shared)
 
 
-def _may_link(*most: Column) -> Column:
+def _may_link(percent: int, *most: Column) -> Column:
     """Whether classes x and y can link when they share no more than the least of the bounds."""
-    return _links(F.least(*most) if len(most) > 1 else most[0], F.col("x.n"), F.col("y.n"))
+    return _links(percent, F.least(*most) if len(most) > 1 else most[0], F.col("x.n"), F.col("y.n"))
 
 
 def _own_bound() -> Column:
@@ -160,8 +162,8 @@ def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).cast("bigint").alias("o"))
 
 
-def _linked(shared: DataFrame) -> DataFrame:
-    return shared.where(_links(F.col("o"), F.col("na"), F.col("nb"))).select("a", "b")
+def _linked(shared: DataFrame, percent: int) -> DataFrame:
+    return shared.where(_links(percent, F.col("o"), F.col("na"), F.col("nb"))).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -186,9 +188,9 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def prefix_choice(n: int, own: int, frequencies: np.ndarray) -> tuple[int, int]:
+def prefix_choice(n: int, own: int, frequencies: np.ndarray, percent: int = PERCENT) -> tuple[int, int]:
     """(l, how many shared shingles the prefix holds) of least estimated cost. ``frequencies`` rise."""
-    slack = n - -(-PERCENT * n // 100)
+    slack = n - -(-percent * n // 100)
     best = (1, min(len(frequencies), max(0, slack + 1 - own)))
     met = np.concatenate([[0.0], np.cumsum(frequencies - 1, dtype=float)])
     cost = met[best[1]] * (1 + VERIFY_COST)
@@ -202,55 +204,58 @@ def prefix_choice(n: int, own: int, frequencies: np.ndarray) -> tuple[int, int]:
     return best
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = batch.column("n").to_pylist()
-        numbers: list[list[int]] = [[], [], []]
-        prefixes = []
-        for i, shared in enumerate(batch.column("shared")):
-            items = shared.values
-            df, token = items.field("df").to_numpy(), items.field("token").to_numpy()
-            order = np.lexsort((token, df))
-            own = n[i] - len(df)
-            l, k = prefix_choice(n[i], own, df[order])
-            prefixes.append(token[order[:k]])
-            slack = n[i] - -(-PERCENT * n[i] // 100)
-            for column, value in zip(numbers, (own, l, min(k, max(0, slack + 1 - own)))):
-                column.append(value)
-        ends = np.cumsum([0, *[len(x) for x in prefixes]]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes])))
-        yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), *[pa.array(x, pa.int64()) for x in numbers], lists],
-                                         names=["c", "n", "s", "l", "first", "prefix"])
-
-
-def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _prefixes(percent: int):
+    def prefixes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n").to_pylist()
+            numbers: list[list[int]] = [[], [], []]
+            prefixes = []
+            for i, shared in enumerate(batch.column("shared")):
+                items = shared.values
+                df, token = items.field("df").to_numpy(), items.field("token").to_numpy()
+                order = np.lexsort((token, df))
+                own = n[i] - len(df)
+                l, k = prefix_choice(n[i], own, df[order], percent)
+                prefixes.append(token[order[:k]])
+                slack = n[i] - -(-percent * n[i] // 100)
+                for column, value in zip(numbers, (own, l, min(k, max(0, slack + 1 - own)))):
+                    column.append(value)
+            ends = np.cumsum([0, *[len(x) for x in prefixes]]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *prefixes])))
+            yield pa.RecordBatch.from_arrays([batch.column("c"), batch.column("n"), *[pa.array(x, pa.int64()) for x in numbers], lists],
+                                             names=["c", "n", "s", "l", "first", "prefix"])
+
+    return prefixes_of
+
+
+def link_classes(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """((doc_id, _id, c, n) of every row, (node, label) of the classes that link)."""
     ready = _with_id(docs)
-    rows = keep(shingle_sets(ready, SAMPLE).select("doc_id", "_id", "c", "n"), "classes")
+    rows = keep(shingle_sets(ready, SAMPLE, size).select("doc_id", "_id", "c", "n"), "classes")
     classes = rows.where("n > 0").groupBy("c").agg(F.min("_id").alias("_id"), F.first("n").alias("n"))
     # Screen on the sample: shingles of one class only.
-    sampled = shingle_sets(ready, SAMPLE).where("n > 0").select("c", F.explode("tokens").alias("token"))
+    sampled = shingle_sets(ready, SAMPLE, size).where("n > 0").select("c", F.explode("tokens").alias("token"))
     own = sampled.groupBy("token").agg(F.min("c").alias("c"), F.max("c").alias("d")).where("c = d").groupBy("c").agg(F.count("*").alias("s"))
-    active = classes.join(own, "c", "left").where(100 * (F.col("n") - F.coalesce("s", F.lit(0))) >= PERCENT * F.col("n")).select("c", "_id", "n")
+    active = classes.join(own, "c", "left").where(100 * (F.col("n") - F.coalesce("s", F.lit(0))) >= percent * F.col("n")).select("c", "_id", "n")
     active = keep(active, "active")
     few = active.count() <= BROADCAST_CLASSES
     ids = active.select("_id").distinct()
     texts = ready.join(F.broadcast(ids) if few else ids, "_id", "left_semi").select("doc_id", "_id", "_data")
     # One shuffle by shingle serves the count and the join.
-    tokens = shingle_sets(texts).where("n > 0").select("c", F.explode("tokens").alias("token")).repartition("token")
+    tokens = shingle_sets(texts, size=size).where("n > 0").select("c", F.explode("tokens").alias("token")).repartition("token")
     frequency = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     shared = tokens.join(frequency, "token").groupBy("c").agg(F.collect_set(F.struct("df", "token")).alias("shared"))  # a set of one text
-    sets = shared.join(active.select("c", "n"), "c").where(100 * F.size("shared") >= PERCENT * F.col("n"))
+    sets = shared.join(active.select("c", "n"), "c").where(100 * F.size("shared") >= percent * F.col("n"))
     sets = keep(sets, "sets")
     verify = sets.select("c", "n", F.col("shared.token").alias("tokens"))
-    prefixes = keep(sets.mapInArrow(_prefixes, "c long, n long, s long, l long, first long, prefix array<long>"), "prefixes")
+    prefixes = keep(sets.mapInArrow(_prefixes(percent), "c long, n long, s long, l long, first long, prefix array<long>"), "prefixes")
     meeting = prefixes.select("c", "n", "s", F.posexplode(F.slice("prefix", 1, F.col("first").cast("int"))).alias("at", "token"))
 
     hubs = meeting.groupBy("token").agg(F.max(F.struct(-F.col("s"), "n", -F.col("c"))).alias("h")).select(
         "token", (-F.col("h.col1")).alias("s"), "h.n", (-F.col("h.col3")).alias("c"))
-    stars = meeting.alias("x").join(hubs.alias("y"), "token").where((F.col("x.c") != F.col("y.c")) & _may_link(_own_bound()))
+    stars = meeting.alias("x").join(hubs.alias("y"), "token").where((F.col("x.c") != F.col("y.c")) & _may_link(percent, _own_bound()))
     stars = keep(_shared(stars.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct(), verify), "stars")
-    first = _linked(stars)
+    first = _linked(stars, percent)
     groups = components(first)
 
     # Of the hubs that a class was compared with (itself, if it is one), the one that most classes were compared with.
@@ -268,18 +273,18 @@ def link_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # In long postings two classes meet at the first shingle that they share, and at no other.
     once = F.coalesce(F.get(F.array_intersect("x.start", "y.start"), F.lit(0)) == F.col("x.token"), F.lit(True))
     met = rest.alias("x").join(rest.alias("y"), (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.g") != F.col("y.g"))
-                               & _may_link(_own_bound(), _place_bound(), _hub_bound()) & once)
+                               & _may_link(percent, _own_bound(), _place_bound(), _hub_bound()) & once)
     pairs = met.select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct()
     one = prefixes.select(F.col("c").alias("a"), F.col("l").alias("la"), F.col("prefix").alias("pa"))
     two = prefixes.select(F.col("c").alias("b"), F.col("l").alias("lb"), F.col("prefix").alias("pb"))
     counted = pairs.join(one, "a").join(two, "b").where(F.size(F.array_intersect("pa", "pb")) >= F.least("la", "lb")).select("a", "b")
-    second = _linked(_shared(counted, verify))
+    second = _linked(_shared(counted, verify), percent)
     return rows, components(first.unionByName(second))
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """(doc_id, _id, c, n, component_id, keeper) of every row; keeper is the smallest _id of the group."""
-    rows, groups = link_classes(docs)
+    rows, groups = link_classes(docs, size, percent)
     classes = rows.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("d"), F.min("_id").alias("k"))
     labelled = classes.join(groups, classes["c"] == groups["node"], "left").select("c", "d", "k", F.coalesce("label", "c").alias("g"))
     least = labelled.groupBy("g").agg(F.min("d").alias("component_id"), F.min("k").alias("keeper"))
@@ -309,8 +314,8 @@ def document_groups(spark, sf_dir):
 
 
 def near_duplicate_stage(spark, docs, sf_dir):
-    """One document of each group: that with the smallest id."""
-    rows = grouped(docs.select("doc_id", "text"))
+    """One document of each group of word shingles, five words and 0.8: that with the smallest id."""
+    rows = grouped(docs.select("doc_id", "text"), STAGE_SHINGLE, STAGE_PERCENT)
     stay = rows.where("_id = keeper").select(F.col("_id").alias("__nd_id")).distinct()
     keyed = docs.withColumns({"__nd_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text")), "__nd_text": F.xxhash64("text")})
     return keyed.join(stay, keyed["__nd_doc"] == stay["__nd_id"], "left_semi").dropDuplicates(["__nd_doc", "__nd_text"]).select(*docs.columns)

@@ -247,6 +247,30 @@ def test_groups_match_brute_force(spark, seed, monkeypatch):
     assert got == brute_groups(texts)
 
 
+def test_stage_takes_five_words_and_four_fifths(spark):
+    rng = random.Random(5)
+    texts = {}
+    for i in range(4):
+        w = words(rng, 300, 5000).split()
+        scattered, heavy = w[:], w[:]
+        for at in range(20, 221, 40):
+            scattered[at] = "edited"
+        for at in range(5, 295, 6):
+            heavy[at] = "edited"
+        texts |= {10 * i: " ".join(w), 10 * i + 1: " ".join(w + words(rng, 60, 5000).split()), 10 * i + 2: " ".join(scattered), 10 * i + 3: " ".join(heavy),
+                  10 * i + 4: " ".join(w + words(rng, 90, 5000).split())}
+    sets = {d: {tuple(x[j : j + 5]) for j in range(len(x) - 4)} for d, x in ((d, t.split()) for d, t in texts.items())}
+    label = {d: d for d in texts}
+    for _ in range(5):
+        for a in texts:
+            for b in texts:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+    assert label[1] == label[2] == 0 and label[3] == 3 and label[4] == 4
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id for r in jaccard.near_duplicate_stage(spark, df, None).collect()} == set(label.values())
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(i, i + 1) for i in range(0, 40)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(70)]
