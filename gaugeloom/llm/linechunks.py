@@ -5,8 +5,13 @@ last two lines falls into a fixed share of its range, so lines put in or taken o
 ``LONG_WORDS`` words (counted by spaces) always is a chunk of its own. Chunks of at least two lines, and long
 lines, that stand at several places of the corpus stay only at the first (smallest doc_id, then earliest line).
 
+The pipeline's stage also takes *runs*: lines that follow each other (blank ones are passed over), have more than ``LONG_WORDS`` words
+together and stand at an earlier place. From each line, forwards and backwards, the fewest lines of so many words are one piece; equal runs
+have equal pieces, and the pieces inside a run cover it from its first line to its last, wherever chunks end. Only lines that stand
+at several places are put in pieces. A piece that overlaps its own first place stays. ``op9`` removes chunks alone, as its SQL does.
+
 Everything is built-in functions. Hashes only pick the candidates; two chunks are taken for equal when their bytes are, as they meet
-in a join on the text itself. Only candidates' texts are shuffled for it. The first place is an aggregate, so a chunk that
+in a join on the text itself; two pieces of a run, when the SHA-256 digests of their lines are. Only candidates' texts are shuffled for it. The first place is an aggregate, so a chunk that
 a third of all documents share is no burden to any task.
 
 Defined cases: a null text stays null, and has no lines. Blank chunks (spaces and line ends only) are never removed. A text whose chunks all
@@ -17,7 +22,7 @@ n_lines and n_removed replace columns of these names.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeloom.llm.common import keep, load, query
 
@@ -62,22 +67,68 @@ def _place(prefix: str = "") -> Column:
     return F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_key").alias("key"), F.col("start").alias("start"))
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(_id, _key, start, stop) of the chunks that stand at an earlier place too."""
+def _full_lines(docs: DataFrame) -> DataFrame:
+    """(_id, _key, n, line, words, h, digest) of the lines that aren't blank; n counts only these, words are counted by spaces."""
+    lined = docs.where("text IS NOT NULL").select(
+        F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), F.split("text", "\n", -1).alias("_lines"))
+    numbered = F.filter(F.transform("_lines", lambda x, i: F.struct(i.alias("line"), x.alias("text"))), lambda x: F.trim(x["text"]) != "")
+    rows = lined.select("_id", "_key", F.posexplode(numbered).alias("n", "x")).select("_id", "_key", "n", "x.line", F.col("x.text").alias("_line"))
+    words = F.length(F.trim("_line")) - F.length(F.replace(F.trim("_line"), F.lit(" "), F.lit(""))) + 1
+    return rows.select("_id", "_key", "n", "line", words.alias("words"), F.xxhash64("_line").alias("h"), F.sha2("_line", 256).alias("digest"))
+
+
+def _run_pieces(docs: DataFrame) -> DataFrame:
+    """(_id, _key, start, stop, h, chunk) of the shortest pieces of more than ``LONG_WORDS`` words of lines that all stand at several places."""
+    lines = _full_lines(docs)
+    place = F.xxhash64("_id", "_key", "n")
+    common = keep(lines.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("h"), "repeated_lines")
+    few = common.count() <= BROADCAST_HASHES
+    doc = ["_id", "_key"]
+    rows = lines.join(F.broadcast(common) if few else common, "h", "left_semi").repartition(*doc).dropDuplicates([*doc, "n"])
+    rows = rows.withColumn("run", F.col("n") - F.row_number().over(Window.partitionBy(*doc).orderBy("n")))
+    run = Window.partitionBy(*doc, "run")
+    rows = rows.withColumns({"through": F.sum("words").over(run.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)), "total": F.sum("words").over(run)})
+    rows = rows.where(F.col("total") > LONG_WORDS).withColumn("before", F.col("through") - F.col("words"))
+    # A line has a word at least, so no piece has more than LONG_WORDS + 1 lines.
+    forwards, backwards = run.orderBy("before").rangeBetween(0, LONG_WORDS), run.orderBy("through").rangeBetween(-LONG_WORDS, 0)
+    pieces = [F.struct(F.min("line").over(w).alias("start"), (F.max("line").over(w) + 1).alias("stop"), F.sum("words").over(w).alias("words"),
+                       F.collect_list("digest").over(w).alias("digests")) for w in (forwards, backwards)]
+    rows = rows.select(*doc, *[x.alias(f"_piece{i}") for i, x in enumerate(pieces)]).select(*doc, F.explode(F.array("_piece0", "_piece1")).alias("p"))
+    rows = rows.where(F.col("p.words") > LONG_WORDS).select(*doc, "p.start", "p.stop", F.sha2(F.concat_ws("", "p.digests"), 256).alias("chunk"))
+    return rows.distinct().select(*doc, "start", "stop", F.xxhash64("chunk").alias("h"), "chunk")
+
+
+def _merged(spans: DataFrame) -> DataFrame:
+    """Spans (_id, _key, start, stop) of a text that overlap or touch, as one."""
+    order = Window.partitionBy("_id", "_key").orderBy("start", "stop")
+    reach = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = spans.withColumn("opens", F.coalesce((F.col("start") > reach).cast("int"), F.lit(1)))
+    rows = rows.withColumn("part", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy("_id", "_key", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("part")
+
+
+def repeated_chunks(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """(_id, _key, start, stop) of the chunks that stand at an earlier place too; with ``runs``, of all lines that such chunks and runs cover."""
     rows = _chunks(docs).withColumn("h", F.xxhash64("chunk"))
     # First by hash, without any text: most chunks stand at one place.
     places = keep(rows.groupBy("h").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).where("first <> last").select("h"), "repeated")
     few = places.count() <= BROADCAST_HASHES
     likely = rows.join(F.broadcast(places) if few else places, "h", "left_semi")
+    if runs:
+        likely = likely.select("_id", "_key", "start", "stop", "h", "chunk").unionByName(keep(_run_pieces(docs), "run_pieces"))
     # Then by the bytes: the group's key, and the join's, is the chunk itself. The first places are written, so that both
     # sides of the join are shuffles of their own and adaptive execution can split a chunk that stands everywhere.
-    first = keep(likely.groupBy("h", "chunk").agg(F.min(_place()).alias("first")), "first_places")
-    return likely.join(first, ["h", "chunk"]).where(_place() != F.col("first")).select("_id", "_key", "start", "stop").distinct()
+    first = keep(likely.groupBy("h", "chunk").agg(F.min(F.struct(_place().alias("at"), "stop")).alias("first")), "first_places")
+    later = likely.join(first, ["h", "chunk"]).where(_place() != F.col("first.at"))
+    if not runs:
+        return later.select("_id", "_key", "start", "stop").distinct()
+    overlap = F.col("_id").eqNullSafe(F.col("first.at.id")) & (F.col("_key") == F.col("first.at.key")) & (F.col("start") < F.col("first.stop"))
+    return _merged(later.where(~overlap).select("_id", "_key", "start", "stop"))
 
 
-def remove_repeated(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated chunks cut out of the text, and n_lines and n_removed."""
-    gone = repeated_chunks(docs).groupBy(F.col("_id").alias("__lc_id"), F.col("_key").alias("__lc_key")).agg(F.collect_list(F.struct("start", "stop")).alias("__lc_gone"))
+def remove_repeated(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """``docs`` with repeated chunks (and runs) cut out of the text, and n_lines and n_removed."""
+    gone = repeated_chunks(docs, runs).groupBy(F.col("_id").alias("__lc_id"), F.col("_key").alias("__lc_key")).agg(F.collect_list(F.struct("start", "stop")).alias("__lc_gone"))
     keyed = docs.drop("n_lines", "n_removed").select("*", F.xxhash64("text").alias("__lc_text"))
     joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["__lc_id"]) & (keyed["__lc_text"] == gone["__lc_key"]), "left")
     lines = F.split("text", "\n", -1)
@@ -122,6 +173,6 @@ def deduplicated_lines(spark, sf_dir):
 
 
 def line_stage(spark, docs, sf_dir):
-    """Documents without repeated chunks; one that loses all its text goes."""
-    left = remove_repeated(docs)
+    """Documents without repeated chunks and runs; one that loses all its text goes."""
+    left = remove_repeated(docs, runs=True)
     return left.where("n_removed = 0 OR trim(replace(text, chr(10), '')) <> ''").select(*docs.columns)

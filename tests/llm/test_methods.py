@@ -295,6 +295,25 @@ def test_repeated_passages_go_once(spark):
     assert long not in got[2].text and got[2].n_removed >= 25 and got[2].text.startswith("three") and got[2].text.endswith("last")
 
 
+def test_runs_of_ordinary_lines_go_whole(spark):
+    rng = random.Random(9)
+    line = lambda n: words(rng, n, 10**9)
+    passages = {n: [line(60 // n + 1 + i % 2) for i in range(n)] for n in range(3, 11)}
+    short = [line(12) for _ in range(3)]
+    first = {n: "\n".join([line(9), *p, line(9)]) for n, p in passages.items()}
+    again = {100 + n: "\n".join([f"before {n}", *p[:2], "", *p[2:], f"after {n}"]) for n, p in passages.items()}
+    one = line(10)
+    texts = first | again | {50: "\n".join(["x", *short, "y"]), 150: "\n".join([one] * 20), None: "\n".join(["null", *passages[5], "id"])}
+    df = spark.createDataFrame([*texts.items(), (103, again[103])], "doc_id long, text string")
+    got = {r.doc_id: r for r in linechunks.remove_repeated(df, runs=True).collect()}
+    assert all(got[n].text == first[n] for n in first) and got[50].text == texts[50]
+    assert all(got[100 + n].text == f"before {n}\nafter {n}" and got[100 + n].n_removed == n + 1 for n in passages)
+    assert got[None].text == "null\nid"
+    assert got[150].text == "\n".join([one] * 6)  # the first place of more than 50 words stays
+    assert {r.text for r in linechunks.line_stage(spark, df.where("doc_id > 100 and doc_id < 150 or doc_id < 20"), None).collect()} == {
+        *first.values(), *[f"before {n}\nafter {n}" for n in passages]}
+
+
 # 10: top-k
 
 
