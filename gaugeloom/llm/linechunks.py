@@ -8,7 +8,8 @@ lines, that stand at several places of the corpus stay only at the first (smalle
 The pipeline's stage also takes *runs*: lines that follow each other (blank ones are passed over), have more than ``LONG_WORDS`` words
 together and stand at an earlier place. From each line, forwards and backwards, the fewest lines of so many words are one piece; equal runs
 have equal pieces, and the pieces inside a run cover it from its first line to its last, wherever chunks end. Only lines that stand
-at several places are put in pieces. A piece that overlaps its own first place stays. ``op9`` removes chunks alone, as its SQL does.
+at several places are put in pieces. A piece that overlaps its own first place stays. A text
+of several lines that equals an earlier one, blank lines aside, goes as a whole, however short. ``op9`` removes chunks alone, as its SQL does.
 
 Everything is built-in functions. Hashes only pick the candidates; two chunks are taken for equal when their bytes are, as they meet
 in a join on the text itself; two pieces of a run, when the SHA-256 digests of their lines are. Only candidates' texts are shuffled for it. The first place is an aggregate, so a chunk that
@@ -98,6 +99,15 @@ def _run_pieces(docs: DataFrame) -> DataFrame:
     return rows.distinct().select(*doc, "start", "stop", F.xxhash64("chunk").alias("h"), "chunk")
 
 
+def _whole_texts(docs: DataFrame) -> DataFrame:
+    """(_id, _key, start, stop, h, chunk) of texts of at least ``MIN_LINES`` lines that aren't blank, each as one piece."""
+    lined = docs.where("text IS NOT NULL").select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_key"), F.split("text", "\n", -1).alias("_lines"))
+    full = F.filter("_lines", lambda x: F.trim(x) != "")
+    rows = lined.where(F.size(full) >= MIN_LINES).select(
+        "_id", "_key", F.lit(0).alias("start"), F.size("_lines").alias("stop"), F.concat(F.lit("text "), F.sha2(F.array_join(full, "\n"), 256)).alias("chunk"))
+    return rows.select("_id", "_key", "start", "stop", F.xxhash64("chunk").alias("h"), "chunk")
+
+
 def _merged(spans: DataFrame) -> DataFrame:
     """Spans (_id, _key, start, stop) of a text that overlap or touch, as one."""
     order = Window.partitionBy("_id", "_key").orderBy("start", "stop")
@@ -108,14 +118,14 @@ def _merged(spans: DataFrame) -> DataFrame:
 
 
 def repeated_chunks(docs: DataFrame, runs: bool = False) -> DataFrame:
-    """(_id, _key, start, stop) of the chunks that stand at an earlier place too; with ``runs``, of all lines that such chunks and runs cover."""
+    """(_id, _key, start, stop) of the chunks that stand at an earlier place too; with ``runs``, of all lines that such chunks, runs and whole texts cover."""
     rows = _chunks(docs).withColumn("h", F.xxhash64("chunk"))
     # First by hash, without any text: most chunks stand at one place.
     places = keep(rows.groupBy("h").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).where("first <> last").select("h"), "repeated")
     few = places.count() <= BROADCAST_HASHES
     likely = rows.join(F.broadcast(places) if few else places, "h", "left_semi")
     if runs:
-        likely = likely.select("_id", "_key", "start", "stop", "h", "chunk").unionByName(keep(_run_pieces(docs), "run_pieces"))
+        likely = likely.select("_id", "_key", "start", "stop", "h", "chunk").unionByName(keep(_run_pieces(docs), "run_pieces")).unionByName(_whole_texts(docs))
     # Then by the bytes: the group's key, and the join's, is the chunk itself. The first places are written, so that both
     # sides of the join are shuffles of their own and adaptive execution can split a chunk that stands everywhere.
     first = keep(likely.groupBy("h", "chunk").agg(F.min(F.struct(_place().alias("at"), "stop")).alias("first")), "first_places")

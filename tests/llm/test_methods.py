@@ -314,6 +314,16 @@ def test_runs_of_ordinary_lines_go_whole(spark):
         *first.values(), *[f"before {n}\nafter {n}" for n in passages]}
 
 
+def test_copies_of_several_lines_leave_nothing(spark):
+    rng = random.Random(11)
+    texts = {}
+    for i in range(40):
+        lines = [words(rng, rng.randrange(1, 9), 10**9) for _ in range(rng.randrange(2, 14))]
+        texts |= {i: "\n".join(lines), 100 + i: "\n".join(lines), 200 + i: "\n\n".join(lines) + "\n"}
+    left = linechunks.line_stage(spark, spark.createDataFrame(list(texts.items()), "doc_id long, text string"), None).collect()
+    assert {r.doc_id: r.text for r in left} == {i: texts[i] for i in range(40)}
+
+
 # 10: top-k
 
 
