@@ -1,9 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts and benchmark items are turned into template words: numbers, names (words with a capital letter inside a sentence) and
-units after a number become typed placeholders, all other words are lower-cased. Windows of ``WINDOW`` template words are hashed, and those
+units after a number become typed placeholders ('1,500', '2.5' and 'Mary Ann' are one each), all other words are lower-cased. Windows of ``WINDOW`` template words are hashed, and those
 of the texts are joined with those of the items. Windows that lie at one distance from an item's are one alignment; it counts when
-its windows cover ``MIN_COVER`` of the item's, or ``LONG_RUN`` words. Then the slots are compared: within an alignment each
+its windows cover ``MIN_COVER`` of the item's, or ``LONG_RUN`` words. Alignments of one text and item that lie within ``SHIFT_GAP`` words of
+each other, as words put in or taken out leave them, count together when they cover as many words as one with ``MIN_COVER`` does. Then the slots are compared: within an alignment each
 value of the item must stand for one value of the text, and the other way round. So a question with other numbers or names
 is found, while one whose slots contradict each other is not.
 
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from gaugeloom.llm.common import keep, load, query
 
 WINDOW, MIN_LITERALS, MIN_COVER, LONG_RUN = 8, 5, 0.5, 20
+#: Alignments this many words apart at most may be one item with words put in or taken out.
+SHIFT_GAP = 4
 #: At about 40 bytes each, some 40 MB: below it the item windows are sent to every executor.
 BROADCAST_WINDOWS = 1_000_000
 
@@ -32,16 +35,20 @@ UNITS = ("mm cm m km in ft yd mi mg g kg lb lbs oz t ml l s sec secs ms min mins
 
 #: Marks of the slots: private-use characters.
 NUMBER, NAME, UNIT = "", "", ""
-_SEPARATOR = rf"[^\p{{L}}\p{{Nd}}{NUMBER}-{UNIT}]+"
-_ALONE = r"(?<![\p{L}\p{Nd}NUMBER-UNIT])(\p{Nd}+)".replace("NUMBER", NUMBER).replace("UNIT", UNIT)
+#: Stands between the parts of a number or a name of several words.
+JOIN = ""
+_SEPARATOR = rf"[^\p{{L}}\p{{Nd}}{NUMBER}-{UNIT}{JOIN}]+"
+_ALONE = rf"(?<![\p{{L}}\p{{Nd}}{NUMBER}-{UNIT}{JOIN}])(\p{{Nd}}[\p{{Nd}}{JOIN}]*)"
 
 
 def tagged(text: Column) -> Column:
     """The text with a mark before each slot value; such marks in the text itself are taken out first."""
-    t = F.translate(text, NUMBER + NAME + UNIT, "   ")
+    t = F.translate(text, NUMBER + NAME + UNIT + JOIN, "    ")
     t = F.regexp_replace(t, r"(?<=[\p{Ll}\p{Nd},;:] )(\p{Lu}[\p{L}\p{Nd}]*)", NAME + "$1")
-    digits = F.regexp_replace(t, rf"{_ALONE} ?((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{Nd}}])", f"{NUMBER}$1 {UNIT}$2")
-    digits = F.regexp_replace(digits, _ALONE + r"(?![\p{L}\p{Nd}])", NUMBER + "$1")
+    t = F.regexp_replace(t, rf" {NAME}(?<={NAME}[\p{{L}}\p{{Nd}}]{{1,40}} {NAME})", JOIN)
+    digits = F.regexp_replace(t, r"[.,'’  ](?<=\p{Nd}.)(?=\p{Nd})", JOIN)
+    digits = F.regexp_replace(digits, rf"{_ALONE} ?((?i:{'|'.join(UNITS)}))(?![\p{{L}}\p{{Nd}}{JOIN}])", f"{NUMBER}$1 {UNIT}$2")
+    digits = F.regexp_replace(digits, _ALONE + rf"(?![\p{{L}}\p{{Nd}}{JOIN}])", NUMBER + "$1")
     return F.when(t.rlike(r"\p{Nd}"), digits).otherwise(t)
 
 
@@ -57,7 +64,7 @@ def template_words(words: Column) -> Column:
 
 def template_of(text: Column) -> Column:
     """Template words straight from the text: the same words as ``template_words(tagged_words(text))``, without a step for each word."""
-    t = F.regexp_replace(tagged(text), rf"([{NUMBER}-{UNIT}])[\p{{L}}\p{{Nd}}]+", "$1")
+    t = F.regexp_replace(tagged(text), rf"([{NUMBER}-{UNIT}])[\p{{L}}\p{{Nd}}{JOIN}]+", "$1")
     return F.filter(F.split(F.lower(t), _SEPARATOR), lambda w: w != "")
 
 
@@ -97,6 +104,25 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         "doc_id", "item_id", "best.n_windows", "best.cover", "best.changed")
 
 
+def _candidates(hits: DataFrame) -> DataFrame:
+    """Alignments that cover enough, alone (one part) or a few words apart: shift (the least), hit, cover, and parts of (shift, places)."""
+    owner = ["doc_id", "text_key", "item_id", "item_key", "size", "n_words", "n_windows", "slots"]
+    parts = hits.groupBy(*owner, (F.col("doc_pos") - F.col("item_pos")).alias("shift")).agg(F.array_sort(F.collect_set("item_pos")).alias("places"))
+    hit = F.size("places")
+    parts = keep(parts.withColumn("enough", (hit / F.col("n_windows") >= MIN_COVER) | (hit + F.col("size") - 1 >= LONG_RUN)), "parts")
+    single = parts.where("enough").select(*owner, "shift", F.array(F.struct("shift", "places")).alias("parts"), hit.alias("hit"))
+    order = Window.partitionBy(*owner).orderBy("shift")
+    opens = F.coalesce((F.col("shift") - F.lag("shift").over(order) > SHIFT_GAP).cast("int"), F.lit(1))
+    near = parts.withColumn("opens", opens).withColumn("near", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    several = near.groupBy(*owner, "near").agg(
+        F.min("shift").alias("shift"), F.collect_list(F.struct("shift", "places")).alias("parts"), F.max("enough").alias("enough"))
+    several = several.where(~F.col("enough") & (F.size("parts") > 1)).withColumn("_all", F.array_sort(F.array_distinct(F.flatten("parts.places"))))
+    reach = F.transform("_all", lambda p, i: F.least(F.col("size"), F.coalesce(F.get("_all", i + 1) - p, F.col("size"))))
+    words = F.aggregate(reach, F.lit(0), lambda n, x: n + x)
+    several = several.where(words >= MIN_COVER * F.col("n_windows") + F.col("size") - 1).select(*owner, "shift", "parts", F.size("_all").alias("hit"))
+    return keep(single.unionByName(several).withColumn("cover", F.col("hit") / F.col("n_windows")), "alignments")
+
+
 def _aligned(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, cover, changed), for each text and item."""
     windows = keep(item_windows(items.select("item_id", "text")), "item_windows")
@@ -109,10 +135,7 @@ def _aligned(docs: DataFrame, items: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "text_key", "w.h", "w.doc_pos")
     right = windows.withColumnRenamed("text_key", "item_key")
     hits = rows.join(F.broadcast(right) if few else right, "h")
-    lines = hits.groupBy("doc_id", "text_key", "item_id", "item_key", "size", "n_words", "n_windows", "slots", (F.col("doc_pos") - F.col("item_pos")).alias("shift")).agg(
-        F.countDistinct("doc_pos").alias("hit"), F.min("item_pos").alias("lo"), F.max("item_pos").alias("hi"))
-    cover = F.col("hit") / F.col("n_windows")
-    lines = keep(lines.withColumn("cover", cover).where((cover >= MIN_COVER) | (F.col("hit") + F.col("size") - 1 >= LONG_RUN)), "alignments")
+    lines = _candidates(hits)
     # Slots: only of texts that aligned with an item that has some.
     slotted = lines.where("slots")
     texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), "text")
@@ -122,8 +145,9 @@ def _aligned(docs: DataFrame, items: DataFrame) -> DataFrame:
     theirs = _slots(texts.select("doc_id", "text_key", tagged_words(F.col("text")).alias("tags")), ["doc_id", "text_key"], "doc_value").withColumnsRenamed({"doc_id": "d", "text_key": "k"})
     own_items = items.where("text IS NOT NULL").select("item_id", tagged_words(F.col("text")).alias("tags")).distinct().withColumn("item_key", F.xxhash64("tags"))
     ours = _slots(own_items, ["item_id", "item_key"], "item_value").withColumnsRenamed({"place": "item_place", "item_id": "i", "item_key": "ik"})
-    asked = slotted.join(ours, slotted["item_id"].eqNullSafe(ours["i"]) & (slotted["item_key"] == ours["ik"])).where("item_place >= lo AND item_place < hi + size")
-    asked = asked.withColumn("place_wanted", F.col("item_place") + F.col("shift"))
+    inside = F.exists("part.places", lambda p: (F.col("item_place") >= p) & (F.col("item_place") < p + F.col("size")))
+    asked = slotted.withColumn("part", F.explode("parts")).join(ours, slotted["item_id"].eqNullSafe(ours["i"]) & (slotted["item_key"] == ours["ik"])).where(inside)
+    asked = asked.withColumn("place_wanted", F.col("item_place") + F.col("part.shift"))
     pairs = asked.join(theirs, asked["doc_id"].eqNullSafe(theirs["d"]) & (asked["text_key"] == theirs["k"]) & (asked["place_wanted"] == theirs["place"]), "left")
     line = ["doc_id", "text_key", "item_id", "item_key", "shift"]
     by_item = pairs.groupBy(*line, "item_value").agg(F.min("doc_value").alias("a"), F.max("doc_value").alias("b"), F.max(F.coalesce((F.col("doc_value") != F.col("item_value")).cast("int"), F.lit(0))).alias("changed"))
@@ -134,7 +158,8 @@ def _aligned(docs: DataFrame, items: DataFrame) -> DataFrame:
     same = [lines[c].eqNullSafe(slots[f"_{c}"]) for c in line]
     judged = lines.join(slots, same[0] & same[1] & same[2] & same[3] & same[4], "left").where(~F.coalesce("bad", F.lit(False)))
     best = judged.groupBy("doc_id", "text_key", "item_id").agg(
-        F.max(F.struct(F.col("hit").alias("n_windows"), (-F.col("shift")).alias("early"), "cover", (F.coalesce("changed", F.lit(0)) > 0).alias("changed"))).alias("b"))
+        F.max(F.struct((F.size("parts") == 1).alias("single"), F.col("hit").alias("n_windows"), (-F.col("shift")).alias("early"), "cover",
+                       (F.coalesce("changed", F.lit(0)) > 0).alias("changed"))).alias("b"))
     return best.select("doc_id", "text_key", "item_id", "b.n_windows", "b.cover", "b.changed")
 
 

@@ -209,6 +209,23 @@ def test_short_items_are_one_window(spark):
     assert [(r.doc_id, r.item_id) for r in got] == [(1, 1)]
 
 
+def leaks(spark, docs, items):
+    df, given_items = spark.createDataFrame(list(docs.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in templates.find_leaks(df, given_items).collect()}
+
+
+def test_leaks_with_words_put_in_or_taken_out(spark):
+    rng = random.Random(4)
+    items = {n: words(rng, n, 10**9) for n in (16, 20, 30, 39)}
+    docs = {}
+    for n, item in items.items():
+        w = item.split()
+        docs |= {n: " ".join(["so", *w[: n // 2], "extra", *w[n // 2 :]]), 100 + n: " ".join(w[: n // 2 - 1] + w[n // 2 :]) if n > 16 else item, 200 + n: " ".join(w[:8])}
+    items[1] = "a shop sells 900 red pens to Tom each and every long day and then some more to the old man"
+    docs[1] = "it says a shop sells 1,500 red pens to Mary Ann each and every long day and then some more to the old man"
+    assert leaks(spark, docs, items) == {(d, d % 100) for d in docs if d < 200}
+
+
 # 8: groups
 
 
