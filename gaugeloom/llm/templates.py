@@ -8,11 +8,14 @@ each other, as words put in or taken out leave them, count together when they co
 value of the item must stand for one value of the text, and the other way round. So a question with other numbers or names
 is found, while one whose slots contradict each other is not.
 
+Items that have slots, or at most ``WINDOW`` words, are also sought by windows of their plain lower-case words, without slots, so that a
+verbatim copy is found whatever it consists of; such alignments need no comparison.
+
 Everything is built-in functions. The item windows are broadcast only if there are at most ``BROADCAST_WINDOWS`` of them, and joined by
 shuffle otherwise. Only texts that aligned with an item that has slots are read again for the slot values.
 
 Defined cases: null and empty texts match nothing. An item shorter than a window is one window of its own length; an
-item without ``MIN_LITERALS`` words outside slots (or, if shorter, all its words) in any window matches nothing. Rows with the same doc_id and text count as one.
+item without ``MIN_LITERALS`` words outside slots (or, if shorter, all its words) in any window matches verbatim only. Rows with the same doc_id and text count as one.
 Repeated items are reported by their own ids. Of several alignments of a text with an item the one with most windows counts, then the
 earliest. Other columns are ignored by ``find_leaks`` and pass through the stage.
 """
@@ -68,26 +71,33 @@ def template_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(t), _SEPARATOR), lambda w: w != "")
 
 
-def _hashes(words: Column, size: int) -> Column:
-    """Hash of each window, in order."""
+def plain_words(text: Column) -> Column:
+    """Lower-case words of a text, without slots."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{Nd}]+"), lambda w: w != "")
+
+
+def _hashes(words: Column, size: int, plain: bool = False) -> Column:
+    """Hash of each window, in order; those of plain words are others."""
     starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - size + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.lit(size), F.slice(words, i, size)))
+    return F.transform(starts, lambda i: F.xxhash64(F.lit(-size if plain else size), F.slice(words, i, size)))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
-    """(item_id, item_pos, size, n_windows, n_words, slots, h): windows of the items that have enough words outside slots."""
-    worded = items.where("text IS NOT NULL").select("item_id", tagged_words(F.col("text")).alias("tags")).where(F.size("tags") > 0)
-    worded = worded.distinct().select("item_id", "tags", template_words(F.col("tags")).alias("words"))
-    worded = worded.withColumn("size", F.least(F.lit(WINDOW), F.size("words"))).withColumn("text_key", F.xxhash64("tags"))
+    """(item_id, text_key, size, n_words, n_windows, slots, plain, item_pos, h): windows of enough words outside slots, and plain ones."""
+    is_slot = lambda w: F.substring(w, 1, 1).between(NUMBER, UNIT)
+    worded = items.where("text IS NOT NULL").select("item_id", tagged_words(F.col("text")).alias("tags"), plain_words(F.col("text")).alias("_plain")).where(F.size("tags") > 0)
+    worded = worded.distinct().withColumns({"text_key": F.xxhash64("tags"), "slots": F.exists("tags", is_slot)})
+    typed = worded.select("item_id", "text_key", "slots", F.lit(False).alias("plain"), template_words(F.col("tags")).alias("words"))
+    verbatim = worded.where(F.col("slots") | (F.size("tags") <= WINDOW)).select("item_id", "text_key", F.lit(False).alias("slots"), F.lit(True).alias("plain"), F.col("_plain").alias("words"))
+    rows = typed.unionByName(verbatim).withColumn("size", F.least(F.lit(WINDOW), F.size("words")))
     # One hash expression for each length that occurs: 1 to WINDOW.
-    hashes = F.coalesce(*[F.when(F.col("size") == n, _hashes(F.col("words"), n)) for n in range(1, WINDOW + 1)])
+    hashes = F.coalesce(*[F.when((F.col("size") == n) & (F.col("plain") == p), _hashes(F.col("words"), n, p)) for n in range(1, WINDOW + 1) for p in (False, True)])
     literal = lambda i: F.size(F.filter(F.slice("words", i + 1, F.col("size")), lambda w: ~w.between(NUMBER, UNIT)))
     fit = F.filter(F.transform(hashes, lambda h, i: F.struct(i.alias("item_pos"), h.alias("h"), literal(i).alias("literal"))),
-                   lambda w: w["literal"] >= F.least(F.lit(MIN_LITERALS), F.col("size")))
-    rows = worded.select("item_id", "text_key", "tags", "size", F.size("words").alias("n_words"), fit.alias("fit"))
-    return rows.select("item_id", "text_key", "tags", "size", "n_words", F.size("fit").alias("n_windows"), F.explode("fit").alias("w")).select(
-        "item_id", "text_key", "size", "n_words", "n_windows", F.exists("tags", lambda w: F.substring(w, 1, 1).between(NUMBER, UNIT)).alias("slots"),
-        "w.item_pos", "w.h")
+                   lambda w: F.col("plain") | (w["literal"] >= F.least(F.lit(MIN_LITERALS), F.col("size"))))
+    rows = rows.select("item_id", "text_key", "size", F.size("words").alias("n_words"), "slots", "plain", fit.alias("fit"))
+    return rows.select("item_id", "text_key", "size", "n_words", F.size("fit").alias("n_windows"), "slots", "plain", F.explode("fit").alias("w")).select(
+        "item_id", "text_key", "size", "n_words", "n_windows", "slots", "plain", "w.item_pos", "w.h")
 
 
 def _slots(side: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -106,7 +116,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def _candidates(hits: DataFrame) -> DataFrame:
     """Alignments that cover enough, alone (one part) or a few words apart: shift (the least), hit, cover, and parts of (shift, places)."""
-    owner = ["doc_id", "text_key", "item_id", "item_key", "size", "n_words", "n_windows", "slots"]
+    owner = ["doc_id", "text_key", "item_id", "item_key", "size", "n_words", "n_windows", "slots", "plain"]
     parts = hits.groupBy(*owner, (F.col("doc_pos") - F.col("item_pos")).alias("shift")).agg(F.array_sort(F.collect_set("item_pos")).alias("places"))
     hit = F.size("places")
     parts = keep(parts.withColumn("enough", (hit / F.col("n_windows") >= MIN_COVER) | (hit + F.col("size") - 1 >= LONG_RUN)), "parts")
@@ -126,10 +136,10 @@ def _candidates(hits: DataFrame) -> DataFrame:
 def _aligned(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, text_key, item_id, n_windows, cover, changed), for each text and item."""
     windows = keep(item_windows(items.select("item_id", "text")), "item_windows")
-    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # at most WINDOW numbers
+    sizes = sorted((r["plain"], r["size"]) for r in windows.select("plain", "size").distinct().collect())  # at most 2 * WINDOW
     few = windows.count() <= BROADCAST_WINDOWS
-    ready = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), template_of(F.col("text")).alias("words"))
-    hashes = [F.transform(_hashes(F.col("words"), n), lambda h, i: F.struct(h.alias("h"), i.alias("doc_pos"))) for n in sizes]
+    ready = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), template_of(F.col("text")).alias("words"), plain_words(F.col("text")).alias("plain"))
+    hashes = [F.transform(_hashes(F.col("plain" if p else "words"), n, p), lambda h, i: F.struct(h.alias("h"), i.alias("doc_pos"))) for p, n in sizes]
     # Windows go through the join as hash and place only; a row takes no words along.
     rows = ready.select("doc_id", "text_key", F.explode(F.concat(*hashes) if hashes else F.expr("array_repeat(struct(0L AS h, 0 AS doc_pos), 0)")).alias("w"))
     rows = rows.select("doc_id", "text_key", "w.h", "w.doc_pos")
@@ -156,9 +166,9 @@ def _aligned(docs: DataFrame, items: DataFrame) -> DataFrame:
     slots = seen.groupBy(*line).agg(F.max(F.coalesce("bad", F.lit(False))).alias("bad"), F.max("changed").alias("changed"))
     slots = slots.select(*[F.col(c).alias(f"_{c}") for c in line], "bad", "changed")
     same = [lines[c].eqNullSafe(slots[f"_{c}"]) for c in line]
-    judged = lines.join(slots, same[0] & same[1] & same[2] & same[3] & same[4], "left").where(~F.coalesce("bad", F.lit(False)))
+    judged = lines.join(slots, same[0] & same[1] & same[2] & same[3] & same[4] & ~lines["plain"], "left").where(~F.coalesce("bad", F.lit(False)))
     best = judged.groupBy("doc_id", "text_key", "item_id").agg(
-        F.max(F.struct((F.size("parts") == 1).alias("single"), F.col("hit").alias("n_windows"), (-F.col("shift")).alias("early"), "cover",
+        F.max(F.struct((~F.col("plain")).alias("typed"), (F.size("parts") == 1).alias("single"), F.col("hit").alias("n_windows"), (-F.col("shift")).alias("early"), "cover",
                        (F.coalesce("changed", F.lit(0)) > 0).alias("changed"))).alias("b"))
     return best.select("doc_id", "text_key", "item_id", "b.n_windows", "b.cover", "b.changed")
 

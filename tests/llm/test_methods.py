@@ -226,6 +226,14 @@ def test_leaks_with_words_put_in_or_taken_out(spark):
     assert leaks(spark, docs, items) == {(d, d % 100) for d in docs if d < 200}
 
 
+def test_verbatim_items_are_found(spark):
+    items = {
+        1: "What is 348 + 217?", 2: "What is it called?", 3: "the men were Tom, Ann, Bob, Jim, Eve, Max and Zoe, Kim, Lee, Roy, Sam, Tim in all",
+        4: "on 12 May 1999, 13 June 2000, 14 July 2001, 15 August 2002"}
+    docs = {1: "they asked: " + items[1] + " 565", 2: "so he said, " + items[2] + " and left", 3: "we know that " + items[3], 4: "as " + items[4] + " and", 5: "What is 348 + 218?"}
+    assert leaks(spark, docs, items) == {(n, n) for n in items}
+
+
 # 8: groups
 
 
