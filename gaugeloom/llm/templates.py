@@ -4,9 +4,10 @@ Texts and benchmark items are turned into template words: numbers, names (words
 units after a number become typed placeholders ('1,500', '2.5' and 'Mary Ann' are one each), all other words are lower-cased. Windows of ``WINDOW`` template words are hashed, and those
 of the texts are joined with those of the items. Windows that lie at one distance from an item's are one alignment; it counts when
 its windows cover ``MIN_COVER`` of the item's, or ``LONG_RUN`` words. Alignments of one text and item that lie within ``SHIFT_GAP`` words of
-each other, as words put in or taken out leave them, count together when they cover as many words as one with ``MIN_COVER`` does. Then the slots are compared: within an alignment each
-value of the item must stand for one value of the text, and the other way round. So a question with other numbers or names
-is found, while one whose slots contradict each other is not.
+each other, as words put in or taken out leave them, count together when they cover as many words as one with ``MIN_COVER`` does. Then the
+names in matched windows are compared: of their places, more than half must have the text's commonest value for the item's, and the other
+way round. So a question with other numbers or names is found, while one whose names contradict each other is not, unless its
+plain words are enough. Numbers and units may differ place by place, as equal ones may be so by chance.
 
 Items that have slots, or at most ``WINDOW`` words, are also sought by windows of their plain lower-case words, without slots, so that a
 verbatim copy is found whatever it consists of; such alignments need no comparison.
@@ -160,10 +161,15 @@ def _aligned(docs: DataFrame, items: DataFrame) -> DataFrame:
     asked = asked.withColumn("place_wanted", F.col("item_place") + F.col("part.shift"))
     pairs = asked.join(theirs, asked["doc_id"].eqNullSafe(theirs["d"]) & (asked["text_key"] == theirs["k"]) & (asked["place_wanted"] == theirs["place"]), "left")
     line = ["doc_id", "text_key", "item_id", "item_key", "shift"]
-    by_item = pairs.groupBy(*line, "item_value").agg(F.min("doc_value").alias("a"), F.max("doc_value").alias("b"), F.max(F.coalesce((F.col("doc_value") != F.col("item_value")).cast("int"), F.lit(0))).alias("changed"))
-    by_doc = pairs.where("doc_value IS NOT NULL").groupBy(*line, "doc_value").agg((F.min("item_value") != F.max("item_value")).alias("bad"))
-    seen = by_item.select(*line, (F.col("a") != F.col("b")).alias("bad"), "changed").unionByName(by_doc.select(*line, "bad", F.lit(0).alias("changed")))
-    slots = seen.groupBy(*line).agg(F.max(F.coalesce("bad", F.lit(False))).alias("bad"), F.max("changed").alias("changed"))
+    counted = pairs.groupBy(*line, "item_value", "doc_value").agg(F.count("*").alias("n"))
+    changed = F.max((~F.col("doc_value").eqNullSafe(F.col("item_value"))).cast("int"))
+    name = lambda value: F.col(value).startswith(NAME).cast("int")
+    by_item = counted.groupBy(*line, "item_value").agg((F.max("n") * name("item_value")).alias("ours"), (F.sum("n") * name("item_value")).alias("names"), changed.alias("changed"))
+    by_doc = counted.where("doc_value IS NOT NULL").groupBy(*line, "doc_value").agg((F.max("n") * name("doc_value")).alias("theirs"))
+    seen = by_item.select(*line, "ours", F.lit(0).alias("theirs"), "names", "changed").unionByName(
+        by_doc.select(*line, F.lit(0).alias("ours"), "theirs", F.lit(0).alias("names"), F.lit(0).alias("changed")))
+    slots = seen.groupBy(*line).agg(F.sum("ours").alias("ours"), F.sum("theirs").alias("theirs"), F.sum("names").alias("names"), F.max("changed").alias("changed"))
+    slots = slots.withColumn("bad", (F.col("names") > 0) & (2 * F.least("ours", "theirs") <= F.col("names")))
     slots = slots.select(*[F.col(c).alias(f"_{c}") for c in line], "bad", "changed")
     same = [lines[c].eqNullSafe(slots[f"_{c}"]) for c in line]
     judged = lines.join(slots, same[0] & same[1] & same[2] & same[3] & same[4] & ~lines["plain"], "left").where(~F.coalesce("bad", F.lit(False)))

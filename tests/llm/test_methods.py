@@ -234,6 +234,18 @@ def test_verbatim_items_are_found(spark):
     assert leaks(spark, docs, items) == {(n, n) for n in items}
 
 
+def test_contradictions_do_not_hide_what_else_agrees(spark):
+    rng = random.Random(6)
+    passage = f"{words(rng, 60, 10**9)} Paris {words(rng, 60, 10**9)} Paris {words(rng, 78, 10**9)}"
+    apples = "a farmer has 3 apples and 3 pears in the big old basket that stands near the door"
+    names = " ".join(f"{words(rng, 5, 10**9)} Paris" for _ in range(3)) + " " + words(rng, 5, 10**9)
+    items = {1: passage, 2: apples, 3: names, 4: " ".join(f"{words(rng, 5, 10**9)} {n}" for n in ("Paris", "Rome")) + " " + words(rng, 5, 10**9)}
+    docs = {
+        1: passage.replace("Paris", "Rome", 1), 2: apples.replace("3", "4", 1).replace("3", "5"), 3: names.replace("Paris", "Rome").replace("Rome", "Oslo", 1),
+        4: items[4].replace("Paris", "Oslo").replace("Rome", "Oslo")}
+    assert leaks(spark, docs, items) == {(1, 1), (2, 2), (3, 3)}  # 4: one name would stand for two
+
+
 # 8: groups
 
 
