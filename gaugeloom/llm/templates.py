@@ -78,9 +78,9 @@ def plain_words(text: Column) -> Column:
 
 
 def _hashes(words: Column, size: int, plain: bool = False) -> Column:
-    """Hash of each window, in order; those of plain words are others."""
+    """(h, pos) of each window, in order: its hash, other for plain words, and its place."""
     starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - size + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.lit(-size if plain else size), F.slice(words, i, size)))
+    return F.transform(starts, lambda i: F.struct(F.xxhash64(F.lit(-size if plain else size), F.slice(words, i, size)).alias("h"), (i - 1).alias("pos")))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
@@ -94,7 +94,7 @@ def item_windows(items: DataFrame) -> DataFrame:
     # One hash expression for each length that occurs: 1 to WINDOW.
     hashes = F.coalesce(*[F.when((F.col("size") == n) & (F.col("plain") == p), _hashes(F.col("words"), n, p)) for n in range(1, WINDOW + 1) for p in (False, True)])
     literal = lambda i: F.size(F.filter(F.slice("words", i + 1, F.col("size")), lambda w: ~w.between(NUMBER, UNIT)))
-    fit = F.filter(F.transform(hashes, lambda h, i: F.struct(i.alias("item_pos"), h.alias("h"), literal(i).alias("literal"))),
+    fit = F.filter(F.transform(hashes, lambda w: F.struct(w["pos"].alias("item_pos"), w["h"].alias("h"), literal(w["pos"]).alias("literal"))),
                    lambda w: F.col("plain") | (w["literal"] >= F.least(F.lit(MIN_LITERALS), F.col("size"))))
     rows = rows.select("item_id", "text_key", "size", F.size("words").alias("n_words"), "slots", "plain", fit.alias("fit"))
     return rows.select("item_id", "text_key", "size", "n_words", F.size("fit").alias("n_windows"), "slots", "plain", F.explode("fit").alias("w")).select(
@@ -140,10 +140,10 @@ def _aligned(docs: DataFrame, items: DataFrame) -> DataFrame:
     sizes = sorted((r["plain"], r["size"]) for r in windows.select("plain", "size").distinct().collect())  # at most 2 * WINDOW
     few = windows.count() <= BROADCAST_WINDOWS
     ready = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_key"), template_of(F.col("text")).alias("words"), plain_words(F.col("text")).alias("plain"))
-    hashes = [F.transform(_hashes(F.col("plain" if p else "words"), n, p), lambda h, i: F.struct(h.alias("h"), i.alias("doc_pos"))) for p, n in sizes]
+    hashes = [_hashes(F.col("plain" if p else "words"), n, p) for p, n in sizes]
     # Windows go through the join as hash and place only; a row takes no words along.
-    rows = ready.select("doc_id", "text_key", F.explode(F.concat(*hashes) if hashes else F.expr("array_repeat(struct(0L AS h, 0 AS doc_pos), 0)")).alias("w"))
-    rows = rows.select("doc_id", "text_key", "w.h", "w.doc_pos")
+    rows = ready.select("doc_id", "text_key", F.explode(F.concat(*hashes) if hashes else F.expr("array_repeat(struct(0L AS h, 0 AS pos), 0)")).alias("w"))
+    rows = rows.select("doc_id", "text_key", "w.h", F.col("w.pos").alias("doc_pos"))
     right = windows.withColumnRenamed("text_key", "item_key")
     hits = rows.join(F.broadcast(right) if few else right, "h")
     lines = _candidates(hits)
