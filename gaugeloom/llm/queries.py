@@ -1,6 +1,7 @@
 """All registered queries of the subpackage, and the SQL they are compared with."""
 
-from gaugeloom.llm import bytecnn, crossparse, jaccard, licences, linechunks, maxscore, packing, pseudonyms, templates, tokens  # noqa: F401
+from gaugeloom.llm import (  # noqa: F401
+    bytecnn, crossparse, jaccard, licences, linechunks, maxscore, packing, pseudonyms, resampling, templates, tokens)
 from gaugeloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
