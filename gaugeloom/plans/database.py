@@ -18,6 +18,7 @@ from gaugeloom.functions.text import dsn_server, namespace
 from gaugeloom.functions.times import newer_than, seconds, wall_clock
 from gaugeloom.functions.values import int_field, parse_value, strict_int, string_field
 from gaugeloom.model import Report, Result, error_rows, no_errors
+from gaugeloom.operators.gates import elapsed_gate
 from gaugeloom.operators.points import make_point, map_point
 from gaugeloom.operators.reshape import collect_fields, field_chunks, first_row, top_rows, unpivot
 from gaugeloom.sources.landing import DIGEST_TOTALS, IO_OPS, LOCK_MODES, USER_COUNTERS
@@ -95,10 +96,8 @@ def global_status(tables: Tables, cfg: DatabaseConfig = DatabaseConfig()) -> Res
 
 
 def slow_snapshots(df: DataFrame, interval_seconds: int, ts: str = "collected_at") -> DataFrame:
-    """Keep the first snapshot of every server in every interval; all its rows stay."""
-    slot = F.call_function("div", F.unix_seconds(F.col(ts)), F.lit(interval_seconds))
-    first = df.groupBy("server", slot.alias("_slot")).agg(F.min(ts).alias(ts)).select("server", ts)
-    return df.join(first, ["server", ts], "left_semi")
+    """Keep a server's first snapshot and each one at least the interval after the last kept; all its rows stay."""
+    return elapsed_gate(df, interval_seconds, ts)
 
 
 def global_variables(tables: Tables, cfg: DatabaseConfig = DatabaseConfig()) -> Result:

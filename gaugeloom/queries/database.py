@@ -384,8 +384,17 @@ def stage_history(spark, d):
     return table.select("server", "event_id", "thread_id", F.unix_micros("end_time").alias("end_us"), "event_name", "stage_time")
 
 
-@query("slow_interval", """
-SELECT event_id FROM (SELECT event_id, ts = min(ts) OVER (PARTITION BY user_id, CAST(floor(epoch(ts)) AS BIGINT) // 21600) AS first FROM events) WHERE first""")
+#: Reports of each user at least six hours after the last one, out of the distinct times in ``t``.
+LAST_REPORT_SQL = """
+t AS (SELECT DISTINCT user_id, epoch_us(ts) AS us FROM events),
+r AS (
+  SELECT user_id, min(us) AS us FROM t GROUP BY user_id
+  UNION ALL SELECT r.user_id, min(t.us) FROM r JOIN t ON t.user_id = r.user_id AND t.us >= r.us + 21600000000 GROUP BY r.user_id, r.us)
+"""
+
+
+@query("slow_interval", f"""
+WITH RECURSIVE {LAST_REPORT_SQL} SELECT event_id FROM events JOIN r ON r.user_id = events.user_id AND r.us = epoch_us(ts)""")
 def slow_interval(spark, d):
     rows = events(spark, d).select("event_id", F.col("user_id").alias("server"), F.col("ts").alias("collected_at"))
     return db.slow_snapshots(rows, 21600).select("event_id")

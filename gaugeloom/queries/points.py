@@ -431,7 +431,7 @@ def section_carry(spark, d):
     return reshape.carry_forward(rows, ["user_id"], "event_id", "mark", "section").select("event_id", "section")
 
 
-def _stat_events(spark, d):
+def stat_events(spark, d):
     """Purchases set their counter, everything else adds to it."""
     df = events(spark, d)
     return df.select(F.col("event_id").alias("seq"), F.lit("web").alias("measurement"), F.concat(F.lit("f"), F.col("k") % 3).alias("field"),
@@ -439,7 +439,7 @@ def _stat_events(spark, d):
                      F.when(F.col("event_type") == "purchase", "set").otherwise("incr").alias("op"), F.col("k").alias("v"))
 
 
-_STAT_SQL = f"""
+STAT_SQL = f"""
 WITH e AS (SELECT event_id AS seq, 'f' || ({K} % 3) AS field, user_id, CASE WHEN event_type = 'purchase' THEN 'set' ELSE 'incr' END AS op, {K} AS v, ts FROM events),
 s AS (SELECT user_id, field, max(seq) AS set_seq, max_by(v, seq) AS set_v FROM e WHERE op = 'set' GROUP BY ALL),
 c AS (SELECT e.user_id, e.field, CAST(coalesce(max(set_v), 0) + coalesce(sum(v) FILTER (op = 'incr' AND seq > coalesce(set_seq, -1)), 0) AS BIGINT) AS value
@@ -447,15 +447,15 @@ c AS (SELECT e.user_id, e.field, CAST(coalesce(max(set_v), 0) + coalesce(sum(v)
 """
 
 
-@query("counter_stat", _STAT_SQL + "SELECT CAST(user_id AS VARCHAR) AS user_tag, field, value FROM c")
+@query("counter_stat", STAT_SQL + "SELECT CAST(user_id AS VARCHAR) AS user_tag, field, value FROM c")
 def counter_stat(spark, d):
-    return stats.counter_stats(_stat_events(spark, d)).select(tag("user").alias("user_tag"), "field", "value")
+    return stats.counter_stats(stat_events(spark, d)).select(tag("user").alias("user_tag"), "field", "value")
 
 
-@query("stat_regroup", _STAT_SQL + """
+@query("stat_regroup", STAT_SQL + """
 SELECT 'internal_web' AS measurement, CAST(user_id AS VARCHAR) AS user_tag, string_agg(field || '=' || value, ',' ORDER BY field) AS fields FROM c GROUP BY user_id""")
 def stat_regroup(spark, d):
-    out = stats.regroup(stats.counter_stats(_stat_events(spark, d)))
+    out = stats.regroup(stats.counter_stats(stat_events(spark, d)))
     return out.select("measurement", tag("user").alias("user_tag"), maps.shown(F.transform_values("fields", lambda _, v: values.field_text(v))).alias("fields"))
 
 
@@ -467,7 +467,7 @@ m AS (SELECT user_id, field, slot, CAST(sum(v) // count(*) AS BIGINT) AS mean FR
 
 @query("timing_stat", _TIMING_SQL + "SELECT CAST(user_id AS VARCHAR) AS user_tag, field, slot, mean FROM m")
 def timing_stat(spark, d):
-    return stats.timing_stats(_stat_events(spark, d), 86400).select(tag("user").alias("user_tag"), "field", "slot", "mean")
+    return stats.timing_stats(stat_events(spark, d), 86400).select(tag("user").alias("user_tag"), "field", "slot", "mean")
 
 
 @query("timing_reads", _TIMING_SQL + """
@@ -476,7 +476,7 @@ SELECT CAST(q.user_id AS VARCHAR) AS user_tag, q.field, q.slot,
   coalesce(last_value(mean IGNORE NULLS) OVER (PARTITION BY q.user_id, q.field ORDER BY q.slot ROWS UNBOUNDED PRECEDING), 0) AS value
 FROM q LEFT JOIN m ON q.user_id = m.user_id AND q.field = m.field AND q.slot = m.slot""")
 def timing_reads(spark, d):
-    means = stats.timing_stats(_stat_events(spark, d), 86400)
+    means = stats.timing_stats(stat_events(spark, d), 86400)
     reads = means.select("measurement", "pairs", "slot").distinct().select(
         "measurement", "pairs", "slot", F.explode(F.array(*map(F.lit, ("f0", "f1", "f2")))).alias("field"))
     return stats.fill_reads(means, reads).select(tag("user").alias("user_tag"), "field", "slot", "value")

@@ -10,7 +10,9 @@ from gaugeloom.operators.inputs import InputConfig, normalise
 from gaugeloom.operators.points import make_point
 from gaugeloom.plans import database as db
 from gaugeloom.queries.common import K, joined, k_of, load, num, query, tag
-from gaugeloom.queries.database import _HISTORY_SQL, _history
+from gaugeloom.queries.database import _HISTORY_SQL, LAST_REPORT_SQL, _history
+from gaugeloom.queries.points import STAT_SQL, stat_events
+from gaugeloom.session import scratch_dir
 from gaugeloom.streaming import landing, state
 
 
@@ -37,16 +39,28 @@ def stream_dedup(spark, d):
     return landing.drained(spark, state.dedup(df, ["event_id"], "ts", "60 days"), "stream-dedup").select("event_id", F.unix_micros("ts").alias("us"))
 
 
-@query("stream_counters", f"""
+@query("stream_sums", f"""
 SELECT event_type AS measurement, 'k' || ({K} % 3) AS field, CAST(sum({K}) AS BIGINT) AS value FROM events GROUP BY ALL""")
-def stream_counters(spark, d):
+def stream_sums(spark, d):
     df = _stream(spark, d).select(F.col("event_type").alias("measurement"), F.expr("map()").cast("map<string,string>").alias("tags"),
                                   joined("k", F.col("k") % 3).alias("field"), F.col("k").alias("v"))
-    out = landing.drained(spark, state.counters(df), "stream-counters", mode="update")
+    out = landing.drained(spark, state.sums(df), "stream-sums", mode="update")
     last = landing.latest(out, ["series", "field"])
     return last.select(F.regexp_replace("series", "\x02", "").alias("measurement"), "field", "value")
 
 
+@query("stream_counters", STAT_SQL + "SELECT CAST(user_id AS VARCHAR) AS user_tag, field, value FROM c")
+def stream_counters(spark, d):
+    """The counters of ``counter_stat`` from a stream whose events arrive out of order, a quarter at a time."""
+    landed = scratch_dir(spark, "stream-events")
+    dealt = stat_events(spark, d)
+    dealt.repartition(4, F.xxhash64("seq")).write.parquet(landed)
+    df = landing.read_landing(spark, landed, dealt.schema, files_per_batch=1)
+    out = landing.drained(spark, state.counters(df, "ts", "60 days"), "stream-counters", mode="update")
+    last = landing.latest(out, ["series", "field"])
+    return last.select(F.regexp_extract("series", "\x01(.*)", 1).alias("user_tag"), "field", "value")
+
+
 @query("stream_timing", f"""
 WITH w AS (SELECT event_type AS series, epoch_us(ts) // 86400000000 * 86400000000 AS slot, CAST(sum({K}) AS BIGINT) AS total, count(*) AS n FROM events GROUP BY ALL)
 SELECT series, slot, n, total // n AS value FROM w WHERE slot + 86400000000 <= (SELECT max(epoch_us(ts)) - 3600000000 FROM events)""")
@@ -58,12 +72,11 @@ def stream_timing(spark, d):
     return out.select("series", F.unix_micros("slot").alias("slot"), "n", "value")
 
 
-@query("stream_slow_interval", """
-WITH w AS (SELECT user_id AS server, epoch_us(ts) // 21600000000 AS slot, min(epoch_us(ts)) AS first_us FROM events GROUP BY ALL)
-SELECT server, first_us FROM w WHERE (slot + 1) * 21600000000 <= (SELECT max(epoch_us(ts)) - 3600000000 FROM events)""")
+@query("stream_slow_interval", f"""
+WITH RECURSIVE {LAST_REPORT_SQL} SELECT user_id AS server, us AS first_us FROM r WHERE us <= (SELECT max(epoch_us(ts)) - 3600000000 FROM events)""")
 def stream_slow_interval(spark, d):
     df = _stream(spark, d).select(F.col("user_id").alias("server"), "ts")
-    out = landing.drained(spark, state.slow_interval(df, "6 hours", "ts", "1 hour"), "stream-slow")
+    out = landing.drained(spark, state.slow_interval(df, 21600, "ts", "1 hour"), "stream-slow")
     return out.select("server", F.unix_micros("first_ts").alias("first_us"))
 
 

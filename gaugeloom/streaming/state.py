@@ -1,11 +1,13 @@
-"""Stateful streams: duplicate suppression, slow intervals, counters and carried timing means."""
+"""Stateful streams: duplicate suppression, the elapsed-time gate, counters and carried timing means."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gaugeloom.model import series_key
@@ -19,18 +21,129 @@ def dedup(df: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def slow_interval(df: DataFrame, interval: str, ts: str, delay: str, server: str = "server") -> DataFrame:
-    """First collection time of every server in every interval, as a stream to join or filter by."""
-    return (df.withWatermark(ts, delay).groupBy(F.window(ts, interval).alias("_w"), server)
-            .agg(F.min(ts).alias("first_ts")).select(server, "first_ts"))
+def _filled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Frames with rows: a batch without data may hand over a frame without columns."""
+    return (f for f in frames if len(f))
 
 
-def counters(df: DataFrame) -> DataFrame:
+def _objects(values: list) -> pd.Series:
+    """Values as they are: the processor's output takes no chunked text columns."""
+    return pd.Series(values, dtype=object)
+
+
+class _Gate(StatefulProcessor):
+    """Last report of a server, and the snapshots that wait for the watermark."""
+
+    def __init__(self, interval: int):
+        self.interval = interval
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "us long")
+        self.waiting = handle.getMapState("waiting", "ms long", "us array<long>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in _filled(rows):
+            times = frame["us"].to_numpy()
+            due = -(-times // 1000)
+            for ms in np.unique(due).tolist():
+                held = self.waiting.getValue((ms,))[0] if self.waiting.containsKey((ms,)) else []
+                if not held:
+                    self.handle.registerTimer(ms)
+                self.waiting.updateValue((ms,), (sorted({*map(int, held), *times[due == ms].tolist()}),))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        ms = expiredTimerInfo.getExpiryTimeInMs()
+        held = self.waiting.getValue((ms,))[0] if self.waiting.containsKey((ms,)) else []
+        last, out = self.last.get()[0] if self.last.exists() else None, []
+        for us in map(int, held):
+            if last is None or us >= last + self.interval:
+                last = us
+                out.append(us)
+        self.waiting.removeKey((ms,))
+        if out:
+            self.last.update((last,))
+            yield pd.DataFrame({"server": _objects([key[0]] * len(out)), "first_ts": pd.to_datetime(np.array(out, "int64"), unit="us", utc=True)})
+
+    def close(self) -> None:
+        pass
+
+
+def slow_interval(df: DataFrame, interval_seconds: int, ts: str, delay: str, server: str = "server") -> DataFrame:
+    """(server, first_ts): snapshots at least the interval after the server's last report, as a stream to join or filter by.
+
+    A snapshot waits for the watermark, so that those arriving out of order are judged in order of time; one that is later
+    than ``delay`` is left out, as is one without a server or a time. The last report is kept in the checkpoint.
+    """
+    key = next(f for f in df.schema.fields if f.name == server)
+    timed = df.withWatermark(ts, delay).where(F.col(server).isNotNull() & F.col(ts).isNotNull())
+    # The processor's frames rename columns that begin with an underscore.
+    rows = timed.select(F.col(server).alias("server"), ts, F.unix_micros(F.col(ts)).alias("us"))
+    return rows.groupBy("server").transformWithStateInPandas(
+        _Gate(interval_seconds * 1_000_000), f"server {key.dataType.simpleString()}, first_ts timestamp", "append", "EventTime")
+
+
+def sums(df: DataFrame) -> DataFrame:
     """Running sum per series and field; partial sums are taken before the shuffle."""
     return (df.groupBy(series_key(F.col("measurement"), F.col("tags")).alias("series"), "field")
             .agg(F.sum("v").alias("value")))
 
 
+class _Counter(StatefulProcessor):
+    """Last set of a counter with the increments after it.
+
+    ``total`` is the set value and the increments that no set can undo any more: those the watermark has passed. Younger
+    increments are held one by one, since a set that is still on its way may lie after some and before others.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.base = handle.getValueState("base", "set_seq long, total string")
+        self.recent = handle.getValueState("recent", "seq array<long>, ms array<long>, v array<long>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        rows = list(_filled(rows))
+        if not rows:
+            return
+        set_seq, total = self.base.get() if self.base.exists() else (None, "0")
+        total = int(total)
+        held = self.recent.get() if self.recent.exists() else ([], [], [])
+        seq, ms, v = (np.array(list(x), np.int64) for x in held)
+        for frame in rows:
+            sets = frame[frame["op"] == "set"]
+            if len(sets):
+                top = sets.loc[sets["seq"].idxmax()]
+                if set_seq is None or top["seq"] > set_seq:
+                    set_seq, total = int(top["seq"]), int(top["v"])
+            more = frame[frame["op"] == "incr"]
+            seq, ms, v = (np.concatenate([a, more[c].to_numpy(np.int64)]) for a, c in ((seq, "seq"), (ms, "ms"), (v, "v")))
+            if set_seq is not None:
+                seq, ms, v = (x[seq > set_seq] for x in (seq, ms, v))
+        done = ms <= timerValues.getCurrentWatermarkInMs()
+        total += sum(v[done].tolist())
+        seq, ms, v = (x[~done] for x in (seq, ms, v))
+        self.base.update((set_seq, str(total)))
+        self.recent.update((seq.tolist(), ms.tolist(), v.tolist()))
+        value = total + sum(v.tolist())
+        fits = -(2**63) <= value < 2**63
+        yield pd.DataFrame({"series": _objects([key[0]]), "field": _objects([key[1]]), "value": pd.array([value if fits else None], "Int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def counters(df: DataFrame, ts: str, delay: str) -> DataFrame:
+    """Current value per series and field: the last set by ``seq``, plus the increments after it, in whatever order they arrive.
+
+    ``df`` has ``measurement, tags, field, seq, op (incr or set), v``; later events have later ``ts``. An event later than
+    ``delay`` is left out. Every change gives the counter's new value (update mode); one beyond 64 bits is NULL.
+    """
+    rows = df.withWatermark(ts, delay).where("op IN ('set', 'incr') AND seq IS NOT NULL AND v IS NOT NULL").select(
+        series_key(F.col("measurement"), F.col("tags")).alias("series"), "field", ts,
+        F.unix_millis(F.col(ts)).alias("ms"), F.col("seq").cast("bigint"), "op", F.col("v").cast("bigint"))
+    return rows.groupBy("series", "field").transformWithStateInPandas(_Counter(), "series string, field string, value bigint", "update", "EventTime")
+
+
 def interval_sums(df: DataFrame, interval: str, ts: str, delay: str, key: Column) -> DataFrame:
     """Sum and count per key and interval, appended once the interval is over.
 

@@ -52,11 +52,11 @@ def test_global_variables_in_chunks(spark):
     assert every["version"] == "5.6.34" and every["protocol_version"] == 10.0 and "text" not in every and every["v39"] == 39.0
 
 
-def test_slow_interval_keeps_first_snapshot(spark):
+def test_slow_interval_counts_from_the_last_report(spark):
     t = table(spark, "global_variables", *[
-        {"collected_at": T0 + timedelta(seconds=s), **r} for s in (0, 10, 60) for r in names(("a", "1"), ("b", "2"))])
+        {"collected_at": T0 + timedelta(seconds=s), **r} for s in (59, 61, 118, 119, 178.5, 179.5) for r in names(("a", "1"), ("b", "2"))])
     out = db.global_variables(t, db.DatabaseConfig(slow_interval_seconds=60))
-    assert sorted(r.ts.second for r in out.metrics.collect()) == [0, 0] and out.metrics.count() == 2
+    assert sorted((r.ts - T0.replace(tzinfo=None)).total_seconds() for r in out.metrics.collect()) == [59, 119, 179.5]
 
 
 def test_replication_first_row(spark, rows):

@@ -59,13 +59,13 @@ def test_repeated_events_are_dropped(spark, rows, tmp_path):
     assert sorted(r.id for r in landing.drained(spark, df, "d").collect()) == [1, 2, 3]
 
 
-def test_counters_grow_over_batches(spark, rows, tmp_path):
+def test_sums_grow_over_batches(spark, rows, tmp_path):
     path = str(tmp_path / "in")
     for i in range(3):
         land(rows, path, (i, i, "a", 10), (i, i, "b", i))
     df = landing.read_landing(spark, path, EVENTS, files_per_batch=1).select(
         F.lit("m").alias("measurement"), F.create_map(F.lit("k"), F.col("kind")).alias("tags"), F.lit("f").alias("field"), "v")
-    out = landing.drained(spark, state.counters(df), "c", mode="update")
+    out = landing.drained(spark, state.sums(df), "c", mode="update")
     assert out.count() == 6
     assert sorted(r.value for r in landing.latest(out, ["series", "field"]).collect()) == [3, 30]
 
@@ -85,12 +85,46 @@ def test_timing_means_carry_over(spark, rows, tmp_path):
     assert [(r.series, r.value) for r in got] == [("new", 0), ("s", 7), ("s", 7), ("s", 12), ("s", -1)]
 
 
-def test_slow_interval_stream(spark, rows, tmp_path):
-    path = str(tmp_path / "in")
-    land(rows, path, (1, 5, "a", 1), (2, 1, "a", 1), (3, 70, "a", 1), (4, 4000, "a", 1))
-    df = state.slow_interval(landing.read_landing(spark, path, EVENTS), "1 minute", "ts", "1 minute", server="kind")
-    got = landing.drained(spark, df, "s").orderBy("first_ts").collect()
-    assert [int(r.first_ts.timestamp() - T0.timestamp()) for r in got] == [1, 70]
+def ran(df, out, mark, mode="append"):
+    start = landing.write_stream if mode == "append" else landing.write_batches
+    start(df, out, mark, mode=mode).awaitTermination()
+
+
+def test_gate_follows_the_last_report_over_a_restart(spark, rows, tmp_path):
+    path, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+    # 59 and 61 lie on both sides of a minute: only the distance to the last report counts. 20 arrives after 40, 90 after 119.
+    land(rows, path, (1, 59, "a", 1), (2, 61, "a", 1), (3, 40, "b", 1))
+    land(rows, path, (4, 20, "b", 1), (5, 80, "b", 1), (6, 119, "a", 1))
+    df = state.slow_interval(landing.read_landing(spark, path, EVENTS, files_per_batch=1), 60, "ts", "30 seconds", server="kind")
+    ran(df, out, mark)
+    land(rows, path, (7, 100, "a", 1), (8, 178, "a", 1), (9, 179, "a", 1), (10, 140, "b", 1))
+    land(rows, path, (11, 5000, "c", 1))
+    ran(df, out, mark)
+    got = sorted((r.server, int(r.first_ts.timestamp() - T0.timestamp())) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 59), ("a", 119), ("a", 179), ("b", 20), ("b", 80), ("b", 140)]
+
+
+COUNTED = "seq bigint, ts timestamp, kind string, op string, v bigint"
+
+
+def test_counters_take_sets_out_of_order_over_a_restart(spark, rows, tmp_path):
+    from gaugeloom.operators.stats import counter_stats
+
+    path, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+    named = lambda df: df.select(F.lit("m").alias("measurement"), F.create_map(F.lit("k"), F.col("kind")).alias("tags"), F.lit("f").alias("field"), "seq", "ts", "op", "v")
+    land_ops = lambda *data: rows(COUNTED, *[(q, T0 + timedelta(seconds=q), k, o, v) for q, k, o, v in data]).coalesce(1).write.mode("append").parquet(path)
+    land_ops((10, "a", "incr", 10), (20, "a", "incr", 5), (12, "b", "incr", 1))
+    land_ops((15, "a", "set", 12), (40, "a", "incr", -2), (41, "b", "incr", 2**62), (42, "b", "incr", 2**62))  # the set lies between increments seen before
+    df = state.counters(named(landing.read_landing(spark, path, COUNTED, files_per_batch=1)), "ts", "30 seconds")
+    ran(df, out, mark, "update")
+    assert {r.series[-1]: r.value for r in landing.latest(spark.read.parquet(out), ["series", "field"]).collect()} == {"a": 15, "b": None}
+    land_ops((30, "a", "set", 7), (100, "b", "set", 3), (14, "a", "set", 99))
+    land_ops((101, "b", "incr", 4), (200, "c", "incr", 1))
+    land_ops((102, "b", "set", -1), (201, "c", "incr", 1), (2, "a", "incr", 10**6))  # the last is later than the watermark
+    ran(df, out, mark, "update")
+    got = {r.series[-1]: r.value for r in landing.latest(spark.read.parquet(out), ["series", "field"]).collect()}
+    whole = counter_stats(named(spark.read.parquet(path).where("seq > 2"))).collect()
+    assert got == {r.tags["k"]: r.value for r in whole} == {"a": 5, "b": -1, "c": 2}
 
 
 def test_scratch_folder_follows_the_session(spark):
