@@ -67,3 +67,8 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count gathered points while another action runs; no extra pass."""
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("metrics_gathered")), seen
+
+
+def counted(seen: Observation, name: str) -> int:
+    """A number that an action has observed; 0 where the plan had no rows to count."""
+    return int(seen.get.get(name) or 0)

@@ -6,7 +6,7 @@ reduced to one row per series and interval with partial aggregation; counter eve
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gaugeloom.functions.values import int_field
 
@@ -102,3 +102,14 @@ def self_points(points: DataFrame, errors: DataFrame, ts) -> DataFrame:
     agent = make_point(both, PREFIX + "agent", {}, {
         "metrics_gathered": F.col("metrics_gathered"), "gather_errors": F.col("gather_errors")}, ts, source="internal")
     return inputs.unionByName(agent)
+
+
+def run_points(spark: SparkSession, gathered: dict[str, int], errors: int, ts: Column) -> DataFrame:
+    """``self_points`` from what a write has counted: one row an input and one in total, nothing is read again."""
+    from gaugeloom.operators.points import make_point
+
+    rows = spark.createDataFrame(
+        [("gather", name, n, None) for name, n in gathered.items()] + [("agent", None, sum(gathered.values()), errors)],
+        "part string, input string, metrics_gathered bigint, gather_errors bigint")
+    return make_point(rows, F.concat(F.lit(PREFIX), "part"), {"input": F.col("input")},
+                      {"metrics_gathered": F.col("metrics_gathered"), "gather_errors": F.col("gather_errors")}, ts, source="internal")

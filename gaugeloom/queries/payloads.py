@@ -276,7 +276,7 @@ def gather_reports(spark, d):
     mntr = snapshots(load(spark, d, "customer"), joined("h", key), joined("zk_keys\t", key, F.when(n % 5 == 0, "\nstray").otherwise(""))).withColumns(
         {"source": F.lit("coord"), "endpoint": F.lit("mntr")})
     tables = {"snapshots": info.unionByName(mntr)}
-    out = registry.gather(tables, [
+    out = registry.gather_once(tables, [
         registry.Wanted("coord.mntr", config=InputConfig(name_prefix="p_")),
-        registry.Wanted("cache.status", config=InputConfig(filter=FilterSpec(field_pass=["key*"])))]).metrics
+        registry.Wanted("cache.status", config=InputConfig(filter=FilterSpec(field_pass=["key*"])))]).result.metrics
     return out.groupBy("measurement").agg(F.count(F.lit(1)).alias("n"), F.sum(F.try_element_at("fields", F.lit("keys"))["i"]).alias("total"))

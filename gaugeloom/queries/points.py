@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from gaugeloom.functions import maps, text, times, values
 from gaugeloom.functions.jsonflat import flatten_json
-from gaugeloom.model import series_key, to_long, to_wide
+from gaugeloom.model import Result, error_rows, series_key, to_long, to_wide
 from gaugeloom.operators import filters, inputs, points as P, records, reshape, stats
 from gaugeloom.operators.filters import FilterSpec
+from gaugeloom.plans import registry
 from gaugeloom.queries.common import K, event_points, events, joined, keys_text, load, num, query, stamp, tag
+from gaugeloom.session import scratch_dir
 from gaugeloom.sources.documents import parse_json_docs
 from gaugeloom.sources.lines import from_lines
 
 
+#: Inputs of the provided events.
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 @query("point_build", f"""
 SELECT event_id, event_type AS measurement, CAST(user_id AS VARCHAR) AS user_tag, event_type AS type_tag,
        value, {K} AS k, epoch_us(ts) * 1000 AS time_ns, 'untyped' AS mtype FROM events""")
@@ -486,9 +492,14 @@ def timing_reads(spark, d):
 SELECT 'internal_gather' AS measurement, event_type AS input, count(*) AS metrics_gathered, CAST(NULL AS BIGINT) AS gather_errors FROM events GROUP BY event_type
 UNION ALL SELECT 'internal_agent', NULL, count(*), (SELECT count(*) FROM orders WHERE o_orderstatus = 'F') FROM events""")
 def self_metrics(spark, d):
-    pts = event_points(spark, d).withColumn("source", F.col("measurement"))
-    errors = load(spark, d, "orders").filter(F.col("o_orderstatus") == "F").select("o_orderkey")
-    out = stats.self_points(pts, errors, stamp())
+    """Counted by the one write of the points of all event types and of the refused orders."""
+    null = F.lit(None).cast("timestamp")
+    refused = error_rows(load(spark, d, "orders").filter(F.col("o_orderstatus") == "F"), "orders", joined("refused ", F.col("o_orderkey")), ts=null)
+    rows, seen = registry.tagged(Result(event_points(spark, d), refused)), Observation("self metrics")
+    counts = [F.count_if(F.col("point.measurement") == t).alias(t) for t in EVENT_TYPES]
+    rows.observe(seen, *counts, F.count_if(F.col("kind") == "error").alias("errors")).write.partitionBy("kind").parquet(scratch_dir(spark, "tagged"))
+    gathered = {t: n for t in EVENT_TYPES if (n := inputs.counted(seen, t))}
+    out = stats.run_points(spark, gathered, inputs.counted(seen, "errors"), stamp())
     return out.select("measurement", F.try_element_at("tags", F.lit("input")).alias("input"), num("metrics_gathered", "i"), num("gather_errors", "i"))
 
 

@@ -374,6 +374,36 @@ def test_gather_joins_inputs_and_normalises(spark):
     assert got[1][1]["dc"] == "x" and "znode_count" not in got[1][2]
 
 
+def test_gather_once_equals_gather_and_reads_snapshots_once(spark, tmp_path):
+    path = str(tmp_path / "landed-snapshots")
+    (snap(spark, [MNTR, "stray\n"], "zk1", "coord", "mntr").unionByName(snap(spark, [XML, "no xml"], "s", "appserver", "status"))
+     .unionByName(snap(spark, "unasked", "z", "other", "e"))).write.parquet(path)
+    t = broker(spark) | {"snapshots": spark.read.parquet(path)}
+    wanted = [
+        registry.Wanted("coord.mntr", config=InputConfig(name_prefix="p_", filter=FilterSpec(name_drop=["p_zoo*"]))),
+        registry.Wanted("appserver.status"), registry.Wanted("coord.mntr"), registry.Wanted("logbroker.groups", {"group_patterns": ["g2"]})]
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run = registry.gather_once(t, wanted)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    plans = [e.physicalPlanDescription() for e in (store.executionsList().apply(i) for i in range(before, store.executionsCount()))]
+    assert sum(text.count("landed-snapshots]") for text in plans) == 1
+    lazy = registry.gather(t, wanted)
+    assert points(run.result.metrics) == points(lazy.metrics)
+    shown = lambda df: sorted((r.source, r.server, r.message) for r in df.collect())
+    assert shown(run.result.errors) == shown(lazy.errors) and run.errors == lazy.errors.count() == 3
+    # Gathered before the filters: the dropped points of the first input count.
+    assert run.gathered == {"coord.mntr": 1, "appserver.status": 3, "coord.mntr#2": 1, "logbroker.groups": 1}
+    assert run.result.metrics.count() == 5
+
+
+def test_points_and_errors_are_kinds_of_one_frame(spark):
+    result = coord.mntr(snap(spark, [MNTR, "stray\n"], "zk1", "coord", "mntr"))
+    rows = registry.tagged(result).collect()
+    assert sorted(r.kind for r in rows) == ["error", "point"] and all((r.point is None) == (r.kind == "error") == (r.error is not None) for r in rows)
+    assert registry.tagged(registry.Result(result.metrics.limit(0), result.errors.limit(0))).count() == 0
+
+
 def test_optional_table_and_registration(spark):
     from gaugeloom.sources.landing import table_or_empty
 

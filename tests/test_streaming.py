@@ -169,3 +169,26 @@ def test_a_broken_run_is_repeated_without_duplicates(spark, tmp_path, monkeypatc
     (tmp_path / "torn").write_text("no table")
     with pytest.raises(Exception, match="(?i)parquet"):
         cursor.load_cursors(spark, str(tmp_path / "torn")).collect()
+
+
+def test_every_batch_reports_what_it_gathered(spark, rows, tmp_path):
+    from gaugeloom.streaming import selfmetrics
+
+    path, out, kept = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "self")
+    land(rows, path, (1, 0, "a", 1), (2, 1, "b", 2))
+    land(rows, path, (3, 2, "a", 3))
+    seen = []
+    save = selfmetrics.to_folder(spark, kept)
+    listener = selfmetrics.GatherListener(lambda *counts: (seen.append(counts), save(*counts)))
+    spark.streams.addListener(listener)
+    try:
+        df = selfmetrics.watched(as_points(landing.read_landing(spark, path, EVENTS, files_per_batch=1)), "events")
+        dropped = normalise(df, InputConfig(filter=FilterSpec(name_drop=["b"])))
+        landing.write_stream(dropped, out, str(tmp_path / "mark"), name="watched").awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    assert [(run, batch, gathered, errors) for run, batch, gathered, errors in seen if gathered] == [("watched", 0, {"events": 2}, 0), ("watched", 1, {"events": 1}, 0)]
+    assert spark.read.parquet(out).count() == 2
+    got = spark.read.parquet(kept).where("measurement = 'internal_agent'").selectExpr("run", "batch", "fields.metrics_gathered.i AS n").collect()
+    assert sorted(map(tuple, got)) == [("watched", 0, 2), ("watched", 1, 1)]
