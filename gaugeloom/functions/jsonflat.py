@@ -34,8 +34,77 @@ def _finite(text):
 
 
 def load(text):
-    """Decode one document. Numbers are doubles, the last of equal member names wins."""
-    return json.loads(text, parse_constant=_reject, parse_float=_finite, parse_int=_finite)
+    """Decode one document of any depth. Numbers are doubles, the last of equal member names wins."""
+    try:
+        return json.loads(text, parse_constant=_reject, parse_float=_finite, parse_int=_finite)
+    except RecursionError:
+        return load_deep(text)
+
+
+_SPACE = re.compile(r"[ \t\n\r]*")
+_NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?")
+_WORDS = {"null": None, "true": True, "false": False}
+
+
+def load_deep(text):
+    """``load`` without recursion: open objects and lists wait on a stack of their own."""
+    waiting, names = [], []  # containers that are open, and the name under which each object's next value goes
+    place = lambda i: _SPACE.match(text, i).end()
+
+    def fail(at):
+        raise ValueError(f"unexpected text at character {at}")
+
+    def member(at):
+        if text[at : at + 1] != '"':
+            fail(at)
+        name, at = json.decoder.scanstring(text, at + 1, True)
+        at = place(at)
+        if text[at : at + 1] != ":":
+            fail(at)
+        return name, place(at + 1)
+
+    at = place(0)
+    while True:
+        sign, opened = text[at : at + 1], None
+        if sign == "{" or sign == "[":
+            value = opened = {} if sign == "{" else []
+            at = place(at + 1)
+        elif sign == '"':
+            value, at = json.decoder.scanstring(text, at + 1, True)
+        elif number := _NUMBER.match(text, at):
+            value, at = _finite(number.group()), number.end()
+        else:
+            word = next((w for w in _WORDS if text.startswith(w, at)), None) or fail(at)
+            value, at = _WORDS[word], at + len(word)
+        if not waiting:
+            whole_value = value
+        elif isinstance(waiting[-1], dict):
+            waiting[-1][names[-1]] = value
+        else:
+            waiting[-1].append(value)
+        if opened is not None:
+            waiting.append(opened)
+            names.append(None)
+            if text[at : at + 1] != ("}" if isinstance(opened, dict) else "]"):
+                if isinstance(opened, dict):
+                    names[-1], at = member(at)
+                continue
+        # A value has ended: close what closes, until another one begins.
+        while waiting:
+            at = place(at)
+            sign, inside = text[at : at + 1], isinstance(waiting[-1], dict)
+            if sign == ("}" if inside else "]"):
+                waiting.pop(), names.pop()
+                at += 1
+            elif sign == ",":
+                at = place(at + 1)
+                if inside:
+                    names[-1], at = member(at)
+                break
+            else:
+                fail(at)
+        if not waiting:
+            return whole_value if place(at) == len(text) else fail(place(at))
 
 
 _LONE = re.compile("[\ud800-\udfff]")
@@ -49,18 +118,21 @@ def whole(text):
 def leaves(value):
     """(path, scalar) pairs in document order; path parts are joined by ``_``, array positions included.
 
-    Open members wait on a list of their own, so no depth is too much.
+    Open members wait on a list of their own, so no depth is too much; a path is written out only at its end.
     """
-    waiting = [("", value)]
+    waiting = [(None, value)]
     while waiting:
-        name, value = waiting.pop()
-        name = name.strip("_")
+        path, value = waiting.pop()
         if isinstance(value, dict):
-            waiting += [(f"{name}_{whole(key)}_", child) for key, child in reversed(value.items())]
+            waiting += [((path, f"_{whole(key)}".rstrip("_")), child) for key, child in reversed(value.items())]
         elif isinstance(value, list):
-            waiting += [(f"{name}_{at}_", value[at]) for at in range(len(value) - 1, -1, -1)]
+            waiting += [((path, f"_{at}"), value[at]) for at in range(len(value) - 1, -1, -1)]
         elif value is not None:
-            yield name, whole(value) if isinstance(value, str) else value
+            parts = []
+            while path:
+                path, part = path
+                parts.append(part)
+            yield "".join(reversed(parts)).lstrip("_"), whole(value) if isinstance(value, str) else value
 
 
 def number_text(value):
@@ -68,15 +140,16 @@ def number_text(value):
     return text.rstrip("0").rstrip(".") if "." in text else text
 
 
-def _field_map(texts, strings, bools):
-    offsets, keys = [0], []
+def _field_map(texts, strings, bools, tell):
+    offsets, keys, refused = [0], [], []
     kinds, nums, strs, flags = [], [], [], []
     for text in texts:
+        refused.append(False)
         if text is not None:
             try:
                 found = dict(leaves(load(text)))
-            except (ValueError, RecursionError):
-                found = {}
+            except ValueError:
+                found, refused[-1] = {}, tell
             for key, value in found.items():
                 flag = isinstance(value, bool)
                 if flag and not bools or isinstance(value, str) and not strings:
@@ -91,15 +164,20 @@ def _field_map(texts, strings, bools):
         [pa.array(kinds, pa.string()), pa.nulls(len(keys), pa.int64()), pa.array(nums, pa.float64()),
          pa.array(strs, pa.string()), pa.array(flags, pa.bool_())],
         names=FIELD.fieldNames())
-    return pa.MapArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys, pa.string()), items)
+    # A place without an offset is NULL.
+    starts = pa.array([None if no else at for at, no in zip(offsets, [*refused, False])], pa.int32())
+    return pa.MapArray.from_arrays(starts, pa.array(keys, pa.string()), items)
+
 
+def flatten_json(col: Column, strings: bool = False, bools: bool = False, tell: bool = False) -> Column:
+    """Fields of a JSON document: numbers always, texts and flags on request.
 
-def flatten_json(col: Column, strings: bool = False, bools: bool = False) -> Column:
-    """Fields of a JSON document: numbers always, texts and flags on request. Invalid text gives no field."""
+    Invalid text gives no field; with ``tell`` it gives NULL, and only a document without fields gives an empty map.
+    """
 
     @F.arrow_udf(_FIELDS)
     def flatten(texts: pa.Array) -> pa.Array:
-        return _field_map(texts.to_pylist(), strings, bools)
+        return _field_map(texts.to_pylist(), strings, bools, tell)
 
     return flatten(col)
 
@@ -123,7 +201,7 @@ def _document(text, tag_keys):
         return {"error": None, "points": []}
     try:
         docs = load(text)
-    except (ValueError, RecursionError) as err:
+    except ValueError as err:
         return {"error": f"unable to parse out as JSON, {err}", "points": []}
     if isinstance(docs, dict):
         docs = [docs]

@@ -6,18 +6,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeloom.functions.maps import last_wins
 
-#: Positions per ordered slice. A group longer than this is ranked slice by slice.
-SLICE = 100_000
-#: Slice of rows without a position: below that of every position.
-_BEFORE = -(2**63)
+#: Rows from which a group is ranked slice by slice, and its slices. At most rows / SLICE_ROWS groups are that large, so what is broadcast
+#: for them (about 1 KB each) stays below 100 MB up to 10^11 rows; raise SLICE_ROWS beyond that.
+SLICE_ROWS, SLICES = 1_000_000, 64
+#: Largest k that the group limit before a shuffle takes (Spark's default), and parts a group is cut into beyond it.
+GROUP_LIMIT, SALTS = 1000, 64
 
 
-def _sliced(df: DataFrame, keys: list[str], pos: str, slice_rows: int) -> DataFrame:
-    """Rows with their group as one struct, which also compares groups with NULL parts, and their position slice.
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with their group as one struct, which also compares groups with NULL parts."""
+    return df.withColumn("_key", F.struct(*[F.col(f"`{k}`") for k in keys]))
 
-    Rows without a position come first, as they do in an ordering.
+
+def _cut(df: DataFrame, keys: list[str], pos: str, slice_rows: int) -> DataFrame:
+    """Rows with ``_key`` and ``_slice``: large groups are cut at counted positions, so each slice holds about as many rows.
+
+    The splitters are approximate quantiles of the group's own positions, however dense or sparse those are. Rows without a position
+    lie in the first slice, and come first in it. ``_splits`` is NULL in groups of one slice.
     """
-    return df.withColumns({"_key": F.struct(*[F.col(f"`{k}`") for k in keys]), "_slice": F.coalesce(F.floor(F.col(f"`{pos}`") / slice_rows), F.lit(_BEFORE))})
+    keyed, at = _keyed(df, keys), F.col(f"`{pos}`")
+    large = keyed.groupBy("_key").agg(F.count(at).alias("_n")).where(F.col("_n") > slice_rows).select("_key")
+    splits = keyed.select("_key", at.alias("_at")).join(F.broadcast(large), "_key").groupBy("_key").agg(
+        F.percentile_approx("_at", [i / SLICES for i in range(1, SLICES)], 20 * SLICES).alias("_splits"))
+    below = F.size(F.filter("_splits", lambda s: s <= at))
+    return keyed.join(F.broadcast(splits), "_key", "left").withColumn("_slice", F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(below))
 
 
 def _inside(pos: str):
@@ -28,22 +40,28 @@ def _earlier():
     return Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def ordered_rank(df: DataFrame, keys: list[str], pos: str, out: str = "rank", slice_rows: int = SLICE) -> DataFrame:
-    """Zero-based rank by a whole-number position within each group.
+def _by_slice(df: DataFrame, value: str) -> DataFrame:
+    """One row per large group: what holds for each of its slices, as a map."""
+    return F.broadcast(df.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_slice", value))).alias("_of")))
+
 
-    Each group is cut into position slices, so a group holding most of the rows is still ranked by many
+def ordered_rank(df: DataFrame, keys: list[str], pos: str, out: str = "rank", slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Zero-based rank by position within each group.
+
+    A large group is cut into slices of about equal numbers of rows, so a group holding most of the rows is still ranked by many
     tasks: rank in the slice, plus the row counts of the group's earlier slices. The counts are combined
     before they are shuffled, so full rows are shuffled once.
     """
-    cut = _sliced(df, keys, pos, slice_rows)
+    cut = _cut(df, keys, pos, slice_rows)
     local = cut.withColumn("_local", F.row_number().over(_inside(pos)) - 1)
-    sizes = cut.groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-    starts = sizes.select("_key", "_slice", F.coalesce(F.sum("_n").over(_earlier()), F.lit(0)).alias("_start"))
-    return local.join(starts, ["_key", "_slice"]).select(*df.columns, (F.col("_local") + F.col("_start")).alias(out))
+    sizes = cut.where(F.col("_splits").isNotNull()).groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    starts = _by_slice(sizes.select("_key", "_slice", F.coalesce(F.sum("_n").over(_earlier()), F.lit(0)).alias("_start")), "_start")
+    start = F.coalesce(F.try_element_at("_of", F.col("_slice")), F.lit(0))
+    return local.join(starts, "_key", "left").select(*df.columns, (F.col("_local") + start).alias(out))
 
 
 def field_chunks(
-    df: DataFrame, keys: list[str], pos: str, name: str, value: str, size: int = 20, slice_rows: int = SLICE,
+    df: DataFrame, keys: list[str], pos: str, name: str, value: str, size: int = 20, slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Pack the kept name/value rows of each group into field maps of at most ``size`` entries, in order.
 
@@ -79,13 +97,15 @@ def unpivot(df: DataFrame, keep: list[str], label: str, rows: dict[str, dict[str
     return df.select(*keep, F.explode(F.array(*structs)).alias("_row")).select(*keep, "_row.*")
 
 
-def carry_forward(df: DataFrame, keys: list[str], pos: str, mark: str, out: str, slice_rows: int = SLICE) -> DataFrame:
+def carry_forward(df: DataFrame, keys: list[str], pos: str, mark: str, out: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Give every row the last non-null mark at or before it in its group, slice by slice."""
-    cut = _sliced(df, keys, pos, slice_rows)
+    cut = _cut(df, keys, pos, slice_rows)
     local = cut.withColumn("_local", F.last(mark, ignorenulls=True).over(_inside(pos)))
-    ends = cut.groupBy("_key", "_slice").agg(F.max_by(mark, F.when(F.col(mark).isNotNull(), F.col(pos))).alias("_last"))
-    heads = ends.select("_key", "_slice", F.last("_last", ignorenulls=True).over(_earlier()).alias("_head"))
-    return local.join(heads, ["_key", "_slice"]).select(*df.columns, F.coalesce("_local", "_head").alias(out))
+    last = F.max_by(mark, F.when(F.col(mark).isNotNull(), F.struct("_slice", F.col(f"`{pos}`"))))
+    ends = cut.where(F.col("_splits").isNotNull()).groupBy("_key", "_slice").agg(last.alias("_last"))
+    heads = _by_slice(ends.select("_key", "_slice", F.last("_last", ignorenulls=True).over(_earlier()).alias("_head")), "_head")
+    head = F.try_element_at("_of", F.col("_slice"))
+    return local.join(heads, "_key", "left").select(*df.columns, F.coalesce("_local", head).alias(out))
 
 
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -94,5 +114,21 @@ def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 
 
 def top_rows(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
+    """The first ``k`` rows of every group.
+
+    Up to ``GROUP_LIMIT`` rows each task keeps its own first ones before anything is shuffled. Beyond, a group is cut into ``SALTS``
+    parts whose first ``k`` rows are found side by side, and only those meet.
+    """
+    if k > GROUP_LIMIT:
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if _hashable(df, c)]), F.lit(SALTS)))
+        df = _first(salted, [*keys, "_salt"], order, k).drop("_salt")
+    return _first(df, keys, order, k)
+
+
+def _hashable(df: DataFrame, column: str) -> bool:
+    return "map<" not in df.schema[column].dataType.simpleString() and "variant" not in df.schema[column].dataType.simpleString()
+
+
+def _first(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("_rn") <= k).drop("_rn")

@@ -1,7 +1,7 @@
 """Self-statistics: counters, averaged timings, regrouping by series, gathered and error counts.
 
 Events are rows of ``measurement, field, tags, seq, ts, op (incr or set), v``. Timings are first
-reduced to one row per series and interval with partial aggregation; counter events of one series are spread over parts.
+reduced to one row per series and interval with partial aggregation; counter events are merged run by run.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ PREFIX = "internal_"
 
 #: A series is its name and its tags in key order. Unlike a map, the ordered pairs can be a grouping key.
 SERIES = ["measurement", "pairs"]
-#: Parts a series' events are spread over where they meet its last set.
-PARTS = 16
+#: Bits of ``seq`` that one level of merging takes away: a group merges at most 2**16 sequence numbers or slices.
+LEVEL_BITS = 16
 
 
 def _paired(events: DataFrame) -> DataFrame:
@@ -27,24 +27,31 @@ def _tagged(df: DataFrame) -> DataFrame:
     return df.withColumn("tags", F.map_from_entries("pairs"))
 
 
-def counter_stats(events: DataFrame, parts: int = PARTS) -> DataFrame:
+def _merged(states: Column) -> Column:
+    """One state out of states in order: from the last reset on, the totals add up."""
+    def step(sofar: Column, s: Column) -> Column:
+        total = F.when(s["reset"], s["total"]).otherwise((sofar["total"] + s["total"]).cast("decimal(38,0)"))
+        return F.struct((sofar["reset"] | s["reset"]).alias("reset"), total.alias("total"))
+
+    return F.aggregate(F.sort_array(states), F.expr("named_struct('reset', false, 'total', CAST(0 AS DECIMAL(38,0)))"), step)
+
+
+def counter_stats(events: DataFrame) -> DataFrame:
     """Current value per series and field: the last set value plus the increments after it.
 
-    Events meet their series' last set in ``parts`` parts, so a busy series is read by many tasks; only series that were
-    set are repeated for that. A value beyond 64 bits is NULL.
+    A run of events in order of ``seq`` amounts to whether it holds a set, and to the last set's value plus the increments after
+    it; runs next to each other merge into such a state again. Runs of ``2 ** LEVEL_BITS`` sequence numbers are merged first, then
+    runs of as many runs, so a busy series is merged by many tasks and no step holds more than that. At the same ``seq``
+    a set comes after increments. A value beyond 64 bits is NULL; events without ``seq``, or with another ``op``, are left out.
     """
     key = [*SERIES, "field"]
-    rows = _paired(events).withColumn("_part", F.pmod(F.xxhash64("seq"), F.lit(parts)).cast("int"))
-    sets = rows.filter(F.col("op") == "set").groupBy(*key).agg(
-        F.max("seq").alias("set_seq"), F.max_by("v", "seq").alias("set_v"))
-    spread = sets.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    wide = "decimal(28,0)"
-    counted = (F.when((F.col("op") == "incr") & (F.col("set_seq").isNull() | (F.col("seq") > F.col("set_seq"))), F.col("v"))
-               .otherwise(F.lit(0))).cast(wide)
-    sums = rows.join(spread, [*key, "_part"], "left").groupBy(*key, "_part").agg(
-        F.sum(counted).cast(wide).alias("total"), F.max("set_v").alias("set_v"))
-    value = F.coalesce(F.sum("total"), F.lit(0)) + F.coalesce(F.max("set_v"), F.lit(0))
-    return _tagged(sums.groupBy(*key).agg(value.try_cast("bigint").alias("value")))
+    rows = _paired(events).where("op IN ('set', 'incr') AND seq IS NOT NULL AND v IS NOT NULL").select(
+        *key, F.col("seq").cast("bigint").alias("_at"), (F.col("op") == "set").alias("reset"), F.col("v").cast("decimal(38,0)").alias("total"))
+    for left in range(64 - LEVEL_BITS, -1, -LEVEL_BITS):
+        state = F.struct(F.col("_at").alias("at"), "reset", "total")
+        group = [*key, F.shiftright("_at", LEVEL_BITS).alias("_at")] if left else key
+        rows = rows.groupBy(*group).agg(_merged(F.collect_list(state)).alias("_s")).select(*key, *(["_at"] if left else []), "_s.*")
+    return _tagged(rows.select(*key, F.col("total").try_cast("bigint").alias("value")))
 
 
 def timing_stats(events: DataFrame, interval_seconds: int) -> DataFrame:

@@ -58,9 +58,9 @@ def _text(path: str) -> Column:
 
 
 def overview(snapshots: DataFrame, cfg: BrokerConfig = BrokerConfig()) -> Report:
-    """Broker totals; a reply that lacks one of its four sections is an error."""
+    """Broker totals; a reply that lacks one of its four sections, or has a value of another type in them, is an error."""
     parsed = once(snapshots, _d=F.from_json("payload", OVERVIEW, {"columnNameOfCorruptRecord": "_bad"}))
-    whole = F.lit(True)
+    whole = F.col("_d._bad").isNull()
     for part in ("queue_totals", "object_totals", "message_stats", "listeners"):
         whole = whole & F.col(f"_d.{part}").isNotNull()
     good = parsed.filter(whole)
@@ -85,11 +85,13 @@ def overview(snapshots: DataFrame, cfg: BrokerConfig = BrokerConfig()) -> Report
 
 
 def _items(snapshots: DataFrame, ddl: str) -> tuple[DataFrame, DataFrame]:
-    # An array schema would take a lone object, such as an error reply, for an array of one.
-    listed = F.when(F.col("payload").rlike(r"\A\s*\["), F.col("payload"))
-    parsed = once(snapshots, _d=F.from_json(listed, ddl))
-    items = parsed.select(*KEYS, F.col("server").alias("url"), F.explode("_d").alias("x"))
-    return items, _errors(parsed.filter(F.col("_d").isNull()), "invalid reply")
+    # An array schema would take a lone object, such as an error reply, for an array of one. As a member of an object, the array
+    # has a place beside it for the reply if a value in it is of another type.
+    listed = F.when(F.col("payload").rlike(r"\A\s*\["), F.concat(F.lit('{"items":'), F.col("payload"), F.lit("}")))
+    parsed = once(snapshots, _d=F.from_json(listed, f"items {ddl}, _bad string", {"columnNameOfCorruptRecord": "_bad"}))
+    good = F.col("_d.items").isNotNull() & F.col("_d._bad").isNull()
+    items = parsed.filter(good).select(*KEYS, F.col("server").alias("url"), F.explode("_d.items").alias("x"))
+    return items, _errors(parsed.filter(~good), "invalid reply")
 
 
 def nodes(snapshots: DataFrame, cfg: BrokerConfig = BrokerConfig()) -> Report:

@@ -13,7 +13,7 @@ from gaugeloom.functions.values import field_text
 from gaugeloom.operators.reshape import field_chunks
 from gaugeloom.plans import database as db
 from gaugeloom.queries.common import events, joined, load, num, query, stamp, tag
-from gaugeloom.sources.landing import IO_OPS, LOCK_MODES, USER_COUNTERS
+from gaugeloom.sources.landing import IO_OPS, LOCK_MODES, USER_COUNTERS, table_or_empty
 
 DEC = "decimal(20,0)"
 
@@ -262,6 +262,18 @@ def lock_waits_unpivot(spark, d):
     return table.select(F.col("object_schema").alias("schema"), F.col("object_name").cast("bigint").alias("id"), "perf_query", *modes)
 
 
+@query("optional_tables", """
+SELECT 'there' AS version, p_brand AS schema, count(*) * 4 AS points FROM part GROUP BY p_brand""")
+def optional_tables(spark, d):
+    """Lock waits of two server versions: one has the table, the other doesn't."""
+    rows = at(load(spark, d, "part").select(F.col("p_brand").alias("object_schema"), F.col("p_partkey").cast("string").alias("object_name"),
+                                            *[F.lit(1.0).alias(f"{part}_{m}") for part in ("count", "sum_timer") for m in LOCK_MODES]), F.lit("s1"))
+    rows.createOrReplaceTempView("landed_lock_waits")
+    parts = [db.lock_waits({"table_lock_waits": table_or_empty(spark, name, "table_lock_waits")}).table.select(
+        F.lit(version).alias("version"), F.col("object_schema").alias("schema")) for version, name in (("there", "landed_lock_waits"), ("none", "no_such_lock_waits"))]
+    return parts[0].unionByName(parts[1]).groupBy("version", "schema").agg(F.count(F.lit(1)).alias("points"))
+
+
 @query("event_wait_seconds", "SELECT p_partkey AS id, p_size::DOUBLE AS waits, p_size::DOUBLE * 1e11 / 1e12 AS seconds FROM part")
 def event_wait_seconds(spark, d):
     rows = load(spark, d, "part").select(F.col("p_partkey").cast("string").alias("event_name"), F.col("p_size").cast("double").alias("count_star"),

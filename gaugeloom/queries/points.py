@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation, functions as F
+from pyspark.sql import Observation, Window, functions as F
 
 from gaugeloom.functions import maps, text, times, values
 from gaugeloom.functions.jsonflat import flatten_json
-from gaugeloom.model import Result, error_rows, series_key, to_long, to_wide
+from gaugeloom.model import Result, error_rows, series_id, series_key, to_long, to_wide
 from gaugeloom.operators import filters, inputs, points as P, records, reshape, stats
 from gaugeloom.operators.filters import FilterSpec
 from gaugeloom.plans import registry
@@ -349,6 +349,20 @@ def json_array(spark, d):
     return good.unionByName(bad)
 
 
+@query("json_single_lines", f"""
+SELECT CAST(event_id AS VARCHAR) AS id, 'point' AS outcome, {K} AS total FROM events WHERE event_type NOT IN ('error', 'view')
+UNION ALL SELECT 'bad', 'error', count(*) FROM events WHERE event_type IN ('error', 'view')""")
+def json_single_lines(spark, d):
+    """One point a line: the first of an array counts, a line without a point is an error."""
+    df, kind = events(spark, d), F.col("event_type")
+    one = joined('{"id":"', F.col("event_id"), '","k":', F.col("k"), "}")
+    doc = (F.when(kind == "error", joined("[", F.col("event_id"))).when(kind == "view", " \t").when(kind == "click", one)
+           .otherwise(F.concat(F.lit("["), one, F.lit(',{"id":"x","k":0}]'))))
+    out = parse_json_docs(df.select(doc.alias("doc"), "ts"), "j", ["id"], ts="ts", single=True)
+    good = out.metrics.select(tag("id").alias("id"), F.lit("point").alias("outcome"), F.col("fields")["k"]["f"].cast("bigint").alias("total"))
+    return good.unionByName(out.errors.agg(F.count(F.lit(1)).alias("total")).select(F.lit("bad").alias("id"), F.lit("error").alias("outcome"), "total"))
+
+
 _LINE_SQL = f"""'ev\\ ' || event_type || ',type=' || event_type || ',us\\=er=' || user_id || ' k=' || {K} || 'i,ok=' ||
   CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END || ',s="' || replace(replace(props, '\\', '\\\\'), '"', '\\"') || '" ' || (epoch_us(ts) * 1000)"""
 
@@ -418,6 +432,35 @@ def series_count(spark, d):
     return per.agg(F.sum("n").alias("points"), F.count(F.lit(1)).alias("series"))
 
 
+@query("series_ids", """
+SELECT event_type AS measurement, CAST(user_id AS VARCHAR) AS user_tag, count(*) AS n FROM events GROUP BY event_type, user_id""")
+def series_ids(spark, d):
+    """Points grouped by their 64-bit series number alone, whose tags were added in either order."""
+    df = event_points(spark, d)
+    user, kind = F.create_map(F.lit("user"), tag("user")), F.create_map(F.lit("type"), tag("type"))
+    either = df.withColumn("tags", F.when(F.col("event_id") % 2 == 0, F.map_concat(user, kind)).otherwise(F.map_concat(kind, user)))
+    per = either.groupBy(series_id(F.col("measurement"), F.col("tags")).alias("id")).agg(
+        F.min("measurement").alias("measurement"), F.min(tag("user")).alias("user_tag"), F.count(F.lit(1)).alias("n"))
+    return per.drop("id")
+
+
+@query("ordered_sink", "SELECT count(*) AS records, 0::BIGINT AS inversions, min(epoch_us(ts)) * 1000 AS first_ns, max(epoch_us(ts)) * 1000 AS last_ns FROM events")
+def ordered_sink(spark, d):
+    """Records written in order of time and read back in the order they stand in."""
+    path = scratch_dir(spark, "ordered")
+    records.write_records(event_points(spark, d), path, order_by=("time_ns",), time_key="t")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
+        F.get_json_object("value", "$.t").cast("bigint").alias("t"))
+    before = F.lag("t").over(Window.partitionBy("file").orderBy("block", "at"))
+    files = lines.withColumn("back", (before > F.col("t")).cast("bigint")).groupBy("file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("back").alias("back"), F.min("t").alias("low"), F.max("t").alias("high"))
+    # One row a file from here on.
+    last = F.max("high").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    return files.withColumn("back", F.coalesce("back", F.lit(0)) + F.coalesce((last > F.col("low")).cast("bigint"), F.lit(0))).agg(
+        F.sum("n").alias("records"), F.sum("back").alias("inversions"), F.min("low").alias("first_ns"), F.max("high").alias("last_ns"))
+
+
 @query("latest_fields", """
 WITH r AS (SELECT o_custkey AS server, o_orderpriority AS field, o_orderkey AS pos, o_orderstatus AS v FROM orders),
 m AS (SELECT server, field, max_by(v, pos) AS v FROM r GROUP BY ALL)

@@ -252,6 +252,15 @@ def test_amqp_overview(spark):
     assert report.errors.count() == 2
 
 
+def test_amqp_values_of_another_type_are_errors(spark):
+    wrong = OVERVIEW.replace('"messages":10', '"messages":"ten"')
+    report = amqp.overview(snap(spark, [wrong, OVERVIEW]))
+    assert report.table.count() == 1 and report.errors.count() == 1
+    lists = snap(spark, ['[{"name":"n","fd_used":"many"}]', "[]", "null", '[{"name":"n"}] x', '[{"name":"n","fd_used":null}]'])
+    out = amqp.nodes(lists)
+    assert out.table.count() == 1 and out.errors.count() == 3
+
+
 def test_amqp_lists(spark):
     nodes = snap(spark, '[{"name":"a","disk_free":7,"running":true},{"name":"b"}]')
     got = points(amqp.nodes(nodes).points())

@@ -1,8 +1,10 @@
 import json
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from gaugeloom.functions import jsonflat
 from gaugeloom.functions.jsonflat import flatten_json, flatten_variant
 from gaugeloom.sources.documents import parse_json_docs, read_json_files, read_json_lines
 from helpers import T0, points, value
@@ -81,6 +83,31 @@ def test_deep_document_is_flattened(rows):
     assert list(got) == ["_".join("a" * 200)]
 
 
+def test_any_depth_is_flattened_and_a_refused_document_is_told_from_an_empty_one(rows):
+    n = 100_000
+    deep = '{"a":' * n + "[7]" + "}" * n
+    df = rows("doc string", (deep,), ("{}",), (deep[:-1],), (None,))
+    got = [r.f for r in df.select(flatten_json(F.col("doc"), tell=True).alias("f")).collect()]
+    assert len(got[0]) == 1 and len(next(iter(got[0]))) == 2 * n + 1 and got[1:] == [{}, None, {}]
+    out = parse_json_docs(rows("doc string, collected_at timestamp", (deep, T0), (deep[:-1], T0)), "m")
+    assert out.metrics.count() == 1 and out.errors.count() == 1
+
+
+@given(st.recursive(st.none() | st.booleans() | st.integers(-10**6, 10**6) | st.floats(allow_nan=False, allow_infinity=False) | st.text(max_size=8),
+                    lambda inner: st.lists(inner, max_size=4) | st.dictionaries(st.text(max_size=5), inner, max_size=4), max_leaves=20), st.sampled_from([None, 1]))
+@settings(max_examples=200, deadline=None)
+def test_the_deep_reader_reads_like_the_library(value, indent):
+    text = f" {json.dumps(value, indent=indent)}\n"
+    assert jsonflat.load_deep(text) == jsonflat.load(text)
+
+
+@pytest.mark.parametrize("text", ["", "{", "[1,]", '{"a"}', '{"a":}', '{"a":1,}', "{,}", "[1 2]", "01", "1.", "-", "nul", "NaN", "[Infinity]", "1e999", '"a\n"', "{}x", "]", '{"a":1]', "[}"])
+def test_the_deep_reader_refuses_like_the_library(text):
+    for read in (jsonflat.load, jsonflat.load_deep):
+        with pytest.raises(ValueError):
+            read(text)
+
+
 def test_files_and_lines(spark, tmp_path):
     (tmp_path / "one.json").write_text(json.dumps(ROOM, indent=2))
     (tmp_path / "many.jsonl").write_text(f'{json.dumps(ROOM)}\n\n{{"a": 9}}\nbad\n')

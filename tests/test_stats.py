@@ -1,5 +1,6 @@
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from gaugeloom.operators import reshape, stats
@@ -25,13 +26,22 @@ def test_counter(rows):
     assert total((0, "incr", 2**62), (0, "incr", 2**62), (0, "incr", -1)) == 2**63 - 1
 
 
-def test_a_busy_series_is_counted_by_many_tasks(rows):
-    spec = [(0, "set" if i == 700 else "incr", 1) for i in range(3000)]
-    df = events(rows, *spec)
-    assert stats.counter_stats(df).first().value == 2300
-    assert stats.counter_stats(df, parts=1).first().value == 2300
-    parts = df.select(F.pmod(F.xxhash64("seq"), F.lit(stats.PARTS)).alias("p")).groupBy("p").count().collect()
-    assert len(parts) == stats.PARTS and max(r["count"] for r in parts) < 300
+@pytest.mark.parametrize("gap", [1, 999, 86_400_000_000])
+def test_a_busy_series_is_merged_run_by_run(spark, gap):
+    """Dense and sparse sequence numbers: the state merges over every level."""
+    df = spark.range(150_000).select(
+        (F.col("id") * gap - 70_000 * gap).alias("seq"), F.lit("m").alias("measurement"), F.lit("f").alias("field"), F.expr("map('h', 'x')").alias("tags"),
+        F.when(F.col("id").isin(7, 100_000), "set").otherwise("incr").alias("op"), F.lit(1).cast("bigint").alias("v"))
+    out = stats.counter_stats(df)
+    assert out.first().value == 50_000
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Exchange hashpartitioning(") == 4
+
+
+def test_a_set_wins_over_increments_of_its_number(rows):
+    data = [(5, "incr", 3), (5, "set", 9), (6, "incr", 1), (None, "set", 77), (7, "other", 5), (8, "incr", None)]
+    df = rows(DDL, *[(q, "m", "f", {"a": "b"}, T0, op, v) for q, op, v in data])
+    assert [r.value for r in stats.counter_stats(df).collect()] == [10]
 
 
 def test_timing(rows):
@@ -84,3 +94,23 @@ def test_carry_forward_crosses_slices(rows):
     for size in (4, 10_000):
         got = {(r.g, r.p): r.s for r in reshape.carry_forward(df, ["g"], "p", "m", "s", slice_rows=size).collect()}
         assert got == {("a", p): None if p < 1 else "x" if p < 25 else "y" for p in range(40)} | {("b", 3): None}
+
+
+def test_sparse_positions_are_cut_into_even_slices(spark):
+    """Microseconds, most of them in one burst: slices follow the rows, not the values."""
+    df = spark.range(200_000, numPartitions=8).select(
+        F.lit("g").alias("g"), F.when(F.col("id") < 190_000, F.col("id") * 3 + 10**15).otherwise(F.col("id") * 10**9).alias("p"))
+    cut = reshape._cut(df, ["g"], "p", 5000).groupBy("_slice").count().collect()
+    assert len(cut) > reshape.SLICES * 0.9 and max(r["count"] for r in cut) < 3 * 200_000 / reshape.SLICES
+    ranks = reshape.ordered_rank(df, ["g"], "p", slice_rows=5000)
+    wrong = ranks.join(df.selectExpr("p", "row_number() OVER (ORDER BY p) - 1 AS want"), "p").where("rank <> want")
+    assert wrong.isEmpty() and ranks.count() == 200_000
+
+
+def test_top_rows_beyond_the_group_limit(spark):
+    df = spark.range(40_000, numPartitions=8).select(F.when(F.col("id") % 10 == 0, "a").otherwise("hot").alias("g"), (F.col("id") * 7919 % 40_009).alias("v"), "id")
+    out = reshape.top_rows(df, ["g"], [F.desc("v"), F.asc("id")], 6000)
+    want = df.selectExpr("*", "row_number() OVER (PARTITION BY g ORDER BY v DESC, id) AS n").where("n <= 6000").drop("n")
+    assert out.exceptAll(want).isEmpty() and out.count() == want.count() == 10_000
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in text
