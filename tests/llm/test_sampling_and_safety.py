@@ -129,6 +129,45 @@ def test_mining_of_odd_vectors(spark):
     assert [r.v for r in made] == [None, None, None, [-1]]
 
 
+# 10: top-k over posting lists
+
+
+@pytest.mark.parametrize("density,scale", [(0.05, 1), (0.5, 1), (1.0, 1), (0.4, 2**45)])
+def test_postings_equal_full_scores_over_shards(density, scale):
+    rng = np.random.default_rng(int(density * 100))
+    n, d, k = 3000, 24, 7
+    rows = rng.integers(-9, 10, (n, d)) * (rng.random((n, d)) < density) * scale
+    ids = rng.integers(0, 2000, n)  # some ids stand in several rows, and many scores tie
+    shards = [maxscore.Postings(ids[a : a + 700], rows[a : a + 700], 9.0) for a in range(0, n, 700)]
+    for j in range(25):
+        q, best = rng.integers(-9, 10, d), None
+        for s in shards:
+            best = s.search(q, int(ids[j]), k, best)
+        score = [sum(int(x) * int(y) for x, y in zip(r, q)) for r in rows]
+        want = sorted((-x, int(i)) for x, i in zip(score, ids) if i != ids[j])[:k]
+        assert [(-int(x), int(i)) for i, x in zip(*best)] == want
+
+
+def test_terms_that_cannot_matter_are_only_probed(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = rng.integers(0, 3, (4000, 40))
+    rows[:, :4] *= 100
+    shard, asked = maxscore.Postings(np.arange(4000), rows, 9.0), []
+    traverse, probe = shard.traverse, shard.probe
+    shard.traverse = lambda q, terms, a, b: asked.append(("all", len(terms), b - a)) or traverse(q, terms, a, b)
+    shard.probe = lambda q, terms, at: asked.append(("some", len(terms), len(at))) or probe(q, terms, at)
+    shard.search(np.ones(40, np.int64), None, 5)
+    full = [x for x in asked if x[0] == "all"]
+    assert full[0][1:] == (40, maxscore.FIRST) and full[1][1] < 20
+    assert sum(n * rows for kind, n, rows in asked if kind == "some") < 4000 * 40 / 4
+
+
+def test_top_k_keeps_repeated_rows_and_other_columns(spark):
+    df = spark.createDataFrame([(0, [1, 2], "x"), (1, [3, 3], "y"), (1, [3, 3], "y"), (1, [0, 1], "z"), (2, [9], "w")], "id long, v array<long>, score string")
+    got = maxscore.top_k(df, df.where("id = 0"), 4, shard_rows=2, block_bytes=300)
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == [(0, 1, 1, 9), (0, 2, 1, 9), (0, 3, 2, 9), (0, 4, 1, 2)]
+
+
 # 13: toxicity
 
 
