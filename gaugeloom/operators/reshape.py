@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugeloom.functions.maps import last_wins
 
-#: Rows from which a group is ranked slice by slice, and its slices. At most rows / SLICE_ROWS groups are that large, so what is broadcast
-#: for them (about 1 KB each) stays below 100 MB up to 10^11 rows; raise SLICE_ROWS beyond that.
+#: Rows from which a group is ranked slice by slice, and its slices.
 SLICE_ROWS, SLICES = 1_000_000, 64
+#: Large groups (they are counted first) up to which what holds for their slices, about 1 KB each, is broadcast.
+BROADCAST_GROUPS = 50_000
 #: Largest k that the group limit before a shuffle takes (Spark's default), and parts a group is cut into beyond it.
 GROUP_LIMIT, SALTS = 1000, 64
 
@@ -18,18 +19,26 @@ def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("_key", F.struct(*[F.col(f"`{k}`") for k in keys]))
 
 
-def _cut(df: DataFrame, keys: list[str], pos: str, slice_rows: int) -> DataFrame:
-    """Rows with ``_key`` and ``_slice``: large groups are cut at counted positions, so each slice holds about as many rows.
+def _cut(df: DataFrame, keys: list[str], pos: str, slice_rows: int) -> tuple[DataFrame, int]:
+    """Rows with ``_key`` and ``_slice``, and how many groups are large: those are cut at counted positions, so each slice holds about as many rows.
 
     The splitters are approximate quantiles of the group's own positions, however dense or sparse those are. Rows without a position
-    lie in the first slice, and come first in it. ``_splits`` is NULL in groups of one slice.
+    lie in the first slice, and come first in it. ``_splits`` is NULL in groups of one slice. Groups are counted right away, so
+    that rows without a large group, the usual case, are neither joined nor cut.
     """
     keyed, at = _keyed(df, keys), F.col(f"`{pos}`")
     large = keyed.groupBy("_key").agg(F.count(at).alias("_n")).where(F.col("_n") > slice_rows).select("_key")
-    splits = keyed.select("_key", at.alias("_at")).join(F.broadcast(large), "_key").groupBy("_key").agg(
+    n = large.count()
+    if not n:
+        return keyed.withColumn("_slice", F.lit(0)), 0
+    splits = keyed.select("_key", at.alias("_at")).join(_small(large, n), "_key").groupBy("_key").agg(
         F.percentile_approx("_at", [i / SLICES for i in range(1, SLICES)], 20 * SLICES).alias("_splits"))
     below = F.size(F.filter("_splits", lambda s: s <= at))
-    return keyed.join(F.broadcast(splits), "_key", "left").withColumn("_slice", F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(below))
+    return keyed.join(_small(splits, n), "_key", "left").withColumn("_slice", F.when(F.col("_splits").isNull(), F.lit(0)).otherwise(below)), n
+
+
+def _small(df: DataFrame, groups: int) -> DataFrame:
+    return F.broadcast(df) if groups <= BROADCAST_GROUPS else df
 
 
 def _inside(pos: str):
@@ -42,7 +51,7 @@ def _earlier():
 
 def _by_slice(df: DataFrame, value: str) -> DataFrame:
     """One row per large group: what holds for each of its slices, as a map."""
-    return F.broadcast(df.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_slice", value))).alias("_of")))
+    return df.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_slice", value))).alias("_of"))
 
 
 def ordered_rank(df: DataFrame, keys: list[str], pos: str, out: str = "rank", slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -52,12 +61,14 @@ def ordered_rank(df: DataFrame, keys: list[str], pos: str, out: str = "rank", sl
     tasks: rank in the slice, plus the row counts of the group's earlier slices. The counts are combined
     before they are shuffled, so full rows are shuffled once.
     """
-    cut = _cut(df, keys, pos, slice_rows)
+    cut, large = _cut(df, keys, pos, slice_rows)
     local = cut.withColumn("_local", F.row_number().over(_inside(pos)) - 1)
+    if not large:
+        return local.select(*df.columns, F.col("_local").alias(out))
     sizes = cut.where(F.col("_splits").isNotNull()).groupBy("_key", "_slice").agg(F.count(F.lit(1)).alias("_n"))
     starts = _by_slice(sizes.select("_key", "_slice", F.coalesce(F.sum("_n").over(_earlier()), F.lit(0)).alias("_start")), "_start")
     start = F.coalesce(F.try_element_at("_of", F.col("_slice")), F.lit(0))
-    return local.join(starts, "_key", "left").select(*df.columns, (F.col("_local") + start).alias(out))
+    return local.join(_small(starts, large), "_key", "left").select(*df.columns, (F.col("_local") + start).alias(out))
 
 
 def field_chunks(
@@ -99,13 +110,15 @@ def unpivot(df: DataFrame, keep: list[str], label: str, rows: dict[str, dict[str
 
 def carry_forward(df: DataFrame, keys: list[str], pos: str, mark: str, out: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Give every row the last non-null mark at or before it in its group, slice by slice."""
-    cut = _cut(df, keys, pos, slice_rows)
+    cut, large = _cut(df, keys, pos, slice_rows)
     local = cut.withColumn("_local", F.last(mark, ignorenulls=True).over(_inside(pos)))
+    if not large:
+        return local.select(*df.columns, F.col("_local").alias(out))
     last = F.max_by(mark, F.when(F.col(mark).isNotNull(), F.struct("_slice", F.col(f"`{pos}`"))))
     ends = cut.where(F.col("_splits").isNotNull()).groupBy("_key", "_slice").agg(last.alias("_last"))
     heads = _by_slice(ends.select("_key", "_slice", F.last("_last", ignorenulls=True).over(_earlier()).alias("_head")), "_head")
     head = F.try_element_at("_of", F.col("_slice"))
-    return local.join(heads, "_key", "left").select(*df.columns, F.coalesce("_local", head).alias(out))
+    return local.join(_small(heads, large), "_key", "left").select(*df.columns, F.coalesce("_local", head).alias(out))
 
 
 def first_row(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
