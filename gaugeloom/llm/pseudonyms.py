@@ -6,11 +6,13 @@ the same pseudonym in every document:
 
 * card and account numbers (13 to 19 digits, also in groups of four): all digits; where the check digit is right, the
   other digits are permuted and a right check digit is set, and where it is wrong it stays wrong;
-* phone numbers (+ country code, 8 to 12 digits in any grouping): all digits but the country code;
+* phone numbers (+ country code, 8 to 12 digits in any grouping; after +1 exactly ten): all digits but the country code, which is what
+  a separator ends, and 1 in +1 with ten digits, so the groupings of one such number have one pseudonym;
 * social security numbers (valid area, group and serial): to another valid number;
 * IPv4 addresses (each part up to 255): to another address;
-* dates (year-month-day or day/month/year, real dates from 1600 to 2399): to another real date;
-* mail addresses: letters and digits of the name, the domain stays;
+* dates (year-month-day or day/month/year, real dates from 1600 to 2399): to another real date; what is only a date as
+  month/day/year: to another that is only one so;
+* mail addresses: letters (Latin, of ISO 8859-1) and digits of the name, letters of other scripts and the domain stay;
 * hexadecimal secrets of 32 digits and more: all digits.
 
 Everything is built-in functions, row by row, without a shuffle.
@@ -29,13 +31,13 @@ from gaugeloom.llm.common import load, query
 DEMO_KEY = "demonstration key"
 ROUNDS = 8
 
-_MAIL = r"[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+_MAIL = r"[\p{L}\p{N}_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 _HEX = r"(?<![0-9A-Za-z])[0-9a-f]{32,}(?![0-9A-Za-z])"
 _IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"
 _ISO = r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])"
 _DMY = r"(?<![\d/])\d{2}/\d{2}/\d{4}(?![\d/])"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-_PHONE = r"\+\d{1,3}(?: ?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+_PHONE = r"\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?: ?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?!\d)"
 _CARD = r"(?<![\d.-])\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?(?![\d-])|(?<!\d)\d{13,19}(?!\d)"
 #: In this order at each place; none of them can match without a digit or an at sign.
 PATTERN = "|".join(f"(?:{p})" for p in (_MAIL, _HEX, _IP, _ISO, _DMY, _PHONE, _SSN, _CARD))
@@ -100,7 +102,7 @@ def _card(v: Column, key: str) -> Column:
 
 
 def _phone(v: Column, key: str) -> Column:
-    code = F.regexp_extract(v, r"^\+\d{1,3}(?=[ .(-])", 0)
+    code = F.regexp_extract(v, r"^(?:\+1(?=(?:[ .()-]*\d){10}$)|\+\d{1,3}(?=[ .(-]))", 0)
     rest = F.substr(v, F.length(code) + 1)
     digits = F.regexp_replace(rest, "[^0-9]", "")
     return F.when(F.length(digits).between(7, 15), F.concat(code, _refill(rest, permute_digits(digits, key, F.concat(F.lit("phone"), code)))))
@@ -125,6 +127,17 @@ def _date(day: Column, key: str) -> Column:
     return F.when((n >= 0) & (n < _DAYS_A * _DAYS_B), made)
 
 
+def _month_first(v: Column, key: str) -> Column:
+    """Another date that is one with the month first only: the permutation is applied until its day is beyond 12."""
+    day = F.try_to_date(v, "MM/dd/yyyy")
+
+    def step(d: Column, i: Column) -> Column:
+        return F.when((i > 1) & (F.dayofmonth(d) > 12), d).otherwise(_date(d, key))
+
+    made = F.aggregate(F.sequence(F.lit(1), F.lit(64)), day, step)
+    return F.when(F.dayofmonth(made) > 12, F.date_format(made, "MM/dd/yyyy"))
+
+
 def _ssn(v: Column, key: str) -> Column:
     area, group, serial = (F.substr(v, F.lit(i), F.lit(n)).cast("int") for i, n in ((1, 3), (5, 2), (8, 4)))
     fine = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
@@ -144,7 +157,9 @@ def _shifted(text: Column, digest: Column, alphabet: str) -> Column:
         if alphabet == "hex":
             value = F.when(code < 58, code - 48).otherwise(code - 87)
             return F.substr(F.lit("0123456789abcdef"), F.pmod(value + k, F.lit(16)) + 1, F.lit(1))
-        return (F.when(code.between(97, 122), turn(97, 26)).when(code.between(65, 90), turn(65, 26)).when(code.between(48, 57), turn(48, 10)).otherwise(c))
+        return (F.when(code.between(97, 122), turn(97, 26)).when(code.between(65, 90), turn(65, 26)).when(code.between(48, 57), turn(48, 10))
+                .when(code.between(224, 246), turn(224, 23)).when(code.between(248, 254), turn(248, 7))
+                .when(code.between(192, 214), turn(192, 23)).when(code.between(216, 222), turn(216, 7)).otherwise(c))
 
     signs = F.filter(F.split(text, ""), lambda c: c != "")
     return once(digest, lambda digits: F.concat_ws("", F.transform(signs, lambda c, i: move(c, i, digits))))
@@ -170,7 +185,8 @@ def pseudonym(v: Column, key: str) -> Column:
             .when(v.rlike("^[0-9a-f]{32,}$"), permute_text(v, key, "hex", "hex"))
             .when(v.rlike(r"^\d+\.\d+\.\d+\.\d+$"), _ip(v, key))
             .when(v.rlike(r"^\d{4}-\d\d-\d\d$"), F.date_format(_date(F.try_to_date(v, "yyyy-MM-dd"), key), "yyyy-MM-dd"))
-            .when(v.rlike(r"^\d\d/"), F.date_format(_date(F.try_to_date(v, "dd/MM/yyyy"), key), "dd/MM/yyyy"))
+            .when(v.rlike(r"^\d\d/(?:0\d|1[0-2])/"), F.date_format(_date(F.try_to_date(v, "dd/MM/yyyy"), key), "dd/MM/yyyy"))
+            .when(v.rlike(r"^\d\d/"), _month_first(v, key))
             .when(v.startswith("+"), _phone(v, key))
             .when(whole(r"\d{3}-\d{2}-\d{4}"), _ssn(v, key))
             .otherwise(_card(v, key)))

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from gaugeloom.llm import hardnegatives, maxscore, resampling, toxicity
+from gaugeloom.llm import hardnegatives, maxscore, pseudonyms, resampling, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [
@@ -129,6 +129,43 @@ def test_mining_of_odd_vectors(spark):
     assert [r.v for r in made] == [None, None, None, [-1]]
 
 
+# 1: pseudonyms in their written forms
+
+
+def pseudonym_of(spark, values):
+    df = spark.createDataFrame(list(enumerate(values)), "doc_id long, text string")
+    return [r.text for r in pseudonyms.pseudonymise(df, "k").orderBy("doc_id").collect()]
+
+
+def test_phones_are_linked_over_groupings_and_leave_the_next_number(spark):
+    forms = ["+1 (555) 123-4567", "+15551234567", "+1 555 123 4567", "+1-555-123-4567", "+1.555.123.4567"]
+    made = pseudonym_of(spark, [*forms, "call +1 (555) 123-4567 250 times", "+44 20 7946 0958"])
+    digits = [re.sub(r"\D", "", m) for m in made[:5]]
+    assert len(set(digits)) == 1 and digits[0][0] == "1" and digits[0] != "15551234567"
+    assert all(re.sub(r"\d", "0", m) == re.sub(r"\d", "0", f) for m, f in zip(made, forms))
+    assert made[5] == f"call {made[0]} 250 times" and made[6].startswith("+44 ")
+
+
+def test_dates_with_the_month_first(spark):
+    from datetime import date
+
+    days = [date.fromordinal(date(2020, 1, 13).toordinal() + i) for i in range(120)]
+    values = [d.strftime("%m/%d/%Y") for d in days if d.day > 12]
+    made = pseudonym_of(spark, values)
+    assert len(set(made)) == len(values) and not set(made) & set(values)
+    assert all(date(int(m[6:]), int(m[:2]), int(m[3:5])).day > 12 for m in made)
+    kept = ["13/13/2020", "02/30/2021", "00/20/2020"]
+    assert pseudonym_of(spark, kept) == kept
+
+
+def test_mail_names_with_accents(spark):
+    made = pseudonym_of(spark, ["jörg@x.de", "rg@x.de", "Ünal.Çelik@x.de", "иван1@x.de"])
+    assert all(m.endswith("@x.de") for m in made) and made[0] != "jörg@x.de"
+    name = made[0][:-5]
+    assert len(name) == 4 and not name.endswith(made[1][:-5]) and name[1] not in "abcdefghijklmnopqrstuvwxyz"
+    assert re.fullmatch(r"[À-Þ]\w{3}\.[À-Þ]\w{4}", made[2][:-5]) and made[3][:4] == "иван"
+
+
 # 10: top-k over posting lists
 
 
