@@ -118,19 +118,21 @@ def whole(text):
 def leaves(value):
     """(path, scalar) pairs in document order; path parts are joined by ``_``, array positions included.
 
-    Open members wait on a list of their own, so no depth is too much; a path is written out only at its end.
+    Open members wait on a list of their own, so no depth is too much. The beginning of a long path is shared, not copied.
     """
-    waiting = [(None, value)]
+    waiting = [(None, "", value)]
     while waiting:
-        path, value = waiting.pop()
+        above, name, value = waiting.pop()
+        if len(name) > 1000 and isinstance(value, (dict, list)):
+            above, name = (above, name), ""
         if isinstance(value, dict):
-            waiting += [((path, f"_{whole(key)}".rstrip("_")), child) for key, child in reversed(value.items())]
+            waiting += [(above, f"{name}_{whole(key)}".rstrip("_"), child) for key, child in reversed(value.items())]
         elif isinstance(value, list):
-            waiting += [((path, f"_{at}"), value[at]) for at in range(len(value) - 1, -1, -1)]
+            waiting += [(above, f"{name}_{at}", value[at]) for at in range(len(value) - 1, -1, -1)]
         elif value is not None:
-            parts = []
-            while path:
-                path, part = path
+            parts = [name]
+            while above:
+                above, part = above
                 parts.append(part)
             yield "".join(reversed(parts)).lstrip("_"), whole(value) if isinstance(value, str) else value
 
