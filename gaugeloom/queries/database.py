@@ -262,9 +262,9 @@ def lock_waits_unpivot(spark, d):
     return table.select(F.col("object_schema").alias("schema"), F.col("object_name").cast("bigint").alias("id"), "perf_query", *modes)
 
 
-@query("optional_tables", """
+@query("lock_waits_optional", """
 SELECT 'there' AS version, p_brand AS schema, count(*) * 4 AS points FROM part GROUP BY p_brand""")
-def optional_tables(spark, d):
+def lock_waits_optional(spark, d):
     """Lock waits of two server versions: one has the table, the other doesn't."""
     rows = at(load(spark, d, "part").select(F.col("p_brand").alias("object_schema"), F.col("p_partkey").cast("string").alias("object_name"),
                                             *[F.lit(1.0).alias(f"{part}_{m}") for part in ("count", "sum_timer") for m in LOCK_MODES]), F.lit("s1"))
