@@ -1,22 +1,25 @@
-"""Licence scan by a generalised suffix automaton over the words of licence notices.
+"""Licence scan by a generalised suffix automaton over the words of licence texts.
 
 All templates and base phrases are put into one automaton over word ids. A text's words are streamed through it, which
 gives at each word the longest match that ends there (the matching statistics). Base phrases are read off the suffix links of
-the states passed, at every place where they stand. Maximal matches of at least ``MIN_MATCH`` words are looked up in the
-templates that hold them and chained in order, with gaps of at most ``MAX_GAP`` words, into spans; a span that covers
-``MIN_COVER`` of its template's words labels the text.
+the states passed, at every place where they stand. Each state also knows every place of the templates where its words' last
+``MIN_MATCH`` or more end, so the walk itself gives all runs that text and template share, without looking at a template again.
+Runs are chained in order of both, with gaps of at most ``MAX_GAP`` words in the text, into spans; a span that covers ``MIN_COVER`` of its
+template's words labels the text. A run asks only for chains that end within ``MAX_GAP`` words before it, so a text of any length is
+scanned in time proportional to it.
 
 Words are ``[0-9a-z]`` and bytes from 0x80 of the text with A-Z in lower case; words that no template has reset the automaton,
 so only the stretches between them are walked.
 
 Defined cases: a null or empty text has no words, no labels and score 0. Overlapping places of base phrases all count. Of spans
-that overlap, the better covered counts, then the longer, the earlier, the first by label. Repeated rows are scanned each on its
+that overlap, the one that covers most words of its template counts, then the better covered, the earlier, the first by label. Repeated rows are scanned each on its
 own; other columns pass through, and columns named like the result's are replaced.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +28,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from gaugeloom.llm.common import forget_caches, load, query, slices, text_bytes, to_python, worker_cache
 from gaugeloom.llm.crossparse import suffix_automaton
+from gaugeloom.llm.licencetexts import FULL_TEXTS
 
 #: Phrases whose every place counts, and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 #: Notices by label: short standard wordings, as they stand in file headers and page footers.
-TEMPLATES = (
+NOTICES = (
     ("apache-2.0", "licensed under the apache license version 2 0"),
     ("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     ("mit", "released under the mit license"),
@@ -50,13 +54,14 @@ TEMPLATES = (
     ("unlicense", "this is free and unencumbered software released into the public domain"),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
 )
+TEMPLATES = (*NOTICES, *FULL_TEXTS)
 MIN_MATCH, MAX_GAP, MIN_COVER = 3, 4, 0.8
 
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
 class Scanner:
-    """The automaton of templates and base phrases."""
+    """The automaton of templates and base phrases, with the places of the templates at its states."""
 
     def __init__(self, templates=TEMPLATES, base=BASE):
         self.vocabulary: dict[bytes, int] = {}
@@ -81,13 +86,38 @@ class Scanner:
                 found += [(p, len(self.codes[p])) for p in ends.get(s, ())]
                 s = self.link[s]
             self.ends.append(found)
+        self.places = self._places(len(base))
+
+    def _places(self, first: int) -> list[list[tuple[int, int, int]]]:
+        """By state: (template, place of its last word, most words) of all places that share the last ``MIN_MATCH`` words or more."""
+        own: list[list[tuple[int, int]]] = [[] for _ in self.step]
+        for t, c in enumerate(self.codes[first:]):
+            state = length = 0
+            for e, w in enumerate(c):
+                while state and w not in self.step[state]:
+                    state = self.link[state]
+                    length = self.longest[state]
+                state, length = self.step[state][w], length + 1
+                own[state].append((t, e))
+        # A state's words end wherever those of the states below it do; longer ones come first, so children before parents.
+        ends = [set(x) for x in own]
+        order = sorted(range(1, len(self.step)), key=lambda s: -self.longest[s])
+        for s in order:
+            ends[self.link[s]] |= ends[s]
+        out: list[list[tuple[int, int, int]]] = [[] for _ in self.step]
+        for s in reversed(order):
+            if self.longest[s] >= MIN_MATCH:
+                link = self.link[s]
+                out[s] = [(t, e, self.longest[s]) for t, e in sorted(ends[s])]
+                out[s] += [x for x in out[link] if x[:2] not in ends[s]]
+        return out
 
     def walk(self, codes: list[int], start: int):
-        """Base phrases as (phrase, first word), and maximal matches as (first word, length), of a stretch of known words."""
+        """Of a stretch of known words: base phrases as (phrase, first word), and runs shared with templates as (first word,
+        template, its first word, length)."""
         state = length = 0
-        phrases, matches = [], []
+        phrases, runs = [], []
         for i, c in enumerate(codes):
-            before = length
             while state and c not in self.step[state]:
                 state = self.link[state]
                 length = self.longest[state]
@@ -96,62 +126,49 @@ class Scanner:
                 length += 1
             else:
                 length = 0
-            if length <= before and before >= MIN_MATCH:
-                matches.append((start + i - before, before))
             phrases += [(p, start + i - n + 1) for p, n in self.ends[state] if n <= length]
-        if length >= MIN_MATCH:
-            matches.append((start + len(codes) - length, length))
-        return phrases, matches
-
-    def spans(self, codes: np.ndarray, matches: list[tuple[int, int]]) -> list[tuple[str, int, int, float]]:
-        """(label, first word, last word, share of the template covered) of chained matches, for labels that are covered enough."""
+            after = codes[i + 1] if i + 1 < len(codes) else 0
+            if length >= MIN_MATCH:
+                for t, e, most in self.places[state]:
+                    words = self.templates[t][1]
+                    if e + 1 == len(words) or words[e + 1] != after:
+                        n = min(most, length)
+                        runs.append((start + i - n + 1, t, e - n + 1, n))
+        return phrases, runs
+
+    def spans(self, runs: list[tuple[int, int, int, int]]) -> list[tuple[str, int, int, float]]:
+        """(label, first word, last word, share of the template covered) of chained runs, for labels that are covered enough."""
+        chains: dict[tuple[int, int], list[tuple[int, int, int]]] = {}  # (template, word after) -> (template's word after, covered, first word)
         out = []
-        for label, words in self.templates:
-            pieces = []
-            for start, n in matches:
-                piece = codes[start : start + n].tolist()
-                pieces += [(start, t, n) for t in range(len(words) - n + 1) if words[t : t + n] == piece]
-                if not any(words[t : t + n] == piece for t in range(len(words) - n + 1)):
-                    # The match may end or begin in another notice: take its longest parts that this one holds.
-                    pieces += [(start + a, t, m) for a, t, m in _common_runs(piece, words, MIN_MATCH)]
-            pieces.sort()
-            best: list[tuple[int, int]] = []  # words covered, piece before
-            for i, (s, t, n) in enumerate(pieces):
-                cover, back = n, -1
-                for j in range(i):
-                    s0, t0, n0 = pieces[j]
-                    if s0 + n0 <= s <= s0 + n0 + MAX_GAP and t0 + n0 <= t and best[j][0] + n > cover:
-                        cover, back = best[j][0] + n, j
-                best.append((cover, back))
-            for i in range(len(pieces)):
-                if best[i][0] >= MIN_COVER * len(words):
-                    j = i
-                    while best[j][1] >= 0:
-                        j = best[j][1]
-                    out.append((label, pieces[j][0], pieces[i][0] + pieces[i][2] - 1, best[i][0] / len(words), best[i][0]))
-        taken = []
-        for span in sorted(out, key=lambda x: (-x[3], -x[4], x[1], x[0])):
-            if all(span[2] < s[1] or span[1] > s[2] for s in taken):
-                taken.append(span[:4])
-        return sorted(taken, key=lambda x: x[1])
+        for s, t, at, n in sorted(runs):
+            label, words = self.templates[t]
+            cover, first = n, s
+            for gap in range(MAX_GAP + 1):
+                for after, covered, begun in chains.get((t, s - gap), ()):
+                    if after <= at and covered + n > cover:
+                        cover, first = covered + n, begun
+            chains.setdefault((t, s + n), []).append((at + n, cover, first))
+            if cover >= MIN_COVER * len(words):
+                out.append((label, first, s + n - 1, cover / len(words), cover))
+        taken: list[tuple[int, int, str, float]] = []  # apart from each other, in order
+        for label, first, last, share, _ in sorted(out, key=lambda x: (-x[4], -x[3], x[1], x[0])):
+            i = bisect_left(taken, (first,))
+            if (i == len(taken) or taken[i][0] > last) and (i == 0 or taken[i - 1][1] < first):
+                taken.insert(i, (first, last, label, share))
+        return [(label, first, last, share) for first, last, label, share in taken]
 
     def scan(self, text: bytes) -> dict:
         words = _WORDS.findall(text.lower())
         get = self.vocabulary.get
         codes = np.fromiter((get(w, 0) for w in words), np.int32, len(words))
         known = np.flatnonzero(np.diff(np.concatenate([[0], codes > 0, [0]]).astype(np.int8)))
-        phrases, spans = [], []
-        group: list[tuple[int, int]] = []
+        phrases, runs = [], []
         for a, b in zip(known[::2].tolist(), known[1::2].tolist()):
-            if b - a < 2:
-                continue
-            found, matches = self.walk(codes[a:b].tolist(), a)
-            phrases += found
-            if group and matches and matches[0][0] > group[-1][0] + group[-1][1] + MAX_GAP:
-                spans += self.spans(codes, group)
-                group = []
-            group += matches
-        spans += self.spans(codes, group) if group else []
+            if b - a > 1:
+                found, shared = self.walk(codes[a:b].tolist(), a)
+                phrases += found
+                runs += shared
+        spans = self.spans(runs)
         names = {self.base[p] for p, _ in phrases}
         starts = [s for _, s in phrases]
         return {
@@ -161,20 +178,6 @@ class Scanner:
             "spans": [{"label": s[0], "first": s[1], "last": s[2], "cover": s[3]} for s in spans]}
 
 
-def _common_runs(a: list[int], b: list[int], least: int) -> list[tuple[int, int, int]]:
-    """Maximal runs that both lists hold, as (start in a, start in b, length)."""
-    out = []
-    for shift in range(-len(b) + least, len(a) - least + 1):
-        lo, hi = max(0, shift), min(len(a), len(b) + shift)
-        run = lo
-        for i in range(lo, hi + 1):
-            if i == hi or a[i] != b[i - shift]:
-                if i - run >= least:
-                    out.append((run, run - shift, i - run))
-                run = i + 1
-    return out
-
-
 RESULT = pa.schema([
     ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("base_labels", pa.string()),
     ("labels", pa.string()), ("score", pa.float64()),

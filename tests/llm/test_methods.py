@@ -106,6 +106,76 @@ def test_chained_spans():
     assert licences.Scanner().scan(b"licensed under the apache licence")["labels"] == ""
 
 
+def _shared_runs(codes, templates):
+    """All maximal runs of at least three words along every diagonal of text and template."""
+    out = []
+    for t, (_, words) in enumerate(templates):
+        for shift in range(-len(words) + 1, len(codes)):
+            run = 0
+            for e in range(len(words) + 1):
+                if e < len(words) and 0 <= shift + e < len(codes) and codes[shift + e] == words[e]:
+                    run += 1
+                else:
+                    out += [(shift + e - run, t, e - run, run)] if run >= licences.MIN_MATCH else []
+                    run = 0
+    return out
+
+
+def _spans_plainly(runs, templates):
+    """Chains by looking at every pair of runs, spans by looking at every one taken."""
+    runs, best, out = sorted(runs), [], []
+    for s, t, at, n in runs:
+        before = [(b, r) for b, r in zip(best, runs) if r[1] == t and r[0] + r[3] <= s <= r[0] + r[3] + licences.MAX_GAP and r[2] + r[3] <= at]
+        best.append((n + max((b[0] for b, _ in before), default=0), n))
+        if best[-1][0] >= licences.MIN_COVER * len(templates[t][1]):
+            out.append((templates[t][0], s + n - 1, best[-1][0] / len(templates[t][1]), best[-1][0]))
+    return out
+
+
+def test_runs_and_covers_match_plain_search():
+    rng, scanner = random.Random(8), licences.Scanner()
+    for _ in range(40):
+        codes = []
+        while len(codes) < 150:  # parts of templates, some words left out, changed or put in
+            words = rng.choice(scanner.templates)[1]
+            begin = rng.randrange(len(words))
+            codes += [w if rng.random() > 0.03 else rng.randint(1, 60) for w in words[begin : begin + rng.randint(1, 90)] if rng.random() > 0.02]
+        _, runs = scanner.walk(codes, 0)
+        assert sorted(runs) == sorted(_shared_runs(codes, scanner.templates))
+        plain = _spans_plainly(runs, scanner.templates)
+        got = scanner.spans(runs)
+        assert {(label, last, share) for label, _, last, share in got} <= {p[:3] for p in plain}
+        assert all(a[2] < b[1] for a, b in zip(got, got[1:]))
+        most = max((p[3] for p in plain), default=0)  # what covers most words always counts
+        assert not plain or {p[:3] for p in plain if p[3] == most} & {(label, last, share) for label, _, last, share in got}
+
+
+def test_whole_licences_with_small_edits():
+    from gaugeloom.llm.licencetexts import FULL_TEXTS
+
+    rng, scanner = random.Random(3), licences.Scanner()
+    for label, text in FULL_TEXTS:
+        words = text.split()
+        exact = scanner.scan(text.encode())["spans"]
+        assert [(s["label"], s["first"], s["cover"]) for s in exact] == [(label, 0, 1.0)]
+        for i in rng.sample(range(len(words)), max(1, len(words) // 60)):
+            words[i] = "someoneelse"
+        edited = scanner.scan(("Preface of its own. " + " ".join(words) + " And an end.").encode())["spans"]
+        assert label in {s["label"] for s in edited} and max(s["last"] - s["first"] for s in edited) > len(words) // 2
+
+
+def test_a_megabyte_of_notices():
+    import time
+
+    from gaugeloom.llm.licencetexts import FULL_TEXTS
+
+    text = (" ".join(t for _, t in FULL_TEXTS) + " ").encode()
+    repeat = -(-1_000_000 // len(text))
+    begun = time.process_time()
+    got = licences.Scanner().scan(text * repeat)
+    assert time.process_time() - begun < 2 and len(got["spans"]) == repeat * len(FULL_TEXTS)
+
+
 # 4, 7: tokens and packing
 
 
