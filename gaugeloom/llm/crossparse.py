@@ -31,6 +31,11 @@ BLOCK = 1024
 SYMBOLS = 64
 #: The labelled text that a language is learned from: so many texts, and so many characters in all.
 TRAIN_TEXTS, TRAIN_CHARS = 64, 20_000
+#: A text has none of the learned languages where the best of them needs more bits a symbol than this (phrases of one or two letters:
+#: other scripts, random letters), by so many bits in all that a few letters aren't judged.
+STRANGE_BITS, STRANGE_EXCESS = 9.4, 32.0
+#: Columns that ``identify`` adds.
+MADE = ("lang_pred", "score", "bits", "symbols")
 #: How sharply the score falls with the lead in bits a character.
 SHARPNESS = 10.0
 
@@ -135,8 +140,8 @@ class Parser:
             state[:, :n] = now
         return count + (state != roots)
 
-    def costs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Bits a character, texts by languages; and which texts have letters."""
+    def costs(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Bits a symbol, texts by languages; which texts have letters; and their symbols."""
         parts = [self.symbols(t) for t in texts]
         has = np.array([bool((p != 1).any()) for p in parts], bool)
         lengths, owners, blocks = [], [], []
@@ -155,7 +160,8 @@ class Parser:
             found = self.phrases(rows, length)
             for n in range(len(self.languages)):
                 total[n] = np.bincount(np.array(owners)[order], weights=found[n], minlength=len(texts)) * self.bits[n]
-        return total.T / np.maximum(1, [len(p) for p in parts])[:, None], has
+        sizes = [len(p) for p in parts]
+        return total.T / np.maximum(1, sizes)[:, None], has, sizes
 
 
 def labelled_sample(labelled: DataFrame, texts: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS) -> dict[str, list[str]]:
@@ -180,7 +186,7 @@ def _predictor(packed: str, names: list[str]):
         forget_caches("letters", "parser")
         parser = worker_cache("parser", packed, lambda: Parser(json.loads(zlib.decompress(base64.b64decode(packed)))))
         for batch in slices(batches, "_data", 2 << 20):
-            costs, has = parser.costs([x.as_py() or b"" for x in batch.column("_data")])
+            costs, has, sizes = parser.costs([x.as_py() or b"" for x in batch.column("_data")])
             lang, score = [], []
             for c, letters in zip(costs, has):
                 if not letters or not len(c):
@@ -192,25 +198,25 @@ def _predictor(packed: str, names: list[str]):
                     score.append(float(1 / np.exp(-SHARPNESS * (c - c[best])).sum()))
             bits = [float(c.min()) if letters and len(c) else None for c, letters in zip(costs, has)]
             kept = [batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64())],
-                                             names=[*names, "lang_pred", "score", "bits"])
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(bits, pa.float64()),
+                                              pa.array(sizes, pa.int64())], names=[*names, *MADE])
 
     return predict
 
 
 def identify(docs: DataFrame, labelled: dict[str, list[str]], text: bool = True) -> DataFrame:
-    """``docs`` with lang_pred, score (share of the winner, 0 to 1) and bits (a character); without the text unless ``text``."""
+    """``docs`` with lang_pred, score (share of the winner, 0 to 1), bits (a symbol) and symbols; without the text unless ``text``."""
     import json
 
     packed = base64.b64encode(zlib.compress(json.dumps(labelled, sort_keys=True).encode())).decode()
-    names = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "bits", "_data")]
+    names = [c for c in docs.columns if c.lower() not in {*MADE, "_data"}]
     sent = [c for c in names if c.lower() != "text"]
     # The text goes over as bytes and comes back as such: once each way, and unharmed.
     ready = docs.select(*sent, F.col("text").cast("binary").alias("_data"))
     back = [*sent, "_data"] if text else sent
-    schema = ready.select(*back).schema.add("lang_pred", "string").add("score", "double").add("bits", "double")
+    schema = ready.select(*back).schema.add("lang_pred", "string").add("score", "double").add("bits", "double").add("symbols", "long")
     out = to_python(ready).mapInArrow(_predictor(packed, back), schema)
-    made = [F.col(c) for c in ("lang_pred", "score", "bits")]
+    made = [F.col(c) for c in MADE]
     return out.select(*[F.col("_data").cast("string").alias(c) if c.lower() == "text" else F.col(c) for c in names if text or c in sent], *made)
 
 
@@ -227,7 +233,22 @@ def document_languages(spark, sf_dir):
     return identify(docs.select("doc_id", "text").withColumns({"held_out": held}), sample, text=False).select("doc_id", "held_out", "lang_pred", "score", "bits")
 
 
+def in_languages(docs: DataFrame, labelled: dict[str, list[str]], languages: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` whose predicted language is wanted (default: any that was learned), with their own columns.
+
+    Texts without letters go, and those that no learned language parses (``STRANGE_BITS``). Where nothing was learned nothing is judged
+    but the letters.
+    """
+    if not labelled:
+        return docs.where(F.col("text").rlike(r"\p{L}")) if languages is None else docs.where(F.lit(False))
+    # The names that the prediction takes are put aside, as the documents' own columns stay.
+    own = {c: f"_own{i}" for i, c in enumerate(docs.columns) if c.lower() in MADE}
+    found = identify(docs.withColumnsRenamed(own), labelled)
+    strange = (F.col("bits") - STRANGE_BITS) * F.col("symbols") > STRANGE_EXCESS
+    wanted = (F.col("lang_pred") != "und") if languages is None else F.col("lang_pred").isin(languages)
+    return found.where(wanted & ~strange).select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
+
+
 def language_stage(spark, docs, sf_dir):
-    """Documents that have a language: those without letters go."""
-    sample = labelled_sample(docs.where(~F.coalesce(remainder(4) == 2, F.lit(False))))
-    return identify(docs, sample).where("lang_pred <> 'und'").select(*docs.columns)
+    """Documents in one of the languages that their labels name, as predicted from their text."""
+    return in_languages(docs, labelled_sample(docs.where(~F.coalesce(remainder(4) == 2, F.lit(False)))))

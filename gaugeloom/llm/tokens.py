@@ -2,15 +2,17 @@
 
 ``Encoder`` gives the ids of a public byte-level vocabulary. Texts are cut into the pieces that merges never cross by
 array operations on code points, in which each distinct piece is encoded once and then remembered; the
-vocabulary's file is a parameter. The pieces follow the file's split pattern: contractions, words, numbers and other
-signs with an optional space before them, and runs of white space.
+vocabulary's file is a parameter. The pieces follow the byte-level split pattern: contractions, words, numbers and other
+signs with an optional space before them, and runs of white space. Texts in which an added token of the file (an end-of-text mark,
+say) is written out, and all texts where the file normalises or splits in another way, go to the file's own library.
 
 Token counts: a text is encoded once as a whole. Tokens of such a vocabulary cover the text's bytes without gaps, so the running
 sum of their lengths is the map from tokens to places. Tokens are joined with the sections by interval. A token that
 crosses a boundary goes to the section that holds most of its bytes, to the earlier on a tie.
 
-Defined cases: a null text has no tokens and, like an empty one, one empty section. Special tokens written out in a text are
-ordinary text. Repeated rows are counted each on its own; other columns pass through, and columns named like the result's are replaced.
+Defined cases: a null text has no tokens and, like an empty one, one empty section. An added token written out
+in a text is that token, as the file's library has it. Token counts need a byte-level file, as only its tokens cover the text without gaps;
+another raises ValueError. Repeated rows are counted each on its own; other columns pass through, and columns named like the result's are replaced.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,15 +59,13 @@ def _byte_signs() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-def _merger(path: str):
+def _merger(model: dict, path: str):
     """A function from a piece to its ids.
 
     Where the file numbers its merges in their order, as byte-level vocabularies commonly do, merging by rank gives the same ids as
     merging by the list; else the file's own model is asked.
     """
     signs = _byte_signs()
-    with open(path, encoding="utf-8") as f:
-        model = json.load(f)["model"]
     merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
     numbers = [model["vocab"]["".join(m)] for m in merges]
     if all(a < b for a, b in zip(numbers, numbers[1:])) and all(model["vocab"][x] < numbers[0] for x in signs.values()):
@@ -82,12 +83,26 @@ def _merger(path: str):
     return lambda piece: [t.id for t in merge(piece.encode("utf-8", "replace").decode("latin-1").translate(signs))]
 
 
+def _byte_level(file: dict) -> bool:
+    """Whether the file takes texts as they are and cuts them into byte-level pieces by the usual pattern."""
+    split = file.get("pre_tokenizer") or {}
+    plain = {"dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"}
+    return (file["model"].get("type", "BPE") == "BPE" and not any(file["model"].get(x) for x in plain) and not file.get("normalizer")
+            and not file.get("truncation") and split.get("type") == "ByteLevel" and not split.get("add_prefix_space")
+            and split.get("use_regex", True) and all(x in file["model"]["vocab"] for x in _byte_signs().values()))
+
+
 class Encoder:
     """Ids of texts by the vocabulary file at ``path``."""
 
     def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
         self.path = path
-        self.merge = _merger(path)
+        self.byte_level = _byte_level(file)
+        self.added = {t["content"]: t["id"] for t in file.get("added_tokens") or ()}
+        self.vocabulary = file["model"]["vocab"] if self.byte_level else {}
+        self.merge = _merger(file["model"], path) if self.byte_level else None
         self.kinds = worker_cache("kinds", "", _classes)
         self.known: dict[str, bytes] = {}  # ids as bytes: small, and quick to join
 
@@ -112,7 +127,25 @@ class Encoder:
                     starts[at + size] = True
         return np.flatnonzero(starts)
 
+    @cached_property
+    def library(self):
+        """The file's own library, loaded when a first text needs it."""
+        from tokenizers import Tokenizer
+
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        return out
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        own = [not self.byte_level or any(a in t for a in self.added) for t in texts]
+        if not any(own):
+            return self._by_pieces(texts)
+        rest = iter(self._by_pieces([t for t, o in zip(texts, own) if not o]))
+        return [np.array(self.library.encode(t, add_special_tokens=False).ids, np.int32) if o else next(rest) for t, o in zip(texts, own)]
+
+    def _by_pieces(self, texts: list[str]) -> list[np.ndarray]:
         pieces, sizes = [], []
         for t in texts:
             if not t:
@@ -138,11 +171,13 @@ class Encoder:
 
     def lengths(self) -> np.ndarray:
         """Bytes that each id stands for."""
-        with open(self.path, encoding="utf-8") as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        out = np.zeros(max(vocabulary.values()) + 1, np.int32)
-        for piece, i in vocabulary.items():
+        if not self.byte_level:
+            raise ValueError(f"{self.path}: tokens of a vocabulary that isn't byte-level don't cover the text's bytes")
+        out = np.zeros(max([*self.vocabulary.values(), *self.added.values()]) + 1, np.int32)
+        for piece, i in self.vocabulary.items():
             out[i] = len(piece)  # each byte is written as one character
+        for content, i in self.added.items():
+            out[i] = len(content.encode())
         return out
 
 

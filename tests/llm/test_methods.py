@@ -63,7 +63,7 @@ def test_phrases_match_a_plain_parse():
         text = "".join(rng.choice("abcde  ,") for _ in range(rng.randrange(1, 400))) + "a"
         clean = lambda t: re.sub(r"[^a-z]+", " ", t).lstrip()
         s = clean(text)
-        costs, has = parser.costs([text.encode()])
+        costs, has, _ = parser.costs([text.encode()])
         assert has[0]
         for k, n in enumerate(parser.languages):
             learned, phrases, at = clean(labelled[n][0]).replace("e", "#"), 0, 0
@@ -84,6 +84,27 @@ def test_held_out_languages(spark):
     assert got.select(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] >= 0.95
 
 
+def test_language_stage_follows_the_prediction(spark):
+    from pyspark.sql import functions as F
+
+    from gaugeloom.llm.common import load
+
+    docs = load(spark, SF, "documents").select("doc_id", "text", "lang", F.lit("own").alias("score"))
+    sample = crossparse.labelled_sample(docs)
+    strange = [(-1, "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。"), (-2, "Все люди рождаются свободными и равными"),
+               (-3, "xq zvk jjw qpz wxk vvz kqj " * 9), (-4, "12 + 30"), (-5, None)]
+    few = [(-6, "A"), (-7, "日本"), (-8, "The same thing again and all of it.")]  # too short to be judged strange, or clean
+    more = spark.createDataFrame(strange + few, "doc_id long, text string").withColumns({"lang": F.lit(None).cast("string"), "score": F.lit("own")})
+    kept = crossparse.in_languages(docs.unionByName(more), sample)
+    assert kept.columns == docs.columns and kept.where("score <> 'own'").count() == 0
+    assert {r.doc_id for r in kept.where("doc_id < 0").collect()} == {-6, -7, -8}
+    letters = docs.where(F.col("text").rlike(r"\p{L}"))
+    assert kept.where("doc_id >= 0").count() == letters.count()  # clean documents stay
+    german = crossparse.in_languages(docs, sample, ["de"])
+    got = {r.lang: r.n for r in german.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got["de"] >= 0.98 * letters.where("lang = 'de'").count() and sum(n for lang, n in got.items() if lang != "de") <= 0.01 * letters.count()
+
+
 # 3: licences
 
 
@@ -184,7 +205,6 @@ def reference():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.vocabulary_path())
-    t.encode_special_tokens = True
     return lambda x: t.encode(x, add_special_tokens=False).ids
 
 
@@ -194,6 +214,27 @@ def test_ids_match_the_library(reference, text):
     assert tokens.encoder(tokens.vocabulary_path()).encode([text])[0].tolist() == reference(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(["<|endoftext|>", "<|endoftext|", " <|", "a", " b'll", "\n", "  ", "é"]), st.text(max_size=6)), max_size=12))
+def test_added_tokens_match_the_library(reference, parts):
+    text = "".join(parts).encode("utf-8", "replace").decode()
+    e = tokens.encoder(tokens.vocabulary_path())
+    got = e.encode(["plain", text, ""])
+    assert [x.tolist() for x in got] == [reference(x) for x in ("plain", text, "")]
+    assert e.lengths()[got[1]].sum() == len(text.encode())
+
+
+def test_other_files_are_encoded_by_their_library():
+    from tokenizers import Tokenizer
+
+    path = tokens.vocabulary_path("word_bpe_49k.json")
+    e = tokens.Encoder(path)
+    text = "Two  WORDS, don't <|endoftext|> naïve 12"
+    assert not e.byte_level and e.encode([text])[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    with pytest.raises(ValueError, match="byte-level"):
+        e.lengths()
+
+
 def test_line_tokens_add_up(spark, reference):
     df = spark.createDataFrame([(1, "ab\n\ncd  \n  efé日\n"), (2, "x")], "doc_id long, text string")
     got = tokens.line_tokens(df).orderBy("doc_id", "section").collect()
