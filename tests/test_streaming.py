@@ -127,6 +127,33 @@ def test_counters_take_sets_out_of_order_over_a_restart(spark, rows, tmp_path):
     assert got == {r.tags["k"]: r.value for r in whole} == {"a": 5, "b": -1, "c": 2}
 
 
+@pytest.fixture
+def default_store(spark):
+    """Spark's own state store, which a session that is not built here has."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_counters_run_on_the_default_state_store(spark, rows, tmp_path, default_store):
+    path, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+    big = 2**60 + 1
+    at = lambda us: T0 + timedelta(microseconds=us)
+    named = lambda df: df.select(F.lit("m").alias("measurement"), F.create_map(F.lit("k"), F.col("kind")).alias("tags"), F.lit("f").alias("field"), "seq", "ts", "op", "v")
+    # The watermark is then at T0, in whole milliseconds: what lies in the same millisecond has not been passed.
+    rows(COUNTED, (big, at(200), "a", "incr", 4), (big + 5, at(30_000_900), "b", "incr", big)).coalesce(1).write.parquet(path)
+    df = state.counters(named(landing.read_landing(spark, path, COUNTED, files_per_batch=1)), "ts", "30 seconds")
+    ran(df, out, mark, "update")
+    rows(COUNTED, (big + 1, at(400), "a", "incr", 16), (big + 6, at(30_000_950), "b", "incr", 1)).coalesce(1).write.mode("append").parquet(path)
+    ran(df, out, mark, "update")
+    rows(COUNTED, (big - 1, at(100), "a", "set", 100), (big + 7, at(30_000_990), "c", "set", big)).coalesce(1).write.mode("append").parquet(path)
+    ran(df, out, mark, "update")
+    got = {r.series[-1]: r.value for r in landing.latest(spark.read.parquet(out), ["series", "field"]).collect()}
+    assert got == {"a": 120, "b": big + 1, "c": big}
+
+
 def test_scratch_folder_follows_the_session(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
