@@ -154,6 +154,26 @@ def test_counters_run_on_the_default_state_store(spark, rows, tmp_path, default_
     assert got == {"a": 120, "b": big + 1, "c": big}
 
 
+def test_gate_runs_on_the_default_state_store(spark, tmp_path, default_store):
+    path, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+    big = 2**60 + 1
+    land_at = lambda *data: spark.createDataFrame([(k, T0 + timedelta(microseconds=us)) for k, us in data], "server bigint, ts timestamp").coalesce(1).write.mode("append").parquet(path)
+    second = 1_000_000
+    land_at((big, 0), (big, 60 * second - 1), (big, 60 * second), (big + 1, 5), (big + 1, 6), (big + 2, 60 * second + 1), (None, 0))
+    df = state.slow_interval(landing.read_landing(spark, path, "server bigint, ts timestamp", files_per_batch=1), 60, "ts", "30 seconds")
+    ran(df, out, mark)
+    # The watermark ends at 60 s: the snapshot at it is reported, the one a microsecond later waits.
+    land_at((big + 3, 90 * second), (big + 1, 70 * second))
+    ran(df, out, mark)
+    got = lambda: sorted((r.server - big, r.us) for r in spark.read.parquet(out).select("server", F.expr("unix_micros(first_ts)").alias("us")).collect())
+    zero = int(T0.timestamp()) * second
+    reported = [(0, zero), (0, zero + 60 * second), (1, zero + 5)]
+    assert got() == reported
+    land_at((big + 2, 60 * second + 1_000), (big + 3, 110 * second))
+    ran(df, out, mark)
+    assert got() == reported + [(1, zero + 70 * second), (2, zero + 60 * second + 1)]
+
+
 def test_scratch_folder_follows_the_session(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
