@@ -154,6 +154,75 @@ def test_counters_run_on_the_default_state_store(spark, rows, tmp_path, default_
     assert got == {"a": 120, "b": big + 1, "c": big}
 
 
+def counted(df):
+    return df.select("measurement", F.create_map(F.lit("k"), F.col("kind")).alias("tags"), "field", "seq", "ts", "op", "v")
+
+
+NAMED = "measurement string, kind string, field string, seq bigint, ts timestamp, op string, v bigint"
+
+
+def test_counters_of_a_group_share_one_call_and_state(spark, tmp_path):
+    from gaugeloom.operators.stats import counter_stats
+
+    path, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+    events = spark.range(12_000, numPartitions=2).selectExpr(
+        "'m' AS measurement", "string(id % 6000) AS kind", "'f' AS field", "id AS seq", "timestamp_seconds(id) AS ts",
+        "if(id % 7 = 0, 'set', 'incr') AS op", "id % 11 AS v")
+    events.write.parquet(path)
+    query = landing.write_batches(state.counters(counted(landing.read_landing(spark, path, events.schema, files_per_batch=1)), "ts", "1 hour"), out, mark)
+    query.awaitTermination()
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 4096
+    got = {r.series: r.value for r in landing.latest(spark.read.parquet(out), ["series", "field"]).collect()}
+    whole = counter_stats(counted(spark.read.parquet(path))).collect()
+    assert got == {f"m\x02k\x01{r.tags['k']}": r.value for r in whole} and len(got) == 6000
+
+
+def test_counters_of_a_group_stay_apart(spark, rows, tmp_path):
+    path, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+    at = lambda s: None if s is None else T0 + timedelta(seconds=s)
+    event = lambda m, k, f, q, s, o, v: (m, k, f, q, at(s), o, v)
+    batches = [
+        # Names that would meet if they were joined, missing ones, huge values.
+        [event("m", "a", "b", 2**60 + 1, 10, "incr", 1), event("m", "ab", "", 2**60 + 1, 10, "incr", 2), event("m", "a", None, 3, 10, "incr", 4),
+         event(None, "a", "b", 3, 10, "incr", 8), event("m", "s", "f", -5, 10, "set", 7), event("m", "s", "f", -4, 11, "incr", 2**62)],
+        [event("m", "a", "b", 2**60, 9, "set", 100), event("m", "a", None, 4, 12, "set", 50), event("m", "s", "f", -3, 200, "incr", 2**62),
+         event("m", "s", "f", -5, 10, "set", 7), event("m", "n", "f", 1, 15, "set", 3), event("m", "n", "f", 2**60 + 2, None, "incr", 5)],
+        # The first is later than the watermark; what it has passed stays counted.
+        [event("m", "a", "b", 1, 20, "set", 9), event("m", "a", "b", 2**60 + 2, 201, "incr", 16), event("m", "s", "f", -2, 201, "incr", -(2**62)),
+         event("m", "n", "f", 2**60 + 1, 202, "set", 7), event("m", "n", "f", 2**60 + 3, 203, "incr", 2**60 + 1)],
+        [event("m", "n", "f", 2**60 + 4, 300, "incr", 1)],
+    ]
+    seen = []
+    for batch in batches:
+        rows(NAMED, *batch).coalesce(1).write.mode("append").parquet(path)
+        ran(state.counters(counted(landing.read_landing(spark, path, NAMED, files_per_batch=1)), "ts", "30 seconds", groups=1), out, mark, "update")
+        seen.append({(r.series and r.series.replace("\x02k\x01", "."), r.field): r.value for r in landing.latest(spark.read.parquet(out), ["series", "field"]).collect()})
+    first = {("m.a", "b"): 1, ("m.ab", ""): 2, ("m.a", None): 4, (None, "b"): 8, ("m.s", "f"): 2**62 + 7}
+    second = first | {("m.a", "b"): 101, ("m.a", None): 50, ("m.s", "f"): None, ("m.n", "f"): 8}
+    third = second | {("m.a", "b"): 117, ("m.s", "f"): 2**62 + 7, ("m.n", "f"): 7 + 5 + 2**60 + 1}
+    assert seen == [first, second, third, third | {("m.n", "f"): 7 + 5 + 2**60 + 2}]
+
+
+def test_counter_events_land_in_quarters_of_many_files(spark, tmp_path):
+    from pathlib import Path
+
+    from gaugeloom.queries import QUERIES
+
+    scratch, name = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")), "spark.sql.shuffle.partitions"
+    held, before = spark.conf.get(name), set(scratch.iterdir())
+    spark.range(400).selectExpr("id AS event_id", "CAST(timestamp_seconds(id) AS TIMESTAMP_NTZ) AS ts", "id % 5 AS user_id", "if(id % 9 = 0, 'purchase', 'view') AS event_type",
+                                "1D AS value", "concat('{\"k\": ', id % 10, '}') AS props").write.parquet(str(tmp_path / "events.parquet"))
+    spark.conf.set(name, "10")
+    try:
+        got = {(r.user_tag, r.field): r.value for r in QUERIES["stream_counters"](spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.set(name, held)
+    assert got == {(r.user_tag, r.field): r.value for r in QUERIES["counter_stat"](spark, str(tmp_path)).collect()}
+    files = {kind: [f for d in set(scratch.iterdir()) - before if d.name.startswith(kind) and not d.name.startswith(f"{kind}-checkpoint") for f in d.glob(part)]
+             for kind, part in (("stream-events", "part-*"), ("stream-counters", "batch=*"))}
+    assert len(files["stream-events"]) == 12 and len(files["stream-counters"]) == 4
+
+
 def test_gate_runs_on_the_default_state_store(spark, tmp_path, default_store):
     path, out, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
     big = 2**60 + 1
